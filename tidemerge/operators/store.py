@@ -1,0 +1,110 @@
+"""Merges into Parquet datasets, and published views.
+
+A target dataset is partitioned by a hash of its key, not by time: an updated row then stays in the
+directory of its key. A merge reads and writes only directories that the batch touches. Writes are
+plain Spark writes; a lost executor re-runs its tasks, a lost driver re-runs the merge, and both end
+in the same table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemerge.operators import merge as M
+from tidemerge.session import work_path
+
+BUCKET = "_bucket"
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset without its bucket column, or None before the first write."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKET)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _touched(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame | None:
+    """Target rows in the directories of the batch. At most one number per directory reaches the
+    driver, and it turns into a partition filter."""
+    if read_target(spark, path) is None:
+        return None
+    hit = [r[0] for r in batch.select(BUCKET).distinct().collect()]
+    return spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(hit))
+
+
+def _write(df: DataFrame, path: str, mode: str) -> None:
+    # Keys are unique by now, so no bucket is hot; a salt over the row spreads each over four tasks.
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != BUCKET]), F.lit(4))
+    (df.repartition(F.col(BUCKET), salt).write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+
+
+def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
+    """Insert-if-absent into a dataset: appends the absent keys, rewrites nothing.
+
+    Running it again after any failure adds only what is still absent.
+    """
+    spark = batch.sparkSession
+    tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
+    old = _touched(spark, path, tagged)
+    fresh = M.dedupe(tagged, keys, order)
+    if old is not None:
+        fresh = fresh.join(old.select(BUCKET, *keys), [BUCKET, *keys], "left_anti")
+    _write(fresh.select(*tagged.columns), path, "append")
+
+
+def update_into(batch: DataFrame, path: str, keys: list[str], update: list[str], order: list[str],
+                buckets: int = 64) -> None:
+    """Merge with update into a dataset. The merged directories are first written whole beside the
+    target, then swapped in, so that a failed swap can be repeated from the finished copy."""
+    spark = batch.sparkSession
+    tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
+    old = _touched(spark, path, tagged)
+    target = tagged.limit(0) if old is None else old
+    merged = M.merge_update(target, tagged, [BUCKET, *keys], update, order)
+    if old is None:
+        _write(merged, path, "append")
+        return
+    staged = work_path(spark, "merge")
+    _write(merged, staged, "overwrite")
+    _write(spark.read.parquet(staged), path, "overwrite")
+
+
+def replace_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
+    update_into(batch, path, keys, [c for c in batch.columns if c not in keys], order, buckets)
+
+
+def publish(df: DataFrame, path: str, version: str, view: str | None = None) -> DataFrame:
+    """Write a recomputed view to its own version folder and, once whole, point the view at it.
+
+    Readers of the older version are not disturbed; writing the same version again is harmless.
+    """
+    spark, folder = df.sparkSession, f"{path}/version={version}"
+    df.write.mode("overwrite").parquet(folder)
+    if view:
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{folder}`")
+    return spark.read.parquet(folder)
+
+
+def publish_all(spark: SparkSession, views: dict[str, Callable[[], DataFrame]], path: str, version: str,
+                register: bool = True) -> DataFrame:
+    """Publish each view, going on when one fails. One outcome row per view."""
+    outcome = []
+    for name, build in views.items():
+        try:
+            publish(build(), f"{path}/{name}", version, name if register else None)
+            outcome.append((name, "published", None))
+        except Exception as error:  # noqa: BLE001 - one bad view must not stop the others
+            outcome.append((name, "failed", str(error).splitlines()[0][:500]))
+    return spark.createDataFrame(outcome, "view_name string, outcome string, error_message string")
