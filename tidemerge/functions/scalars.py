@@ -83,38 +83,75 @@ def variant_at(v: Column | str, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(_col(v), path, kind)
 
 
+def members(v: Column | str, shape: str) -> Column:
+    """Several members of a JSON object in one pass, as a struct; NULL when it is not an object.
+
+    Far cheaper than one path lookup per member. A member of another kind than asked for is NULL.
+    """
+    return F.try_variant_get(_col(v), "$", shape)
+
+
+def evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns through a one-element generator. Filters are not pushed through it, so costly
+    expressions are not repeated by whatever is built on them."""
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def is_json_object(v: Column | str) -> Column:
-    return F.schema_of_variant(_col(v)).startswith("OBJECT")
+    return members(v, "struct<id: variant>").isNotNull()
+
+
+def text_of(leaf: Column) -> Column:
+    """Text of a variant value; JSON null becomes NULL."""
+    return F.try_variant_get(leaf, "$", "string")
+
+
+def present_text(*leaves: Column) -> Column:
+    """Text of the first value that is neither null nor ''; 0 and false count as present."""
+    return F.coalesce(*[F.nullif(text_of(leaf), F.lit("")) for leaf in leaves])
 
 
 def first_present(v: Column | str, *paths: str) -> Column:
-    """Text of the first path that is neither null nor ''; 0 and false count as present."""
-    return F.coalesce(*[F.nullif(variant_at(v, p), F.lit("")) for p in paths])
+    """``present_text`` of the values at these paths."""
+    return present_text(*[variant_at(v, p, "variant") for p in paths])
 
 
-def truthy_text(v: Column | str, path: str) -> Column:
-    """Text of a member, with the falsy JSON values ('', 0, false, [], {}) taken as absent."""
-    text = variant_at(v, path)
-    kind = F.schema_of_variant(variant_at(v, path, "variant"))
-    falsy = (F.when(kind == "STRING", text == "")
-             .when(kind == "BOOLEAN", text == "false")
-             .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), text.isin("[]", "{}"))
-             .otherwise(text.try_cast("double") == 0))
-    return F.when(~F.coalesce(falsy, F.lit(False)), text)
+def kind_of(leaf: Column) -> Column:
+    """JSON type name of a variant value: STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID, ..."""
+    return F.schema_of_variant(leaf)
+
+
+# The functions below take the text and the kind of a value as plain columns, so that both are
+# computed once however often they are used.
+
+def truthy(text: Column, kind: Column) -> Column:
+    """The text, with the falsy JSON values ('', 0, false, [], {}) taken as absent."""
+    falsy = F.when(kind == "STRING", text == "").otherwise(text.rlike(r"^(false|\[\]|\{\}|-?0(\.0*)?(E.*)?)$"))
+    return F.when(~falsy, text)
+
+
+def epoch_number(text: Column, kind: Column) -> Column:
+    """The epoch in a value, if it is one: a JSON number (fraction cut) or text of digits."""
+    numeric = (kind != "STRING") | text.rlike("^[0-9]{1,18}$")
+    return F.when(numeric, text).try_cast("double").try_cast("bigint")
+
+
+def json_time(text: Column, kind: Column, number: Column) -> Column:
+    """Event time of a value with its ``epoch_number``; text that is no epoch is read as ISO time."""
+    trimmed = F.trim(text)
+    iso = F.when((kind == "STRING") & trimmed.rlike(_ISO), trimmed).try_cast("timestamp")
+    return F.when(number.isNotNull(), epoch_time(number)).otherwise(iso)
 
 
-def variant_time(v: Column | str, path: str) -> Column:
-    """Event time of a member. A JSON number is always an epoch (fraction cut), text follows its shape."""
-    kind = F.schema_of_variant(variant_at(v, path, "variant"))
-    return (F.when(kind == "STRING", parse_event_time(variant_at(v, path)))
-            .when(kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"),
-                  epoch_time(variant_at(v, path, "bigint"))))
+def json_bigint(text: Column, kind: Column) -> Column:
+    """Integer of a value: numbers lose their fraction, text must be a whole number."""
+    return F.when(kind == "STRING", text.try_cast("bigint")).otherwise(text.try_cast("decimal(38,9)").try_cast("bigint"))
 
 
-def labels_or_empty(v: Column | str, path: str) -> Column:
+def labels_or_empty(leaf: Column) -> Column:
     """JSON text of the labels, ``[]`` when they are absent or empty."""
-    kept = F.when(truthy_text(v, path).isNotNull(), F.to_json(variant_at(v, path, "variant")))
-    return F.coalesce(kept, F.lit("[]"))
+    return F.coalesce(F.when(truthy(text_of(leaf), kind_of(leaf)).isNotNull(), F.to_json(leaf)), F.lit("[]"))
 
 
 # ---------------------------------------------------------------- keys and numbers

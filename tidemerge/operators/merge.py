@@ -60,10 +60,18 @@ def evolve(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch.select(*cast), allowMissingColumns=True)
 
 
-def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def present_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the batch that the target holds. For batches whose row count was checked to be small:
+    their keys are sent to the target scan, so the target is read (keys only) but not shuffled."""
+    return target.select(*keys).join(F.broadcast(batch.select(*keys).distinct()), keys, "left_semi").distinct()
+
+
+def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str],
+             small_batch: bool = False) -> DataFrame:
     """Rows of the batch that an insert-if-absent adds. Reads only the key columns of the target."""
-    first = dedupe(drop_null_keys(batch, keys), keys, order)
-    return first.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
+    kept = drop_null_keys(batch, keys)
+    old = present_keys(target, kept, keys) if small_batch else target.select(*keys)
+    return dedupe(kept, keys, order).join(old, keys, "left_anti").select(*batch.columns)
 
 
 def merge_insert_only(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -35,8 +35,12 @@ def reconcile_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
 
 
 def orphans(statuses: DataFrame, messages: DataFrame, key: str = "turn_message_id") -> DataFrame:
-    """Statuses whose message is unknown. AQE splits the partition of a message with very many."""
-    return statuses.join(messages.select(key).distinct(), key, "left_anti")
+    """Statuses whose message is unknown.
+
+    Both sides enter the join straight from their shuffle (no distinct in between), which is the
+    shape AQE can split when one message holds a large share of the statuses.
+    """
+    return statuses.join(messages.select(key), key, "left_anti")
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,34 +13,41 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemerge.operators import merge as M
 from tidemerge.session import work_path
 
 BUCKET = "_bucket"
 
+# A batch up to this many rows has its keys broadcast to the target scan; beyond it both sides shuffle.
+SMALL_BATCH_ROWS = 1_000_000
+
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The dataset without its bucket column, or None before the first write."""
+def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The dataset, or None before the first write. Without a schema the footers of all files are
+    merged, so that columns added later are seen; with one nothing but the listing is read."""
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKET)
+        found = reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    return found if schema else found.drop(BUCKET)
+
+
+def _bucket_rows(batch: DataFrame) -> dict[int, int]:
+    """Rows per directory of a batch: at most one entry per bucket comes to the driver."""
+    return {r[0]: r[1] for r in batch.groupBy(BUCKET).count().collect()}
 
 
-def _touched(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame | None:
-    """Target rows in the directories of the batch. At most one number per directory reaches the
-    driver, and it turns into a partition filter."""
-    if read_target(spark, path) is None:
-        return None
-    hit = [r[0] for r in batch.select(BUCKET).distinct().collect()]
-    return spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(hit))
+def _key_schema(batch: DataFrame, keys: list[str]) -> T.StructType:
+    return T.StructType([batch.schema[k] for k in [*keys, BUCKET]])
 
 
 def _write(df: DataFrame, path: str, mode: str) -> None:
@@ -57,27 +64,36 @@ def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str],
     """
     spark = batch.sparkSession
     tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
-    old = _touched(spark, path, tagged)
-    fresh = M.dedupe(tagged, keys, order)
-    if old is not None:
-        fresh = fresh.join(old.select(BUCKET, *keys), [BUCKET, *keys], "left_anti")
-    _write(fresh.select(*tagged.columns), path, "append")
+    old = read_target(spark, path, _key_schema(tagged, keys))
+    if old is None:
+        _write(M.dedupe(tagged, keys, order).select(*tagged.columns), path, "append")
+        return
+    tagged.persist()  # read twice: counted per directory, then merged
+    try:
+        rows = _bucket_rows(tagged)
+        hit = old.where(F.col(BUCKET).isin(list(rows)))
+        fresh = M.new_rows(hit, tagged, [BUCKET, *keys], order, sum(rows.values()) <= SMALL_BATCH_ROWS)
+        _write(fresh.select(*tagged.columns), path, "append")
+    finally:
+        tagged.unpersist()
 
 
 def update_into(batch: DataFrame, path: str, keys: list[str], update: list[str], order: list[str],
                 buckets: int = 64) -> None:
-    """Merge with update into a dataset. The merged directories are first written whole beside the
-    target, then swapped in, so that a failed swap can be repeated from the finished copy."""
+    """Merge with update into a dataset; rewrites the directories of the batch.
+
+    The merged directories are first written whole beside the target, then swapped in, so that a
+    failed swap can be repeated from the finished copy. Choose ``buckets`` so that one directory is
+    a few GB: it is the unit of rewriting.
+    """
     spark = batch.sparkSession
     tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
-    old = _touched(spark, path, tagged)
-    target = tagged.limit(0) if old is None else old
-    merged = M.merge_update(target, tagged, [BUCKET, *keys], update, order)
-    if old is None:
-        _write(merged, path, "append")
+    if read_target(spark, path, _key_schema(tagged, keys)) is None:
+        _write(M.merge_update(tagged.limit(0), tagged, [BUCKET, *keys], update, order), path, "append")
         return
+    old = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(list(_bucket_rows(tagged))))
     staged = work_path(spark, "merge")
-    _write(merged, staged, "overwrite")
+    _write(M.merge_update(old, tagged, [BUCKET, *keys], update, order), staged, "overwrite")
     _write(spark.read.parquet(staged), path, "overwrite")
 
 

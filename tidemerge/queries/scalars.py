@@ -104,7 +104,7 @@ def _(t):
     kind = F.col("event_type")
     labels = F.when(kind == "click", F.array(F.col("user_id").cast("string"))).when(kind == "view", F.array().cast("array<string>"))
     v = F.parse_json(F.to_json(F.struct("props", labels.alias("labels"))))
-    return t.events.select("event_id", S.labels_or_empty(v, "$.labels").alias("labels"))
+    return t.events.select("event_id", S.labels_or_empty(S.variant_at(v, "$.labels", "variant")).alias("labels"))
 
 
 @query("qualified_ids", """

@@ -47,7 +47,7 @@ STAND_INS = {
                CASE WHEN event_type = 'error' THEN 'boom ' || props END AS error_message,
                CASE WHEN event_type = 'signup' THEN 'historical' ELSE 'incremental' END AS run_type,
                CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS watermark_end,
-               date_trunc('day', ts) AS window_start, ts AS window_end, value < 400 AS count_match
+               date_trunc('day', ts) AS window_start, ts AS window_end, value < 200 AS count_match
         FROM events""",
     "s_last_runs": """
         SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY table_key ORDER BY started_at DESC, run_id DESC) AS rn

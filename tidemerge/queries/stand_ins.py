@@ -79,7 +79,7 @@ def runs(t: Tables) -> DataFrame:
         F.when(kind == "signup", "historical").otherwise("incremental").alias("run_type"),
         F.when(~failed, F.col("ts")).alias("watermark_end"),
         F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), F.col("ts").alias("window_end"),
-        (F.col("value") < 400).alias("count_match"))
+        (F.col("value") < 200).alias("count_match"))
 
 
 def shifted_runs(t: Tables) -> DataFrame:

@@ -27,4 +27,5 @@ def envelopes(pages: DataFrame, page: Column | str = "value", shape: str = ENVEL
     """One row per item of ``data`` in column ``envelope``; other columns of ``pages`` are kept."""
     kept = [c for c in pages.columns if c != page]
     parsed = pages.select(*kept, F.from_json(page, shape).alias("page"))
-    return parsed.select(*kept, F.explode("page.data").alias("envelope"))
+    # the outer form keeps Spark from parsing each page twice for an inferred "not empty" filter
+    return parsed.select(*kept, F.explode_outer("page.data").alias("envelope")).where("envelope is not null")

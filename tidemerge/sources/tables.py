@@ -87,6 +87,12 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(n, d) for n, d in tables.items()])
 
 
+def stored_bytes(df: DataFrame) -> DataFrame:
+    """Files and their size on storage, from file metadata alone: the cheap estimate before a scan."""
+    files = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("stored_bytes"))
+
+
 def cost(sizes: DataFrame, by: str = "table_name", size: str = "size_bytes") -> DataFrame:
     """Query and egress price per table, plus a ``TOTAL`` row. The free allowance applies per table."""
     query = F.greatest(F.lit(0.0), F.col(size) / 1e12 - FREE_TB) * QUERY_PRICE_PER_TB
