@@ -1,0 +1,56 @@
+"""The salted join equals the plain join, and really spreads the hot key."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemerge.operators.skew import hot_keys, spread_join
+from tidemerge.session import sized_for
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.col("id").cast("string"))
+    left = spark.range(0, 3000, 1, 4).select(key.alias("k"), "id")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("10", 3), ("11", 4), (None, 5), ("none", 6)], "k string, v bigint")
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_same_rows(sides, how):
+    left, right = sides
+    spread, plain = spread_join(left, right, ["k"], how, sample=1.0, salts=16), left.join(right, ["k"], how)
+    assert spread.columns == plain.columns
+    assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+
+
+def test_only_the_hot_key_is_hot(sides):
+    left, right = sides
+    assert [r.k for r in hot_keys(left, ["k"], 1.0)] == ["hot"]
+    assert hot_keys(right, ["k"], 1.0) == []
+
+
+def test_hot_rows_reach_many_tasks(spark, sides):
+    left, right = sides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def tasks(df):
+            return df.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks(left.join(right, ["k"], "left")) == 1
+        assert tasks(spread_join(left, right, ["k"], "left", sample=1.0, salts=64)) >= 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_plain_join_without_hot_keys(sides):
+    left, right = sides
+    df = spread_join(right, left.select("k"), ["k"], "left_anti", sample=1.0)
+    assert "_salt" not in df._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError):
+        spread_join(left, right, ["k"], "full_outer")
+
+
+def test_sized_for():
+    assert sized_for(1)["spark.sql.shuffle.partitions"] == "200"
+    assert int(sized_for(100_000)["spark.sql.shuffle.partitions"]) == 512_000

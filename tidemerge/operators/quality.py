@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemerge.operators.skew import spread_join
+
 
 def blank(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -35,12 +37,8 @@ def reconcile_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
 
 
 def orphans(statuses: DataFrame, messages: DataFrame, key: str = "turn_message_id") -> DataFrame:
-    """Statuses whose message is unknown.
-
-    Both sides enter the join straight from their shuffle (no distinct in between), which is the
-    shape AQE can split when one message holds a large share of the statuses.
-    """
-    return statuses.join(messages.select(key), key, "left_anti")
+    """Statuses whose message is unknown, also when one message holds a large share of them."""
+    return spread_join(statuses, messages.select(key), [key], "left_anti")
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

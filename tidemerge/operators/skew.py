@@ -1,0 +1,52 @@
+"""Joins that survive hot keys.
+
+AQE splits a skewed join only where nothing after it relies on the join's partitioning. This join
+does not depend on that: rows of the few hot keys (and rows without a key, which match nothing) are
+spread over many tasks by a salt, and only the matching rows of the other side are repeated.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+
+SAMPLE_SHARE = 1e-4   # rows looked at to find hot keys; the join itself uses every row
+HOT_SHARE = 1e-3      # a key above this share of the sample is hot, so there are at most 1,000 of them
+HOT_MIN_ROWS = 20     # fewer sampled rows than this say nothing
+SALTS = 512
+
+
+def hot_keys(df: DataFrame, keys: list[str], sample: float = SAMPLE_SHARE) -> list[Row]:
+    """Keys that hold a large share of the rows, most frequent first."""
+    seen = df.select(*keys) if sample >= 1 else df.select(*keys).sample(sample, seed=17)
+    counts = seen.na.drop(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= HOT_MIN_ROWS)
+    top = counts.orderBy(F.desc("_n")).limit(int(1 / HOT_SHARE)).collect()
+    if not top:
+        return []
+    total = seen.count()
+    return [r for r in top if r["_n"] >= HOT_SHARE * total]
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, sample: float = SAMPLE_SHARE,
+                salts: int = SALTS) -> DataFrame:
+    """``left.join(right, keys, how)`` for inner, left, left_semi and left_anti joins whose left side
+    may have hot keys. Without any it is the plain join."""
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(how)
+    hot = hot_keys(left, keys, sample)
+    if not hot:
+        return left.join(right, keys, how)
+    spark = left.sparkSession
+    flags = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], left.select(*keys).schema)
+                        .withColumn("_hot", F.lit(True)))
+    keyless: Column = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # the running number is the same when a task runs again on the same input split
+    number = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    salted = left.withColumn("_number", number).join(flags, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | keyless, F.col("_number")).otherwise(0)).drop("_hot", "_number")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")) \
+        .otherwise(F.array(F.lit(0).cast("bigint")))
+    repeated = right.join(flags, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -79,7 +79,7 @@ def mark_complete(state: DataFrame, counts: DataFrame, runs: DataFrame, as_of) -
     kind = state.schema["historical_completed_at"].dataType
     return state.join(facts, "table_key", "left").withColumn(
         "historical_completed_at",
-        F.when(done, as_instant(as_of).cast(kind)).otherwise(F.col("historical_completed_at")))
+        F.when(done, as_instant(as_of).cast(kind)).otherwise(F.col("historical_completed_at"))).drop("coverage", "all_historical")
 
 
 def reset(state: DataFrame, table_key: Column | str) -> DataFrame:

@@ -158,7 +158,7 @@ def _(t):
                          S.payload_hash(payload).alias("payload_hash"))
     loaded = t.customer.select(F.col("c_custkey").alias("turn_contact_id"), F.lit("1995-01-01").alias("turn_updated_at"),
                                F.col("c_mktsegment").alias("segment"))
-    return L.load_contacts(rows(loaded), rows(SI.contacts(t)))
+    return L.load_contacts(rows(loaded), rows(SI.contacts(t, spread=True)))
 
 
 @query("publish_view", """

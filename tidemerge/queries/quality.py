@@ -44,7 +44,7 @@ def _(t):
     SELECT turn_contact_id, {stamp_sql('turn_updated_at')} AS turn_updated_at, COUNT(*) AS copies
     FROM s_contacts GROUP BY turn_contact_id, s_contacts.turn_updated_at HAVING COUNT(*) > 1""")
 def _(t):
-    return Q.duplicates(SI.contacts(t), ["turn_contact_id", "turn_updated_at"])
+    return Q.duplicates(SI.contacts(t, spread=True), ["turn_contact_id", "turn_updated_at"])
 
 
 @query("missing_field_counts", """

@@ -72,7 +72,7 @@ STAND_INS = {
         SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY table_key ORDER BY finished_at DESC, run_id DESC) AS rn2
                        FROM s_runs WHERE status = 'success') WHERE rn2 = 1""",
     "s_target": """
-        SELECT o_orderkey AS message_id, CAST(1 AS BIGINT) AS seq, o_orderstatus AS status, o_totalprice AS amount,
+        SELECT o_orderkey AS message_id, CAST(substring(o_orderpriority, 1, 1) AS BIGINT) AS seq, o_orderstatus AS status, o_totalprice AS amount,
                o_orderdate AS ts FROM orders""",
     "s_batch": """
         SELECT l_orderkey AS message_id, CAST(l_linenumber AS BIGINT) AS seq, l_linestatus AS status,

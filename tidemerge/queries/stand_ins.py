@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemerge.operators.skew import spread_join
 from tidemerge.operators.state import empty_state, fold_runs
 from tidemerge.plans.chunks import tier_for_rows
 from tidemerge.queries.base import Tables
@@ -49,8 +50,11 @@ def statuses(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("status_timestamp"), F.col("l_suppkey").alias("recipient_id"), status.alias("status"))
 
 
-def contacts(t: Tables) -> DataFrame:
-    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+def contacts(t: Tables, spread: bool = False) -> DataFrame:
+    """``spread`` is for users that group by contact right after the join, where AQE would have to
+    leave the partition of a hot customer whole."""
+    orders, customers = t.orders.select("o_custkey", "o_orderdate"), t.customer.withColumnRenamed("c_custkey", "o_custkey")
+    joined = spread_join(orders, customers, ["o_custkey"], "inner") if spread else orders.join(customers, "o_custkey")
     return joined.select(
         F.col("o_custkey").alias("turn_contact_id"), F.col("o_orderdate").alias("turn_updated_at"),
         F.col("c_name").alias("whatsapp_profile_name"), F.col("c_mktsegment").alias("segment"),
@@ -119,7 +123,7 @@ def pipeline_runs(t: Tables) -> DataFrame:
 
 def merge_target(t: Tables) -> DataFrame:
     return t.orders.select(
-        F.col("o_orderkey").alias("message_id"), F.lit(1).cast("bigint").alias("seq"),
+        F.col("o_orderkey").alias("message_id"), F.substring("o_orderpriority", 1, 1).cast("bigint").alias("seq"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("ts"))
 
 

@@ -81,7 +81,7 @@ _SNAPSHOT_SQL = f"""
 
 @query("view_sanity_snapshot", _SNAPSHOT_SQL)
 def snapshot(t):
-    return V.sanity_snapshot(SI.redelivered(t), SI.statuses(t), SI.contacts(t), SI.webhooks(t), SI.shifted_runs(t), AS_OF)
+    return V.sanity_snapshot(SI.redelivered(t), SI.statuses(t), SI.contacts(t, spread=True), SI.webhooks(t), SI.shifted_runs(t), AS_OF)
 
 
 def _per_day(name, ts, table, extra=""):

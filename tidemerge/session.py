@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from functools import cache
@@ -21,6 +22,19 @@ SETTINGS = {
 }
 
 
+def sized_for(shuffle_gb: float, task_mb: int = 200) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffle_gb``: enough partitions for ``task_mb`` each.
+
+    AQE starts from that number and merges small partitions, so a high guess costs little.
+    """
+    partitions = max(200, math.ceil(shuffle_gb * 1024 / task_mb))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{task_mb}m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def build_session(app: str = "tidemerge", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
