@@ -7,6 +7,8 @@ row per task. The target is shuffled at most once per merge.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,17 +151,13 @@ def create_target(spark: SparkSession, source: T.StructType, keys: list[str] = (
 def schema_table(tables: dict[str, DataFrame]) -> DataFrame:
     """Column list of the targets of several tables, with the null count that decides whether a
     column could be declared non-null. One pass per table; the counts are unpivoted afterwards."""
-    parts = None
-    for name, df in tables.items():
-        schema = target_schema(df.schema)
-        fields = [f for f in schema if f.name != LOADED_AT]
-        nulls = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f.name) for f in fields])
-        rows = F.array(*[F.struct(F.lit(i).cast("bigint").alias("position"), F.lit(f.name).alias("column_name"),
-                                  F.lit(f.dataType.simpleString()).alias("target_type"),
-                                  F.col(f"`{f.name}`").alias("null_count")) for i, f in enumerate(fields)],
-                       F.struct(F.lit(len(fields)).cast("bigint").alias("position"),
-                                F.lit(LOADED_AT).alias("column_name"),
-                                F.lit("timestamp").alias("target_type"), F.lit(0).cast("bigint").alias("null_count")))
-        part = nulls.select(F.lit(name).alias("table_name"), F.inline(rows))
-        parts = part if parts is None else parts.unionByName(part)
+    def one(name: str, df: DataFrame) -> DataFrame:
+        fields = target_schema(df.schema).fields
+        nulls = df.selectExpr(*[f"COUNT_IF(`{f.name}` IS NULL) AS `{f.name}`" for f in fields if f.name != LOADED_AT])
+        rows = ", ".join(
+            f"named_struct('position', {i}L, 'column_name', '{f.name}', 'target_type', '{f.dataType.simpleString()}', "
+            f"'null_count', {'0L' if f.name == LOADED_AT else f'`{f.name}`'})" for i, f in enumerate(fields))
+        return nulls.selectExpr(f"'{name}' AS table_name", f"inline(array({rows}))")
+
+    parts = reduce(DataFrame.unionAll, [one(n, d) for n, d in tables.items()])
     return parts.withColumn("can_be_required", F.col("null_count") == 0)

@@ -72,7 +72,7 @@ def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str],
     try:
         rows = _bucket_rows(tagged)
         hit = old.where(F.col(BUCKET).isin(list(rows)))
-        fresh = M.new_rows(hit, tagged, [BUCKET, *keys], order, sum(rows.values()) <= SMALL_BATCH_ROWS)
+        fresh = M.new_rows(hit, tagged, [*keys, BUCKET], order, sum(rows.values()) <= SMALL_BATCH_ROWS)
         _write(fresh.select(*tagged.columns), path, "append")
     finally:
         tagged.unpersist()
@@ -89,11 +89,11 @@ def update_into(batch: DataFrame, path: str, keys: list[str], update: list[str],
     spark = batch.sparkSession
     tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
     if read_target(spark, path, _key_schema(tagged, keys)) is None:
-        _write(M.merge_update(tagged.limit(0), tagged, [BUCKET, *keys], update, order), path, "append")
+        _write(M.merge_update(tagged.limit(0), tagged, [*keys, BUCKET], update, order), path, "append")
         return
     old = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(list(_bucket_rows(tagged))))
     staged = work_path(spark, "merge")
-    _write(M.merge_update(old, tagged, [BUCKET, *keys], update, order), staged, "overwrite")
+    _write(M.merge_update(old, tagged, [*keys, BUCKET], update, order), staged, "overwrite")
     _write(spark.read.parquet(staged), path, "overwrite")
 
 

@@ -47,12 +47,17 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in INPUT_TABLES:
             raise AttributeError(name)
-        return read_table(self.spark, self.folder, name)
+        return read_table(self.spark, self.folder, name, INPUT_TABLES[name])
 
     @cached_property
     def all(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in INPUT_TABLES}
 
+    @cached_property
+    def discovered(self) -> dict[str, DataFrame]:
+        """All tables with the schema their files declare."""
+        return {name: read_table(self.spark, self.folder, name) for name in INPUT_TABLES}
+
 
 def columns_of(table: str) -> list[tuple[str, str]]:
     return [tuple(c.split(" ")) for c in INPUT_TABLES[table].split(", ")]

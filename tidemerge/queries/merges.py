@@ -91,7 +91,7 @@ def _schema_sql() -> str:
 
 @query("create_target_schema", _schema_sql())
 def _(t):
-    return M.schema_table(t.all)
+    return M.schema_table(t.discovered)
 
 
 @query("evolve_add_columns", """

@@ -6,21 +6,21 @@ from tidemerge.functions.scalars import variant_at
 from tidemerge.operators import normalize as N
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
-from tidemerge.sources.pages import CONTACT_PAGE, envelopes
+from tidemerge.sources.pages import CONTACT_PAGE, envelopes, over_all_cores
 
 _MSG_TIME = "TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn * 60)"
 
 
 def _messages(t):
-    return N.flatten_messages(envelopes(SI.message_pages(t)))
+    return N.flatten_messages(envelopes(over_all_cores(SI.message_pages(t))))
 
 
 def _statuses(t):
-    return N.flatten_statuses(envelopes(SI.status_pages(t)))
+    return N.flatten_statuses(envelopes(over_all_cores(SI.status_pages(t))))
 
 
 def _contacts(t):
-    return N.flatten_contacts(envelopes(SI.contact_pages(t), shape=CONTACT_PAGE))
+    return N.flatten_contacts(envelopes(over_all_cores(SI.contact_pages(t)), shape=CONTACT_PAGE))
 
 
 @query("flatten_messages", """

@@ -30,7 +30,8 @@ def _(t):
     pages = SI.status_pages(_EventStream(t))
     twice = pages.unionAll(SI.status_pages(_EventStream(t)))  # overlapping reads deliver everything again
     path = work_path(t.spark, "statuses")
-    ingest_stream(twice, "statuses", path, work_path(t.spark, "checkpoint"), "run-1", buckets=8)
+    ingest_stream(twice, "statuses", path, work_path(t.spark, "checkpoint"), "run-1", buckets=8,
+                  tasks=t.spark.sparkContext.defaultParallelism)
     return read_target(t.spark, path).select("turn_message_id", "status_timestamp", "status")
 
 

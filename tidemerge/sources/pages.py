@@ -23,6 +23,15 @@ def stream_pages(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.text(path)
 
 
+def over_all_cores(pages: DataFrame) -> DataFrame:
+    """Pages spread over the cores when they arrive in fewer splits than there are cores.
+
+    Opening a page costs far more than moving it; input with enough splits is left as it is.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores)
+
+
 def envelopes(pages: DataFrame, page: Column | str = "value", shape: str = ENVELOPE_PAGE) -> DataFrame:
     """One row per item of ``data`` in column ``envelope``; other columns of ``pages`` are kept."""
     kept = [c for c in pages.columns if c != page]

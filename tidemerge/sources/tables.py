@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from tidemerge.settings import EGRESS_PRICE_PER_GB, FREE_TB, QUERY_PRICE_PER_TB
 
 
-def read_table(spark: SparkSession, folder: str, name: str, merge_schema: bool = False) -> DataFrame:
-    return spark.read.option("mergeSchema", merge_schema).parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A Parquet table. A known schema saves the job that reads it from the file footers."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def _bound(df: DataFrame, column: str, value) -> Column:
@@ -57,34 +59,29 @@ def max_watermark(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("max_watermark"))
 
 
-def logical_bytes(field: T.StructField) -> Column:
-    """Bytes of one value: 8 for numbers and times, 1 for booleans, 2 + UTF-8 length for text."""
-    c, kind = F.col(f"`{field.name}`"), field.dataType
+def logical_bytes(field: T.StructField) -> str:
+    """SQL for the bytes of one value: 8 for numbers and times, 1 for booleans, 2 + UTF-8 length for text."""
+    c, kind = f"`{field.name}`", field.dataType
     if isinstance(kind, T.ArrayType):
-        width = F.size(c).cast("bigint") * 8
+        width = f"CAST(size({c}) AS BIGINT) * 8"
     elif isinstance(kind, (T.StringType, T.BinaryType)):
-        width = F.octet_length(c).cast("bigint") + 2
-    elif isinstance(kind, T.BooleanType):
-        width = F.lit(1).cast("bigint")
-    elif isinstance(kind, T.DecimalType):
-        width = F.lit(16).cast("bigint")
+        width = f"CAST(octet_length({c}) AS BIGINT) + 2"
     elif isinstance(kind, T.StructType):
-        width = F.octet_length(F.to_json(c)).cast("bigint") + 2
+        width = f"CAST(octet_length(to_json({c})) AS BIGINT) + 2"
     else:
-        width = F.lit(8).cast("bigint")
-    return F.when(c.isNotNull(), width).otherwise(F.lit(0))
+        width = "1L" if isinstance(kind, T.BooleanType) else "16L" if isinstance(kind, T.DecimalType) else "8L"
+    return f"IF({c} IS NULL, 0L, {width})"
 
 
 def inventory(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: rows, columns and logical size, each from one aggregate over the table."""
     def one(name: str, df: DataFrame) -> DataFrame:
-        width = reduce(lambda a, b: a + b, [logical_bytes(f) for f in df.schema])
-        return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(width).alias("size_bytes")).select(
-            F.lit(name).alias("table_name"), "row_count",
-            F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-            F.coalesce("size_bytes", F.lit(0)).cast("bigint").alias("size_bytes"))
+        fields = df.schema.fields
+        return df.selectExpr(
+            f"'{name}' AS table_name", "COUNT(*) AS row_count", f"CAST({len(fields)} AS BIGINT) AS column_count",
+            f"COALESCE(SUM({' + '.join(map(logical_bytes, fields))}), 0L) AS size_bytes")
 
-    return reduce(DataFrame.unionByName, [one(n, d) for n, d in tables.items()])
+    return reduce(DataFrame.unionAll, [one(n, d) for n, d in tables.items()])
 
 
 def stored_bytes(df: DataFrame) -> DataFrame:
