@@ -99,3 +99,30 @@ def test_refresh_and_report_sql(spark, tables, fresh):
     flags = spark.sql("SELECT SUM(opted_in_snapshots) FROM reports.mv_contact_snapshots_daily").collect()[0][0]
     assert flags == tables.customer.where("c_acctbal > 1000 AND c_mktsegment <> 'BUILDING'").count()
     spark.sql("DROP DATABASE reports CASCADE")
+
+
+def test_ingest_pages_logs_and_moves_the_cursor(spark, fresh):
+    import json
+    path = fresh("pages")
+
+    def page(ids):
+        items = [{"id": f"s{i}", "status": "sent", "timestamp": str(1704067200 + i)} for i in ids] + [{"id": "bad"}]
+        return spark.createDataFrame([(json.dumps({"data": [{"statuses": items}]}),)], "value string")
+
+    window = ("2024-01-01 00:00:00", "2024-01-01 01:00:00")
+    first = jobs.ingest_pages(page([1, 2, 2, 3]), "statuses", path, "r1", window, "2024-01-01 01:02:00", buckets=2)
+    r = first.collect()[0]
+    assert (r.status, r.rows_seen, r.rows_written, r.rows_deduped, r.source) == ("success", 4, 3, 1, "export_statuses")
+    again = jobs.ingest_pages(page([3, 4]), "statuses", path, "r2", window, "2024-01-01 01:17:00", buckets=2)
+    r = again.collect()[0]
+    assert (r.rows_seen, r.rows_written, r.rows_deduped) == (2, 1, 1) and store.read_target(spark, path).count() == 4
+    failed = jobs.ingest_pages(page([5]).withColumnRenamed("value", "x"), "statuses", path, "r3", window, "2024-01-01 02:00:00")
+    assert failed.collect()[0].status == "failed"
+    errors = ST.error_log(failed, "ingest", ["window_start", "window_end"]).collect()
+    assert len(errors) == 1 and "2024-01-01" in errors[0].error_context
+    cursors = spark.createDataFrame([], "pipeline_name string, entity_type string, last_cursor_at timestamp_ntz, last_window_start "
+                                        "timestamp_ntz, last_window_end timestamp_ntz, last_run_id string, last_success_at "
+                                        "timestamp_ntz, rows_seen_last_run bigint, rows_written_last_run bigint")
+    moved = ST.upsert_cursor(cursors, first.unionByName(again).unionByName(failed)).collect()
+    assert [(c.pipeline_name, c.last_run_id, str(c.last_cursor_at)) for c in moved] == [
+        ("statuses_incremental", "r2", "2024-01-01 01:00:00")]

@@ -1,4 +1,4 @@
-"""Whole jobs: sync one table, verify it, refresh the published views.
+"""Whole jobs: sync one table, ingest pages, verify a load, refresh the published views.
 
 Rows stay in Spark throughout. The driver sees the plan of a table (one row per chunk), one row of
 figures per run, and the outcome of each view.
@@ -14,7 +14,10 @@ from tidemerge.operators import merge as M
 from tidemerge.operators import state as ST
 from tidemerge.operators import store
 from tidemerge.operators import views as V
+from tidemerge.operators.load import KEYS, arrival_order
+from tidemerge.settings import ENTITIES
 from tidemerge.sources.tables import row_count, scan_full, scan_range, scan_since
+from tidemerge.streaming.ingest import normalized_stream
 
 # --- fixed values: columns of the transfer run log
 TRANSFER_RUNS = (
@@ -83,6 +86,36 @@ def _figures(rows: DataFrame, keys: list[str], column: str | None) -> tuple:
     return r["n"], r["skipped"], r["top"]
 
 
+def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window: tuple[str, str], as_of: str,
+                 page: str = "value", buckets: int = 64) -> DataFrame:
+    """Landed pages of one window into their dataset; returns the row for the ingestion log.
+
+    Seen rows are those that survive normalisation; written ones were absent before. A failure is
+    recorded, not raised; its text and window also fit ``state.error_log``.
+    """
+    spark = pages.sparkSession
+    seen, written, deduped, status, error = 0, 0, 0, "success", None
+    try:
+        rows = normalized_stream(pages, entity, run_id, page).persist()  # counted, then merged
+        try:
+            keys = KEYS[entity]
+            key_schema = rows.select(*keys).schema
+            target = store.read_target(spark, path, key_schema)
+            target = spark.createDataFrame([], key_schema) if target is None else target
+            seen, written, deduped = M.insert_stats(target, rows, keys).collect()[0]
+            store.insert_into(rows, path, keys, arrival_order(rows, entity), buckets)
+        finally:
+            rows.unpersist()
+    except Exception as problem:  # noqa: BLE001 - the run log must show every failure
+        seen, written, deduped, status, error = 0, 0, 0, "failed", str(problem).splitlines()[0][:2000]
+    row = [(run_id, entity, ENTITIES[entity]["source"], status, seen, written, deduped, error)]
+    log = spark.createDataFrame(row, "run_id string, entity_type string, source string, status string, rows_seen bigint, "
+                                     "rows_written bigint, rows_deduped bigint, error_message string")
+    start, end, now = (as_instant(x).cast("timestamp_ntz") for x in (*window, as_of))
+    return log.withColumns({"window_start": start, "window_end": end, "started_at": now, "finished_at": now,
+                            "pipeline_name": F.concat("entity_type", F.lit("_incremental"))})
+
+
 def verify(state: DataFrame, sources: dict[str, DataFrame], paths: dict[str, str], runs: DataFrame, as_of: str) -> DataFrame:
     """State with the completion time set where source and target counts allow it.
 

@@ -15,14 +15,19 @@ def _n() -> Column:
     return F.count(F.lit(1))
 
 
-def message_volume_daily(messages: DataFrame) -> DataFrame:
+def _distinct(column: str, approximate: bool) -> Column:
+    return F.approx_count_distinct(column) if approximate else F.countDistinct(column)
+
+
+def message_volume_daily(messages: DataFrame, approximate: bool = False) -> DataFrame:
     """Messages and distinct contacts per day, direction and type.
 
     The distinct count is planned by Spark as a first aggregate on (group, contact), so a group that
-    holds a third of all rows is still spread over all tasks.
+    holds a third of all rows is still spread over all tasks. ``approximate`` counts contacts with a
+    sketch in a single shuffle.
     """
     return messages.groupBy(F.to_date("message_timestamp").alias("metric_date"), "direction", "message_type").agg(
-        _n().alias("message_count"), F.countDistinct("contact_wa_id").alias("unique_contacts"))
+        _n().alias("message_count"), _distinct("contact_wa_id", approximate).alias("unique_contacts"))
 
 
 def status_funnel_daily(messages: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -44,9 +49,9 @@ def status_funnel_daily(messages: DataFrame, statuses: DataFrame) -> DataFrame:
         "read_rate_pct": rate("read_messages", "delivered_messages")})
 
 
-def contact_snapshots_daily(contacts: DataFrame) -> DataFrame:
+def contact_snapshots_daily(contacts: DataFrame, approximate: bool = False) -> DataFrame:
     return contacts.groupBy(F.to_date("turn_updated_at").alias("metric_date")).agg(
-        _n().alias("snapshot_count"), F.countDistinct("turn_contact_id").alias("contacts_touched"),
+        _n().alias("snapshot_count"), _distinct("turn_contact_id", approximate).alias("contacts_touched"),
         F.count_if("opted_in").alias("opted_in_snapshots"), F.count_if("onboarded").alias("onboarded_snapshots"))
 
 
@@ -140,7 +145,7 @@ def card(view: DataFrame, order: list[Column | str] = (), limit: int | None = No
         out = out.orderBy(*order)
     if limit:
         out = out.limit(limit)
-    return out.withColumn(rank, F.row_number().over(Window.orderBy(*order))) if rank else out
+    return out.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint")) if rank else out
 
 
 def latest_first(column: str = "metric_date") -> Column:

@@ -72,8 +72,6 @@ def as_text(df: DataFrame) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name)
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd").alias(f.name)
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
-            c = c.cast("bigint").alias(f.name)
         out.append(c)
     return df.select(*out)
 

@@ -99,7 +99,7 @@ def _(t):
     UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier""")
 def _(t):
     target = t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
-                           F.col("p_size").cast("bigint").alias("size"))
+                           F.col("p_size").alias("size"))
     batch = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     return M.evolve(target, batch)
 

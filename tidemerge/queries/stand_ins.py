@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge.operators.skew import spread_join
@@ -140,7 +140,7 @@ MERGE_ORDER = ["ts", "status", "amount"]
 
 # ---------------------------------------------------------------- API pages, built as JSON text
 
-def _page(item) -> F.col:
+def _page(item: Column) -> Column:
     return F.to_json(F.struct(F.array(item).alias("data"), F.struct(F.lit(None).cast("string").alias("next")).alias("paging")))
 
 

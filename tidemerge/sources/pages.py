@@ -26,7 +26,8 @@ def stream_pages(spark: SparkSession, path: str, max_files: int | None = None) -
 def over_all_cores(pages: DataFrame) -> DataFrame:
     """Pages spread over the cores when they arrive in fewer splits than there are cores.
 
-    Opening a page costs far more than moving it; input with enough splits is left as it is.
+    Opening a page costs far more than moving it; input with enough splits is left as it is. Meant for
+    pages straight from a scan, whose number of splits is known without running anything.
     """
     cores = pages.sparkSession.sparkContext.defaultParallelism
     return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores)

@@ -62,14 +62,20 @@ def dedupe_stream(stream: DataFrame, keys: list[str], ts: str, delay: str) -> Da
 
 
 def volume_stream(stream: DataFrame, ts: str, by: list[str], path: str, checkpoint: str,
-                  buckets: int = 8) -> StreamingQuery:
+                  buckets: int = 8, distinct: str | None = None) -> StreamingQuery:
     """Daily counts kept current in a keyed dataset, updated groups only.
 
+    ``distinct`` adds an approximate count of distinct values of a column (exact ones cannot be kept
+    up to date on a stream).
+
     No watermark: late rows still count, and the state is one number per day and group.
     """
-    daily = stream.groupBy(F.window(ts, "1 day").alias("w"), *by).agg(F.count(F.lit(1)).alias("row_count"))
-    rows = daily.select(F.to_date("w.start").alias("metric_date"), *by, "row_count")
+    figures = [F.count(F.lit(1)).alias("row_count")]
+    if distinct:
+        figures.append(F.approx_count_distinct(distinct).alias("unique_values"))
+    daily = stream.groupBy(F.window(ts, "1 day").alias("w"), *by).agg(*figures)
     keys = ["metric_date", *by]
+    rows = daily.select(F.to_date("w.start").alias("metric_date"), *[c for c in daily.columns if c != "w"])
     return run_available(rows, checkpoint, lambda b, _: replace_into(b, path, keys, ["row_count"], buckets), "update")
 
 
