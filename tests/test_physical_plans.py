@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemerge.operators import merge as M
 from tidemerge.queries import QUERIES

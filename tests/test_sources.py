@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidemerge.operators import views as V
 from tidemerge.queries import stand_ins as SI

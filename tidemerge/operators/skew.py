@@ -1,8 +1,12 @@
 """Joins that survive hot keys.
 
-AQE splits a skewed join only where nothing after it relies on the join's partitioning. This join
-does not depend on that: rows of the few hot keys (and rows without a key, which match nothing) are
-spread over many tasks by a salt, and only the matching rows of the other side are repeated.
+AQE splits a skewed join only where nothing after it relies on the join's partitioning. These joins
+do not depend on that. Rows of the few hot keys, and rows without a key (which match nothing), never
+meet in one task:
+
+* semi and anti joins only ask whether a key exists, so hot keys are answered once and their rows
+  are not shuffled at all;
+* inner and left joins spread them by a salt and repeat only the matching rows of the other side.
 """
 
 from __future__ import annotations
@@ -38,10 +42,11 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, sa
     hot = hot_keys(left, keys, sample)
     if not hot:
         return left.join(right, keys, how)
-    spark = left.sparkSession
-    flags = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], left.select(*keys).schema)
-                        .withColumn("_hot", F.lit(True)))
+    listed = left.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], left.select(*keys).schema)
     keyless: Column = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    if how in ("left_semi", "left_anti"):
+        return _answer_hot(left, right, keys, how, listed, keyless)
+    flags = F.broadcast(listed.withColumn("_hot", F.lit(True)))
     # the running number is the same when a task runs again on the same input split
     number = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
     salted = left.withColumn("_number", number).join(flags, keys, "left").withColumn(
@@ -50,3 +55,15 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, sa
         .otherwise(F.array(F.lit(0).cast("bigint")))
     repeated = right.join(flags, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def _answer_hot(left: DataFrame, right: DataFrame, keys: list[str], how: str, listed: DataFrame,
+                keyless: Column) -> DataFrame:
+    """Semi or anti join: one answer per hot key (at most 1,000) is sent to the left scan."""
+    found = right.select(*keys).join(F.broadcast(listed), keys, "left_semi").distinct().withColumn("_found", F.lit(True))
+    answers = listed.join(found, keys, "left").na.fill(False, ["_found"])
+    tagged = left.join(F.broadcast(answers), keys, "left")
+    kept = F.col("_found") if how == "left_semi" else (~F.col("_found") | keyless)
+    answered = tagged.where(kept).drop("_found")
+    others = tagged.where(F.col("_found").isNull() & ~keyless).drop("_found").join(right, keys, how)
+    return answered.unionByName(others)
