@@ -4,8 +4,9 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from tidemerge.queries import ORACLES, QUERIES
 
-NAMES = list(contract.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,8 @@ def test_query_matches_sql(spark, con, folder, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(ORACLES) == set(NAMES)
+    assert set(NAMES) <= set(contract.queries()) and set(NAMES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
