@@ -1,6 +1,6 @@
 """Operations of a training-data pipeline, with their queries and SQL. Nothing outside this folder imports it."""
 
-from tidemerge.llm import ann, bpe, fingerprints, license_scan, lm, mixing, quality, simhash, urls  # noqa: F401
+from tidemerge.llm import ann, bpe, fingerprints, license_scan, lm, mixing, quality, simhash, suffixes, urls  # noqa: F401
 from tidemerge.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
