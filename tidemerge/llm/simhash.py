@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -101,6 +101,14 @@ def links(prints: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
+def _rooted(prints: DataFrame) -> DataFrame:
+    """``fp, smallest, root``: for each distinct fingerprint of ``prints`` (doc_id, fp) its smallest id and its class."""
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
+    roots = components(links(classes))
+    return classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "smallest", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, fp, component_id``: a row for each row of ``docs``.
 
@@ -109,15 +117,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     and never the smallest; a component of null ids only has a null ``component_id``.
     """
     prints = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text)).alias("fp")), "simhash")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
-    roots = components(links(classes))
-    rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "smallest", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(prints)
     heads = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     return prints.join(rooted.join(heads, "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id")
 
 
+def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of the smallest id stays, of equal ids
+    the first by text, and one of rows that are equal in both."""
+    marked = docs.withColumn("_fp", fingerprint_column(F.col(text)))
+    rooted = stored(_rooted(stored(marked.select(F.col(doc_id).alias("doc_id"), F.col("_fp").alias("fp")), "simhash"))
+                    .select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "roots")
+    first = Window.partitionBy("_root").orderBy(F.col(doc_id).asc_nulls_last(), text)
+    return (marked.join(rooted, "_fp").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns))
+
+
 @query("op10_simhash")
 def op10_simhash(spark, folder):
     found = near_duplicates(table(spark, folder, "documents", "doc_id", "text"))

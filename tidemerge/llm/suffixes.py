@@ -341,6 +341,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Every occurrence goes. Rows stay, also those whose text is empty afterwards; a null text stays null.
     """
+    columns = docs.columns
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
@@ -352,7 +354,7 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
                     texts.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode("utf-8", "surrogatepass"))
                 else:
                     texts.append(value.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text else batch.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text else batch.column(c) for c in columns], columns)
 
     return _with_runs(docs, text).mapInArrow(cut, docs.schema)
 
