@@ -16,6 +16,7 @@ from tidemerge.operators import store
 from tidemerge.operators import views as V
 from tidemerge.operators.load import KEYS, arrival_order
 from tidemerge.settings import ENTITIES
+from tidemerge.sources import files
 from tidemerge.sources.tables import row_count, scan_full, scan_range, scan_since
 from tidemerge.streaming.ingest import normalized_stream
 
@@ -42,7 +43,7 @@ def planned_rows(source: DataFrame, chunks: list[Row], column: str | None) -> Da
 
 
 def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row], run_id: str, as_of: str,
-               buckets: int = 64) -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     """Load the planned rows of one table into its dataset; returns the row for the run log.
 
     With a key the load is a merge and may be repeated at will. Without one it appends, unless the
@@ -66,7 +67,7 @@ def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row
             else:
                 store.insert_into(batch, path, keys, order, buckets)
     except Exception as problem:  # noqa: BLE001 - the run log must show every failure
-        figures, status, error = (0, 0, None), "failed", str(problem).splitlines()[0][:2000]
+        figures, status, error = (0, 0, None), "failed", str(problem)
     row = spark.createDataFrame([(run_id, entry["table_key"], kind, status, figures[0], figures[1], start, figures[2], error)],
                                 "run_id string, table_key string, run_type string, status string, rows_seen bigint, "
                                 "rows_skipped bigint, watermark_start string, watermark_end timestamp_ntz, error_message string")
@@ -87,7 +88,7 @@ def _figures(rows: DataFrame, keys: list[str], column: str | None) -> tuple:
 
 
 def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window: tuple[str, str], as_of: str,
-                 page: str = "value", buckets: int = 64) -> DataFrame:
+                 page: str = "value", buckets: int | None = None) -> DataFrame:
     """Landed pages of one window into their dataset; returns the row for the ingestion log.
 
     Seen rows are those that survive normalisation; written ones were absent before. A failure is
@@ -96,18 +97,11 @@ def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window:
     spark = pages.sparkSession
     seen, written, deduped, status, error = 0, 0, 0, "success", None
     try:
-        rows = normalized_stream(pages, entity, run_id, page).persist()  # counted, then merged
-        try:
-            keys = KEYS[entity]
-            key_schema = rows.select(*keys).schema
-            target = store.read_target(spark, path, key_schema)
-            target = spark.createDataFrame([], key_schema) if target is None else target
-            seen, written, deduped = M.insert_stats(target, rows, keys).collect()[0]
-            store.insert_into(rows, path, keys, arrival_order(rows, entity), buckets)
-        finally:
-            rows.unpersist()
+        rows = normalized_stream(pages, entity, run_id, page)
+        done = store.insert_into(rows, path, KEYS[entity], arrival_order(rows, entity), buckets)
+        seen, written, deduped = done.rows_seen, done.rows_written, done.rows_deduped
     except Exception as problem:  # noqa: BLE001 - the run log must show every failure
-        seen, written, deduped, status, error = 0, 0, 0, "failed", str(problem).splitlines()[0][:2000]
+        seen, written, deduped, status, error = 0, 0, 0, "failed", str(problem)
     row = [(run_id, entity, ENTITIES[entity]["source"], status, seen, written, deduped, error)]
     log = spark.createDataFrame(row, "run_id string, entity_type string, source string, status string, rows_seen bigint, "
                                      "rows_written bigint, rows_deduped bigint, error_message string")
@@ -116,6 +110,13 @@ def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window:
                             "pipeline_name": F.concat("entity_type", F.lit("_incremental"))})
 
 
+def _loaded(spark: SparkSession, path: str) -> DataFrame | None:
+    """A keyed dataset, or the runs of a keyless one; None before the first load."""
+    if any(n.startswith("run_id=") for n in files.children(spark, path)):
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    return store.read_target(spark, path)
+
+
 def verify(state: DataFrame, sources: dict[str, DataFrame], paths: dict[str, str], runs: DataFrame, as_of: str) -> DataFrame:
     """State with the completion time set where source and target counts allow it.
 
@@ -125,7 +126,7 @@ def verify(state: DataFrame, sources: dict[str, DataFrame], paths: dict[str, str
     spark = state.sparkSession
     counts = []
     for key, source in sources.items():
-        target = store.read_target(spark, paths[key])
+        target = _loaded(spark, paths[key])
         counts.append((key, row_count(source).collect()[0][0], 0 if target is None else row_count(target).collect()[0][0]))
     return ST.mark_complete(state, spark.createDataFrame(
         counts, "table_key string, source_count bigint, target_count bigint"), runs, as_of)

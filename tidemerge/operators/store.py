@@ -1,14 +1,19 @@
 """Merges into Parquet datasets, and published views.
 
-A target dataset is partitioned by a hash of its key, not by time: an updated row then stays in the
-directory of its key. A merge reads and writes only directories that the batch touches. Writes are
-plain Spark writes; a lost executor re-runs its tasks, a lost driver re-runs the merge, and both end
-in the same table.
+A dataset is parted into buckets by a hash of its key, not by time: an updated row stays in the bucket of its key. No
+file that readers may use is ever changed. A write puts its rows into a folder of its own below ``data`` and then adds
+a snapshot: a row that names the folders of every bucket, the bucket count, the key and the schema. Readers take the
+newest snapshot, so they see a write whole or not at all, and a write that dies half way leaves only a folder that no
+snapshot names. It may be repeated at any time. One writer at a time changes a dataset.
+
+``compact`` keeps the number of folders of a bucket bounded, ``vacuum`` removes what old snapshots held.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,89 +21,233 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemerge.operators import merge as M
-from tidemerge.session import work_path
+from tidemerge.sources import files
 
 BUCKET = "_bucket"
+DEFAULT_BUCKETS = 64
+#: A bucket of more folders than this is rewritten as one after an insert.
+MOST_FOLDERS = 8
+#: Snapshots that stay readable after a compaction.
+KEPT_SNAPSHOTS = 3
+
+_SNAPSHOT = "buckets int, keys array<string>, schema string, folders array<struct<bucket: int, folder: string>>, n long"
+
+#: Changes of a column's type that every stored value survives and that readers of older files make themselves.
+_WIDER = {
+    ("byte", "short"), ("byte", "integer"), ("byte", "long"), ("short", "integer"), ("short", "long"), ("integer", "long"),
+    ("float", "double"), ("byte", "double"), ("short", "double"), ("integer", "double"),
+}
+
 
-# A batch up to this many rows has its keys broadcast to the target scan; beyond it both sides shuffle.
-SMALL_BATCH_ROWS = 1_000_000
+@dataclass(frozen=True)
+class Snapshot:
+    number: int
+    buckets: int
+    keys: list[str]
+    schema: T.StructType
+    folders: dict[int, list[str]] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class Written:
+    """Rows with a key that a write met, rows it added, and those it found there or repeated in its batch."""
+    rows_seen: int = 0
+    rows_written: int = 0
+
+    @property
+    def rows_deduped(self) -> int:
+        return max(self.rows_seen - self.rows_written, 0)
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The dataset, or None before the first write. Without a schema the footers of all files are
-    merged, so that columns added later are seen; with one nothing but the listing is read."""
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+def snapshot(spark: SparkSession, path: str) -> Snapshot | None:
+    """The newest snapshot of a dataset, or None before the first write."""
     try:
-        found = reader.parquet(path)
+        row = spark.read.schema(_SNAPSHOT).json(f"{path}/snapshots").orderBy(F.desc("n")).first()
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return found if schema else found.drop(BUCKET)
+    if row is None:
+        return None
+    folders: dict[int, list[str]] = {}
+    for e in row["folders"]:
+        folders.setdefault(e["bucket"], []).append(e["folder"])
+    return Snapshot(row["n"], row["buckets"], list(row["keys"]), T.StructType.fromJson(_json(row["schema"])), folders)
+
+
+def _json(text: str) -> dict:
+    import json
+
+    return json.loads(text)
+
+
+def _commit(spark: SparkSession, path: str, new: Snapshot) -> None:
+    """Adds a snapshot. A number whose folder exists without a visible row belongs to a write that died: the next one
+    is taken."""
+    entries = [(b, f) for b, fs in sorted(new.folders.items()) for f in fs]
+    taken = {int(n.removeprefix("n=")) for n in files.children(spark, f"{path}/snapshots") if n.startswith("n=")}
+    number = max([new.number, *taken]) + 1
+    row = spark.createDataFrame([(new.buckets, new.keys, new.schema.json(), entries)], _SNAPSHOT.removesuffix(", n long"))
+    row.coalesce(1).write.mode("error").json(f"{path}/snapshots/n={number}")
+
+
+def _active(spark: SparkSession, path: str, at: Snapshot, buckets: set[int] | None = None) -> DataFrame:
+    paths = [f"{path}/data/{f}" for b, fs in at.folders.items() if buckets is None or b in buckets for f in fs]
+    return spark.read.schema(at.schema).parquet(*paths) if paths else spark.createDataFrame([], at.schema)
+
 
+def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The dataset as its newest snapshot has it, or None before the first write."""
+    at = snapshot(spark, path)
+    return None if at is None else _active(spark, path, at)
 
-def _bucket_rows(batch: DataFrame) -> dict[int, int]:
-    """Rows per directory of a batch: at most one entry per bucket comes to the driver."""
-    return {r[0]: r[1] for r in batch.groupBy(BUCKET).count().collect()}
 
+def _opened(batch: DataFrame, path: str, keys: list[str], buckets: int | None) -> tuple[Snapshot, DataFrame]:
+    """The snapshot to write on, under the schema that holds the batch too, and the batch under that schema."""
+    at = snapshot(batch.sparkSession, path)
+    if at is None:
+        return Snapshot(0, buckets or DEFAULT_BUCKETS, keys, _nullable(batch.schema)), batch
+    if buckets not in (None, at.buckets) or keys != at.keys:
+        raise ValueError(f"{path} has {at.buckets} buckets by {at.keys}, not {buckets} by {keys}")
+    schema, columns = grown(at.schema, batch.schema)
+    return replace(at, schema=schema), batch.select(*columns)
 
-def _key_schema(batch: DataFrame, keys: list[str]) -> T.StructType:
-    return T.StructType([batch.schema[k] for k in [*keys, BUCKET]])
 
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema])
 
-def _write(df: DataFrame, path: str, mode: str) -> None:
-    # Keys are unique by now, so no bucket is hot; a salt over the row spreads each over four tasks.
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != BUCKET]), F.lit(4))
-    (df.repartition(F.col(BUCKET), salt).write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
 
+def grown(stored: T.StructType, new: T.StructType) -> tuple[T.StructType, list[Column]]:
+    """Schema for the rows of both, and the columns of the new rows under it.
 
-def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
-    """Insert-if-absent into a dataset: appends the absent keys, rewrites nothing.
+    New columns come last. A column keeps its type if that is the wider one and takes the batch's if that is; any
+    other change could lose values and is refused before anything is written.
+    """
+    old = {f.name: f.dataType for f in stored}
+    kinds = {f.name: f.dataType for f in stored}
+    columns = []
+    for f in new:
+        have = old.get(f.name)
+        if have is None or have == f.dataType or (have.typeName(), f.dataType.typeName()) in _WIDER:
+            kinds[f.name] = f.dataType
+        elif (f.dataType.typeName(), have.typeName()) not in _WIDER:
+            raise TypeError(f"column {f.name} holds {have.simpleString()}, the batch has {f.dataType.simpleString()}")
+        columns.append(F.col(f"`{f.name}`").cast(kinds[f.name]).alias(f.name))
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()]), columns
+
+
+def _write(df: DataFrame, path: str, buckets: Column) -> dict[int, list[str]]:
+    """Writes rows below a new folder; the folders by bucket. AQE splits large buckets over tasks and joins small ones."""
+    name = uuid.uuid4().hex
+    df.withColumn(BUCKET, buckets).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{name}")
+    made = [c for c in files.children(df.sparkSession, f"{path}/data/{name}") if c.startswith(f"{BUCKET}=")]
+    return {int(c.split("=")[1]): [f"{name}/{c}"] for c in made}
+
+
+def _staged(batch: DataFrame, path: str, at: Snapshot) -> tuple[DataFrame, set[int], str]:
+    """The batch written beside the data: its source is read once, and its buckets are the folders' names."""
+    written = _write(batch, f"{path}/staged", bucket_of(at.keys, at.buckets))
+    folder = next((f[0].split("/")[0] for f in written.values()), None)
+    spark = batch.sparkSession
+    rows = spark.read.schema(_nullable(batch.schema)).parquet(f"{path}/staged/data/{folder}") if folder \
+        else spark.createDataFrame([], _nullable(batch.schema))
+    return rows, set(written), f"{path}/staged"
+
+
+def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int | None = None) -> Written:
+    """Insert-if-absent into a dataset: adds the absent keys, rewrites nothing; returns its figures.
 
-    Running it again after any failure adds only what is still absent.
+    The batch is written once beside the data, then its keys are looked up in the buckets it touches. Only the key
+    columns of those buckets are read. The first batch goes straight to its place; its keys are read twice to count
+    them. Running it again adds only what is still absent.
     """
     spark = batch.sparkSession
-    tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
-    old = read_target(spark, path, _key_schema(tagged, keys))
-    if old is None:
-        _write(M.dedupe(tagged, keys, order).select(*tagged.columns), path, "append")
-        return
-    tagged.persist()  # read twice: counted per directory, then merged
-    try:
-        rows = _bucket_rows(tagged)
-        hit = old.where(F.col(BUCKET).isin(list(rows)))
-        fresh = M.new_rows(hit, tagged, [*keys, BUCKET], order, sum(rows.values()) <= SMALL_BATCH_ROWS)
-        _write(fresh.select(*tagged.columns), path, "append")
-    finally:
-        tagged.unpersist()
+    at, kept = _opened(M.drop_null_keys(batch, keys), path, keys, buckets)
+    if not at.folders:
+        seen = kept.count()
+        added = _write(M.dedupe(kept, keys, order), path, bucket_of(keys, at.buckets))
+    else:
+        rows, touched, stage = _staged(kept, path, at)
+        seen = rows.count()
+        if touched:
+            fresh = M.new_rows(_active(spark, path, at, touched), rows, keys, order)
+            added = _write(fresh.select(*rows.columns), path, bucket_of(keys, at.buckets))
+        else:
+            added = {}
+        files.delete(spark, stage)
+    if added or at.number == 0:
+        folders = {b: [*at.folders.get(b, []), *added.get(b, [])] for b in {*at.folders, *added}}
+        _commit(spark, path, replace(at, folders=folders))
+        if any(len(f) > MOST_FOLDERS for f in folders.values()):
+            compact(spark, path)
+    paths = [f"{path}/data/{f}" for fs in added.values() for f in fs]
+    return Written(seen, spark.read.schema(at.schema).parquet(*paths).count() if paths else 0)
 
 
 def update_into(batch: DataFrame, path: str, keys: list[str], update: list[str], order: list[str],
-                buckets: int = 64) -> None:
-    """Merge with update into a dataset; rewrites the directories of the batch.
+                buckets: int | None = None) -> Written:
+    """Merge with update into a dataset: new folders replace those of the buckets that the batch touches.
 
-    The merged directories are first written whole beside the target, then swapped in, so that a
-    failed swap can be repeated from the finished copy. Choose ``buckets`` so that one directory is
-    a few GB: it is the unit of rewriting.
+    A bucket is the unit of rewriting: choose ``buckets`` at the first write so that one is a few GB. A batch without
+    rows changes nothing. ``rows_written`` counts the rows of the batch, added or updated.
     """
     spark = batch.sparkSession
-    tagged = M.drop_null_keys(batch, keys).withColumn(BUCKET, bucket_of(keys, buckets))
-    if read_target(spark, path, _key_schema(tagged, keys)) is None:
-        _write(M.merge_update(tagged.limit(0), tagged, [*keys, BUCKET], update, order), path, "append")
-        return
-    old = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(BUCKET).isin(list(_bucket_rows(tagged))))
-    staged = work_path(spark, "merge")
-    _write(M.merge_update(old, tagged, [*keys, BUCKET], update, order), staged, "overwrite")
-    _write(spark.read.parquet(staged), path, "overwrite")
+    at, kept = _opened(M.drop_null_keys(batch, keys), path, keys, buckets)
+    rows, touched, stage = _staged(kept, path, at)
+    n = rows.count()
+    if touched:
+        old = _active(spark, path, at, touched)
+        merged = M.merge_update(old, rows, keys, update, order).select(*[f"`{f.name}`" for f in at.schema])
+        added = _write(merged, path, bucket_of(keys, at.buckets))
+        _commit(spark, path, replace(at, folders={**at.folders, **added}))
+    elif at.number == 0:
+        _commit(spark, path, at)
+    files.delete(spark, stage)
+    return Written(n, n)
+
+
+def replace_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int | None = None) -> Written:
+    return update_into(batch, path, keys, [c for c in batch.columns if c not in keys], order, buckets)
+
+
+def compact(spark: SparkSession, path: str, most: int = 1, keep: int = KEPT_SNAPSHOTS) -> int:
+    """Rewrites buckets of more than ``most`` folders as one, then removes what only older snapshots hold.
+
+    Returns the number of buckets rewritten.
+    """
+    at = snapshot(spark, path)
+    many = {b for b, f in at.folders.items() if len(f) > most} if at else set()
+    if many:
+        added = _write(_active(spark, path, at, many), path, bucket_of(at.keys, at.buckets))
+        _commit(spark, path, replace(at, folders={**at.folders, **added}))
+    if at:
+        vacuum(spark, path, keep)
+    return len(many)
 
 
-def replace_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int = 64) -> None:
-    update_into(batch, path, keys, [c for c in batch.columns if c not in keys], order, buckets)
+def vacuum(spark: SparkSession, path: str, keep: int = KEPT_SNAPSHOTS) -> None:
+    """Removes all but the newest ``keep`` snapshots, and folders that none of these names."""
+    rows = spark.read.schema(_SNAPSHOT).json(f"{path}/snapshots").select(
+        "n", F.transform("folders", lambda e: e["folder"]).alias("folders")).orderBy(F.desc("n")).limit(keep).collect()
+    kept = {r["n"] for r in rows}
+    used = {f for r in rows for f in r["folders"]}
+    for name in files.children(spark, f"{path}/snapshots"):
+        if name.startswith("n=") and int(name[2:]) < min(kept):
+            files.delete(spark, f"{path}/snapshots/{name}")
+    by_write: dict[str, set[str]] = {}
+    for f in used:
+        by_write.setdefault(f.split("/")[0], set()).add(f)
+    for write in files.children(spark, f"{path}/data"):
+        if write not in by_write:
+            files.delete(spark, f"{path}/data/{write}")
+            continue
+        for bucket in files.children(spark, f"{path}/data/{write}"):
+            if bucket.startswith(f"{BUCKET}=") and f"{write}/{bucket}" not in used:
+                files.delete(spark, f"{path}/data/{write}/{bucket}")
 
 
 def publish(df: DataFrame, path: str, version: str, view: str | None = None) -> DataFrame:
@@ -122,5 +271,5 @@ def publish_all(spark: SparkSession, views: dict[str, Callable[[], DataFrame]],
             publish(build(), f"{path}/{name}", version, name if register else None)
             outcome.append((name, "published", None))
         except Exception as error:  # noqa: BLE001 - one bad view must not stop the others
-            outcome.append((name, "failed", str(error).splitlines()[0][:500]))
+            outcome.append((name, "failed", str(error)))
     return spark.createDataFrame(outcome, "view_name string, outcome string, error_message string")

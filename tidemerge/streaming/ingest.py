@@ -39,7 +39,7 @@ def normalized_stream(pages: DataFrame, entity: str, run_id: str, page: str = "v
 
 
 def ingest_stream(pages: DataFrame, entity: str, path: str, checkpoint: str, run_id: str, page: str = "value",
-                  buckets: int = 64, tasks: int | None = None) -> StreamingQuery:
+                  buckets: int | None = None, tasks: int | None = None) -> StreamingQuery:
     """Landed pages to a keyed dataset: flatten, normalise, insert if absent.
 
     ``tasks`` spreads the pages first; worth it when a batch is a few large files.
