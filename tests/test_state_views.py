@@ -126,3 +126,22 @@ def test_snapshot_of_empty_tables(spark):
     assert row.message_freshness_minutes is None and row.duplicate_messages == 0 and row.failed_runs_24h == 0
     trend = V.sanity_trend(m, s, c, w, r, "2024-01-30").collect()
     assert len(trend) == 30 and sum(x.raw_messages for x in trend) == 0
+
+
+def test_a_failed_run_does_not_move_the_watermark(spark):
+    runs = [run(1, "d.a", 1, wm=5), run(2, "d.a", 2, 0, "failed", wm=9)]
+    assert fold(spark, ST.empty_state(spark), runs)["d.a"].last_watermark_value == '"2024-01-01T05:00:00.000000"'
+
+
+def test_watermarks_that_are_numbers(spark):
+    kinds = RUNS + ", watermark_value string"
+    state = ST.empty_state(spark)
+    for i, value in enumerate(["9", "10", "7", None]):
+        state = ST.fold_runs(state, spark.createDataFrame([(*run(i, "d.a", i), value)], kinds), "p")
+    assert state.collect()[0].last_watermark_value == "10"
+
+
+def test_stored_offsets_become_utc(spark):
+    from tidemerge.plans.load import incremental_chunk
+    state = spark.createDataFrame([("d.a", '"2024-01-01T12:00:00+02:00"')], "table_key string, last_watermark_value string")
+    assert incremental_chunk(state, "2024-01-31").collect()[0].read_after == dt.datetime(2024, 1, 1, 10)

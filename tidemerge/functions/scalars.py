@@ -209,9 +209,35 @@ def watermark_text(c: Column | str) -> Column:
 
 
 def watermark_from_json(c: Column | str, kind: str = "timestamp") -> Column:
+    """The stored value as ``kind``; a time with an offset is moved to UTC before the offset is dropped."""
+    if kind == "timestamp_ntz":
+        return watermark_text(c).try_cast("timestamp").cast("timestamp_ntz")
     return watermark_text(c).try_cast(kind)
 
 
+def watermark_number(c: Column | str) -> Column:
+    """The stored value if it is a number, else NULL; quoted values are times, even if only a year."""
+    bare = F.when(~F.startswith(F.trim(_col(c)), F.lit('"')), watermark_text(c))
+    return bare.try_cast("decimal(38,9)")
+
+
+def watermark_rank(c: Column | str) -> Column:
+    """What stored watermarks of one column are compared by: numbers as numbers, all others as instants."""
+    return F.struct(watermark_number(c).alias("number"), watermark_from_json(c).alias("time"))
+
+
+def watermark_json(c: Column, kind: str) -> Column:
+    """JSON text of a watermark of a source column of the given type."""
+    return number_watermark_to_json(c) if kind in ("tinyint", "smallint", "int", "bigint") else \
+        c.cast("string") if kind.startswith("decimal") or kind in ("float", "double") else watermark_to_json(c)
+
+
+def normal_watermark(c: Column | str) -> Column:
+    """The same stored watermark in this library's form; what is neither number nor time stays as it is."""
+    return F.when(watermark_number(c).isNotNull(), watermark_text(c)).otherwise(
+        F.coalesce(watermark_to_json(watermark_from_json(c)), _col(c)))
+
+
 def mode_and_flags(state: DataFrame, keep: list[str] = ("table_key",)) -> DataFrame:
     """Load mode, dates, readable totals and shortened error per synced table."""
     return state.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.functions.scalars import as_instant, coerce_row
+from tidemerge.functions.scalars import as_instant, coerce_row, watermark_json
 from tidemerge.operators import merge as M
 from tidemerge.operators import state as ST
 from tidemerge.operators import store
@@ -24,7 +24,7 @@ from tidemerge.streaming.ingest import normalized_stream
 TRANSFER_RUNS = (
     "run_id string, table_key string, run_type string, started_at timestamp_ntz, finished_at timestamp_ntz, "
     "status string, rows_seen bigint, rows_skipped bigint, rows_transferred bigint, watermark_start string, "
-    "watermark_end timestamp_ntz, error_message string"
+    "watermark_end timestamp_ntz, error_message string, watermark_value string"
 )
 
 # --- fixed values: names of the published views
@@ -53,7 +53,7 @@ def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row
     keys, column, update = list(entry["conflict_columns"] or []), entry["incremental_column"], list(entry["update_columns"] or [])
     kind = chunks[0]["run_type"] if chunks else "historical"
     start = min((c["watermark_start"] for c in chunks), default=None)
-    figures, status, error = (0, 0, None), "success", None
+    figures, status, error = (0, 0, None, None), "success", None
     try:
         if chunks:
             rows = planned_rows(source, chunks, column)
@@ -67,24 +67,29 @@ def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row
             else:
                 store.insert_into(batch, path, keys, order, buckets)
     except Exception as problem:  # noqa: BLE001 - the run log must show every failure
-        figures, status, error = (0, 0, None), "failed", str(problem)
-    row = spark.createDataFrame([(run_id, entry["table_key"], kind, status, figures[0], figures[1], start, figures[2], error)],
+        figures, status, error = (0, 0, None, None), "failed", str(problem)
+    row = spark.createDataFrame([(run_id, entry["table_key"], kind, status, figures[0], figures[1], start, figures[2], error, figures[3])],
                                 "run_id string, table_key string, run_type string, status string, rows_seen bigint, "
-                                "rows_skipped bigint, watermark_start string, watermark_end timestamp_ntz, error_message string")
+                                "rows_skipped bigint, watermark_start string, watermark_end timestamp_ntz, error_message string, "
+                                "watermark_value string")
     now = as_instant(as_of).cast("timestamp_ntz")
     full = row.withColumns({"started_at": now, "finished_at": now, "rows_transferred": F.col("rows_seen") - F.col("rows_skipped")})
     return full.select(*[f.name for f in spark.createDataFrame([], TRANSFER_RUNS).schema])
 
 
 def _figures(rows: DataFrame, keys: list[str], column: str | None) -> tuple:
-    """Rows seen, rows without a key, and the highest watermark among the others: one pruned scan."""
+    """Rows seen, rows without a key, and the highest watermark among the others, as a time if it is one and as
+    stored text: one pruned scan."""
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
     top = F.max(F.when(~missing, F.col(column))) if column else F.lit(None)
-    r = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("skipped"),
-                 top.cast("timestamp_ntz").alias("top")).collect()[0]
-    return r["n"], r["skipped"], r["top"]
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("skipped"), top.alias("top"))
+    kind = found.schema["top"].dataType.simpleString()
+    timed = F.col("top").cast("timestamp_ntz") if kind.startswith(("timestamp", "date", "string")) else F.lit(None).cast("timestamp_ntz")
+    text = watermark_json(F.col("top"), kind) if column else F.lit(None).cast("string")
+    r = found.select("n", "skipped", timed.alias("top"), text.alias("text")).collect()[0]
+    return r["n"], r["skipped"], r["top"], r["text"]
 
 
 def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window: tuple[str, str], as_of: str,

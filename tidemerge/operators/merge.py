@@ -128,9 +128,13 @@ def merge_replace(target: DataFrame, batch: DataFrame, keys: list[str], order: l
 
 
 def insert_stats(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """rows_seen, rows_written and rows_deduped of an insert-if-absent, without writing it."""
+    """rows_seen, rows_written and rows_deduped of an insert-if-absent, without writing it.
+
+    Target keys are first cut down to those of the batch; a small batch is broadcast to the target's scan.
+    """
     per_key = drop_null_keys(batch, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    flagged = per_key.join(target.select(*keys).distinct().withColumn("_old", F.lit(True)), keys, "left")
+    held = target.select(*keys).join(per_key.select(*keys), keys, "left_semi").distinct().withColumn("_old", F.lit(True))
+    flagged = per_key.join(held, keys, "left")
     totals = flagged.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_seen"),
                          F.count_if(F.col("_old").isNull()).alias("rows_written"))
     return totals.withColumn("rows_deduped", F.greatest(F.col("rows_seen") - F.col("rows_written"), F.lit(0)))

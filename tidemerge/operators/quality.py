@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.operators.skew import spread_join
 
 
 def blank(c: Column | str) -> Column:
@@ -37,8 +36,9 @@ def reconcile_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
 
 
 def orphans(statuses: DataFrame, messages: DataFrame, key: str = "turn_message_id") -> DataFrame:
-    """Statuses whose message is unknown, also when one message holds a large share of them."""
-    return spread_join(statuses, messages.select(key), [key], "left_anti")
+    """Statuses whose message is unknown. Nothing is grouped after the join, so AQE may split a message that holds a
+    large share of them."""
+    return statuses.join(messages.select(key), key, "left_anti")
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge import settings as S
-from tidemerge.functions.scalars import as_instant, minutes_since, mode_and_flags, qualified, watermark_from_json, \
-    watermark_to_json
+from tidemerge.functions.scalars import as_instant, minutes_since, mode_and_flags, normal_watermark, qualified, \
+    watermark_rank, watermark_to_json
 from tidemerge.operators.merge import merge_insert_only, merge_replace
 
 # --- fixed values: columns of the sync state
@@ -24,11 +24,19 @@ def empty_state(spark) -> DataFrame:
 
 
 def last_runs(runs: DataFrame) -> DataFrame:
-    """Per table the newest run, the rows of all runs and the highest watermark (one aggregate)."""
-    newest = F.max_by(F.struct("finished_at", "rows_transferred", "status", "error_message", "watermark_end"),
+    """Per table the newest run, the rows of all runs and the highest watermark of those that succeeded (one aggregate).
+
+    A failed run may have stopped anywhere: rows before its watermark can still be missing. The watermark is
+    ``watermark_value`` (JSON text of a time or a number) where the log has it, else the time ``watermark_end``.
+    """
+    stored = F.col("watermark_value") if "watermark_value" in runs.columns else watermark_to_json("watermark_end")
+    runs = runs.withColumn("_wm", stored)
+    newest = F.max_by(F.struct("finished_at", "rows_transferred", "status", "error_message", "_wm"),
                       F.struct("started_at", "run_id"))
-    return runs.groupBy("table_key").agg(newest.alias("run"), F.sum("rows_transferred").alias("rows_all"),
-                                         F.max("watermark_end").alias("wm_all"))
+    good = F.when(F.col("status") == "success", F.col("_wm"))
+    return runs.groupBy("table_key").agg(
+        newest.alias("run"), F.sum("rows_transferred").alias("rows_all"),
+        F.max_by(good, F.when(good.isNotNull(), watermark_rank("_wm"))).alias("wm_all"))
 
 
 def fold_runs(state: DataFrame, runs: DataFrame, project: str, policy: str = "monotone",
@@ -36,12 +44,12 @@ def fold_runs(state: DataFrame, runs: DataFrame, project: str, policy: str = "mo
     """State after the runs. ``monotone`` never moves a watermark back; ``last_run`` stores what the
     newest run reports, so a run that moved nothing clears it."""
     s, r = state.alias("s"), last_runs(runs).alias("r")
-    old_wm = watermark_from_json("s.last_watermark_value", "timestamp_ntz")
+    old = F.col("s.last_watermark_value")
     if policy == "monotone":
-        wm = F.coalesce(watermark_to_json(F.greatest(old_wm, F.col("r.wm_all"))), F.col("s.last_watermark_value"))
+        ahead = old.isNull() | (watermark_rank("r.wm_all") > watermark_rank("s.last_watermark_value"))
+        wm = F.when(F.col("r.wm_all").isNotNull() & ahead, F.col("r.wm_all")).otherwise(normal_watermark("s.last_watermark_value"))
     elif policy == "last_run":
-        wm = F.when(F.col("r.run").isNotNull(), watermark_to_json("r.run.watermark_end")) \
-            .otherwise(F.col("s.last_watermark_value"))
+        wm = F.when(F.col("r.run").isNotNull(), F.col("r.run._wm")).otherwise(old)
     else:
         raise ValueError(policy)
     ran = F.col("r.run").isNotNull()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemerge import settings as S
-from tidemerge.functions.scalars import watermark_from_json
+from tidemerge.functions.scalars import watermark_from_json, watermark_number, watermark_text
 from tidemerge.plans.chunks import chunk_array, tier_value
 
 
@@ -46,7 +46,9 @@ def plan_load(manifest: DataFrame, state: DataFrame, loaded: DataFrame, as_of, c
     base = resume_point(manifest, loaded, column).join(
         state.select("table_key", "last_watermark_value", "historical_completed_at"), "table_key", "left")
     stored = watermark_from_json("last_watermark_value", "timestamp_ntz")
-    after = F.date_format(fallback_watermark(stored, as_of, S.FALLBACK_DAYS), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    times = F.date_format(fallback_watermark(stored, as_of, S.FALLBACK_DAYS), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    number = F.when(watermark_number("last_watermark_value").isNotNull(), watermark_text("last_watermark_value"))
+    after = F.coalesce(number, times)
     months = tier_value("chunk_months")
 
     def chunk(kind: str, label: Column, start: Column, end: Column) -> Column:

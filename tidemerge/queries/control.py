@@ -17,14 +17,15 @@ def empty_cursors(spark):
 
 
 def _halves(t: Tables):
-    """State after the historical runs, and the incremental runs that come on top."""
-    r = SI.runs(t)
+    """State after the historical runs, and the incremental runs that come on top. Failed runs report a watermark too."""
+    r = SI.runs(t).withColumn("watermark_end", F.col("started_at"))
     before = ST.fold_runs(ST.empty_state(t.spark), r.where("run_type = 'historical'"), "proj")
     return before, r.where("run_type = 'incremental'")
 
 
 @query("sync_state_update", f"""
-    WITH b AS (SELECT table_key, MAX(watermark_end) AS wm, SUM(rows_transferred) AS n FROM s_runs GROUP BY table_key),
+    WITH b AS (SELECT table_key, MAX(started_at) FILTER (WHERE status = 'success') AS wm, SUM(rows_transferred) AS n
+          FROM s_runs GROUP BY table_key),
     l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY table_key ORDER BY CASE WHEN run_type = 'incremental' THEN 0 ELSE 1 END,
                                 started_at DESC, run_id DESC) AS k FROM s_runs) WHERE k = 1)
     SELECT table_key, 'proj' AS bq_project, 'ds' AS bq_dataset, split_part(table_key, '.', 2) AS bq_table,
@@ -105,12 +106,15 @@ def _(t):
     return ST.status_report(SI.state(t))
 
 
-# The key is named after the table it keeps; see the README for the name in the inventory.
-@query("cursor_state_update", f"""
+_CURSOR_SQL = f"""
     SELECT table_key AS pipeline_name, entity_type, {stamp_sql('window_end')} AS last_cursor_at,
            {stamp_sql('window_start')} AS last_window_start, {stamp_sql('window_end')} AS last_window_end, run_id AS last_run_id,
            {stamp_sql('finished_at')} AS last_success_at, rows_transferred AS rows_seen_last_run,
-           rows_written AS rows_written_last_run FROM s_good_runs""")
+           rows_written AS rows_written_last_run FROM s_good_runs"""
+
+
+@query("cursor_state_update", _CURSOR_SQL)
+@query("pipeline_state_update", _CURSOR_SQL)
 def _(t):
     runs = SI.pipeline_runs(t)
     earlier = ST.upsert_cursor(empty_cursors(t.spark), runs.where("entity_type = 'statuses'"))

@@ -6,7 +6,7 @@ from tidemerge.functions.scalars import variant_at
 from tidemerge.operators import normalize as N
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
-from tidemerge.sources.pages import CONTACT_PAGE, envelopes, over_all_cores
+from tidemerge.sources.pages import CONTACT_PAGE, envelopes, over_all_cores, page_faults
 
 _MSG_TIME = "TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn * 60)"
 
@@ -102,3 +102,23 @@ def _(t):
     parts = [N.rejects(rows(t), entity).select(F.lit(entity).alias("entity_type"), "*")
              for entity, rows in (("messages", _messages), ("statuses", _statuses), ("contacts", _contacts))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("page_fault_report", """
+    SELECT 'statuses' AS entity_type, COUNT(*) AS pages_read,
+           COUNT(*) FILTER (WHERE event_type IN ('error', 'signup')) AS bad_pages,
+           COUNT(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS records_read,
+           COUNT(*) FILTER (WHERE event_type = 'view') AS not_object FROM events
+    UNION ALL SELECT 'contacts', COUNT(*), COUNT(*) FILTER (WHERE c_acctbal < 0), COUNT(*) FILTER (WHERE c_acctbal >= 0), 0
+              FROM customer""")
+def _(t):
+    """Pages cut short (errors, overdrawn customers), with a repeated member (signups), with a text as record (views)."""
+    kind, value = F.col("event_type"), F.col("value")
+    pages = SI.status_pages(t, "event_type").select(
+        F.when(kind == "error", F.expr("left(value, length(value) div 2)"))
+        .when(kind == "signup", F.regexp_replace(value, '"id":', '"id":"twice","id":'))
+        .when(kind == "view", '{"data":[{"statuses":["no object"]}],"paging":{}}').otherwise(value).alias("value"))
+    people = SI.contact_pages(t, "c_acctbal").select(
+        F.when(F.col("c_acctbal") < 0, F.expr("left(value, length(value) - 2)")).otherwise(value).alias("value"))
+    return (page_faults(pages, "statuses").select(F.lit("statuses").alias("entity_type"), "*")
+            .unionByName(page_faults(people, None, shape=CONTACT_PAGE).select(F.lit("contacts").alias("entity_type"), "*")))

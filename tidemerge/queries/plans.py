@@ -58,13 +58,13 @@ def _(t):
 
 _RESUME_SQL = """SELECT table_key, size_tier, last_watermark_value, historical_completed_at,
         COALESCE(CAST(top AS DATE), DATE '2022-01-01') AS resume_from
-    FROM s_state LEFT JOIN (SELECT 'ds.t' || user_id AS table_key, MAX(ts) AS top FROM events WHERE value > 200 GROUP BY ALL)
+    FROM s_state LEFT JOIN (SELECT 'ds.t' || user_id AS table_key, MAX(ts) FILTER (WHERE value > 200) AS top FROM events GROUP BY ALL)
     USING (table_key)"""
 
 
 def _loaded(t):
-    """Rows already in the targets: the large events; some tables have none."""
-    return t.events.where("value > 200").select(F.concat(F.lit("ds.t"), "user_id").alias("table_key"), "ts")
+    """Rows in the targets: all events; only the large ones carry a loaded time, so some tables have none."""
+    return t.events.select(F.concat(F.lit("ds.t"), "user_id").alias("table_key"), F.when(F.col("value") > 200, F.col("ts")).alias("ts"))
 
 
 @query("plan_resume_point", f"""

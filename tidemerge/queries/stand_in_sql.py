@@ -20,7 +20,7 @@ STAND_INS = {
                CASE WHEN priority = '5-LOW' AND message_type = 'P' THEN ' ' ELSE direction END AS direction
         FROM s_messages""",
     "s_redelivered": """
-        SELECT * FROM s_faulty WHERE direction <> 'inbound'
+        SELECT * FROM s_faulty
         UNION ALL SELECT * FROM s_faulty WHERE priority = '1-URGENT'""",
     "s_statuses": """
         SELECT l_orderkey AS turn_message_id, CAST(l_linenumber AS BIGINT) AS seq, l_shipdate AS status_timestamp,

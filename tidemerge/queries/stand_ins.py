@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.operators.skew import spread_join
 from tidemerge.operators.state import empty_state, fold_runs
 from tidemerge.plans.chunks import tier_for_rows
 from tidemerge.queries.base import Tables
@@ -36,9 +35,9 @@ def faulty(t: Tables) -> DataFrame:
 
 
 def redelivered(t: Tables) -> DataFrame:
-    """Outbound or blank-direction messages, the urgent ones a second time."""
+    """All messages, the urgent ones a second time."""
     m = faulty(t)
-    return m.where("direction <> 'inbound'").unionAll(m.where("priority = '1-URGENT'"))
+    return m.unionAll(m.where("priority = '1-URGENT'"))
 
 
 def statuses(t: Tables) -> DataFrame:
@@ -50,12 +49,9 @@ def statuses(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("status_timestamp"), F.col("l_suppkey").alias("recipient_id"), status.alias("status"))
 
 
-def contacts(t: Tables, spread: bool = False) -> DataFrame:
-    """``spread`` is for users that group by contact right after the join, where AQE would have to
-    leave the partition of a hot customer whole."""
+def contacts(t: Tables) -> DataFrame:
     orders, customers = t.orders.select("o_custkey", "o_orderdate"), t.customer.withColumnRenamed("c_custkey", "o_custkey")
-    joined = spread_join(orders, customers, ["o_custkey"], "inner") if spread else orders.join(customers, "o_custkey")
-    return joined.select(
+    return orders.join(customers, "o_custkey").select(
         F.col("o_custkey").alias("turn_contact_id"), F.col("o_orderdate").alias("turn_updated_at"),
         F.col("c_name").alias("whatsapp_profile_name"), F.col("c_mktsegment").alias("segment"),
         (F.col("c_mktsegment") == "MACHINERY").alias("opted_in"), (F.col("c_acctbal") > 0).alias("onboarded"))
@@ -177,7 +173,7 @@ def message_pages(t: Tables) -> DataFrame:
     return t.conversations.select(_page(envelope).alias("value"))
 
 
-def status_pages(t: Tables) -> DataFrame:
+def status_pages(t: Tables, *carry: str) -> DataFrame:
     """One page per event; errors carry no status, high values a blank time."""
     kind, who = F.col("event_type"), F.concat(F.lit("u"), F.col("user_id"))
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -192,10 +188,10 @@ def status_pages(t: Tables) -> DataFrame:
         F.when(kind != "purchase", F.struct(who.alias("id"), F.struct(kind.alias("type")).alias("origin"))).alias("conversation"),
         F.struct(F.lit("service").alias("category"), F.lit("regular").alias("type"), F.lit("CBP").alias("pricing_model"),
                  (F.col("value") > 50).alias("billable")).alias("pricing"))
-    return t.events.select(_page(F.struct(F.array(item).alias("statuses"))).alias("value"))
+    return t.events.select(*carry, _page(F.struct(F.array(item).alias("statuses"))).alias("value"))
 
 
-def contact_pages(t: Tables) -> DataFrame:
+def contact_pages(t: Tables, *carry: str) -> DataFrame:
     """One page per customer; overdrawn ones lack the update time, one segment has no details."""
     key = F.col("c_custkey")
     item = F.struct(
@@ -205,4 +201,4 @@ def contact_pages(t: Tables) -> DataFrame:
         F.when(F.col("c_mktsegment") != "BUILDING", F.struct(
             F.concat(F.lit("w"), key).alias("whatsapp_id"), F.col("c_name").alias("whatsapp_profile_name"),
             (F.col("c_acctbal") > 1000).alias("opted_in"))).alias("details"))
-    return t.customer.select(_page(item).alias("value"))
+    return t.customer.select(*carry, _page(item).alias("value"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemerge.functions.scalars import is_json_object
+
 # --- fixed values: shape of a page. Records stay variants, so unknown members survive.
 ENVELOPE_PAGE = ("struct<data: array<struct<contacts: array<variant>, messages: array<variant>, "
                  "statuses: array<variant>>>, paging: struct<next: string>>")
@@ -33,6 +35,28 @@ def over_all_cores(pages: DataFrame) -> DataFrame:
     return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores)
 
 
+def page_faults(pages: DataFrame, field: str | None, page: Column | str = "value", shape: str = ENVELOPE_PAGE) -> DataFrame:
+    """What ``envelopes`` and the flattening leave out, in one pass: pages, broken ones, records, and non-objects.
+
+    A page is broken if it is no JSON of the shape: cut text, or a record with a repeated member, which no variant can
+    hold. Blank pages count as broken. ``field`` names the record list of an envelope; None for pages of records.
+    """
+    text = F.col(page) if isinstance(page, str) else page
+    # records as plain text show which lists are there; a list that is only missing as variants is broken
+    read = pages.select(F.from_json(text, shape)["data"].alias("data"),
+                        F.from_json(text, shape.replace("variant", "string"))["data"].alias("plain"))
+    torn = F.exists(F.arrays_zip("data", "plain"), lambda e: F.coalesce(
+        e["plain"][field].isNotNull() & e["data"][field].isNull(), F.lit(False))) if field else F.lit(False)
+    records = F.flatten(F.transform("data", lambda e: F.coalesce(e[field], F.array().cast("array<variant>")))) if field \
+        else F.col("data")
+    counted = read.select((F.col("data").isNull() | torn).alias("bad"), F.coalesce(F.size(records), F.lit(0)).alias("n"),
+                          F.coalesce(F.size(F.filter(records, lambda r: ~is_json_object(r))), F.lit(0)).alias("odd"))
+    zero = F.lit(0).cast("bigint")
+    return counted.agg(F.count(F.lit(1)).alias("pages_read"), F.count_if("bad").alias("bad_pages"),
+                       F.coalesce(F.sum(F.when(~F.col("bad"), F.col("n"))), zero).alias("records_read"),
+                       F.coalesce(F.sum(F.when(~F.col("bad"), F.col("odd"))), zero).alias("not_object"))
+
+
 def envelopes(pages: DataFrame, page: Column | str = "value", shape: str = ENVELOPE_PAGE) -> DataFrame:
     """One row per item of ``data`` in column ``envelope``; other columns of ``pages`` are kept."""
     kept = [c for c in pages.columns if c != page]
