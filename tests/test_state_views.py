@@ -113,7 +113,7 @@ def test_views_on_edges(spark):
     flags = V.contact_flags(c).select("opted_in", "onboarded").collect()
     assert [tuple(f) for f in flags] == [(True, False), (False, True), (False, False), (False, False)]
     with pytest.raises(ValueError):
-        V.card(m, ["turn_message_id"], rank="position")
+        V.card(m, rank="position")
 
 
 def test_snapshot_of_empty_tables(spark):

@@ -72,12 +72,13 @@ def flatten_messages(envelopes: DataFrame) -> DataFrame:
 
     The last contact with the id wins; a message without any id matches contacts without one.
     """
-    rows = _records(envelopes, "messages", "message", "contacts")
+    # contacts are opened once for each envelope, before its messages part
+    named = F.transform("envelope.contacts", lambda c: S.members(c, PROFILE_MEMBERS))
+    rows = _records(S.evaluated_once(envelopes, _known=named), "messages", "message")
     rows = S.evaluated_once(rows, _who=S.members("message", PARTY_MEMBERS))
     rows = S.evaluated_once(rows, **_texts({n: F.col(f"_who.{n}") for n in ("from", "to", "recipient_id")}, ["from", "to"], "_"))
     rows = S.evaluated_once(rows, _party=F.coalesce(_truthy("_from"), _truthy("_to"), F.col("_recipient_id")))
-    known = F.transform("contacts", lambda c: S.members(c, PROFILE_MEMBERS))
-    hits = F.filter(known, lambda c: c.isNotNull() & c["wa_id"].eqNullSafe(F.col("_party")))
+    hits = F.filter("_known", lambda c: c.isNotNull() & c["wa_id"].eqNullSafe(F.col("_party")))
     name = F.try_element_at(hits, F.lit(-1))["profile"]["name"]
     kept = [c for c in envelopes.columns if c != "envelope"]
     return rows.select(*kept, "message", name.alias("contact_profile_name"))

@@ -136,10 +136,10 @@ def card(view: DataFrame, order: list[Column | str] = (), limit: int | None = No
          columns: list[str] | None = None, rank: str | None = None) -> DataFrame:
     """Report query: projection, order and an optional row limit.
 
-    ``rank`` numbers the rows; it needs a limit, because ranking sorts them in one task.
+    ``rank`` numbers the rows in one task: for limited reports and those of a row for each day, pipeline or table.
     """
-    if rank and not limit:
-        raise ValueError("a rank needs a limit")
+    if rank and not order:
+        raise ValueError("a rank needs an order")
     out = view.select(*columns) if columns else view
     if order:
         out = out.orderBy(*order)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemerge.operators import state as ST
+from tidemerge.operators.views import card
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import Tables, day_sql, query, stamp_sql
 from tidemerge.queries.stand_in_sql import EVENTS_AS_OF
@@ -67,10 +68,10 @@ def _(t):
 
 @query("sync_state_list", f"""
     SELECT table_key, last_watermark_value, {stamp_sql('last_synced_at')} AS last_synced_at, last_run_status, total_rows_synced,
-           error_message FROM s_state""")
+           error_message, ROW_NUMBER() OVER (ORDER BY table_key) AS position FROM s_state""")
 def _(t):
-    return ST.list_state(SI.state(t)).select("table_key", "last_watermark_value", "last_synced_at", "last_run_status",
-                                             "total_rows_synced", "error_message")
+    return card(SI.state(t), ["table_key"], rank="position", columns=[
+        "table_key", "last_watermark_value", "last_synced_at", "last_run_status", "total_rows_synced", "error_message"])
 
 
 @query("transfer_run_log", f"""
@@ -91,9 +92,9 @@ def _(t):
            incremental_column, {stamp_sql('last_synced_at')} AS last_synced_at,
            round((epoch_us(TIMESTAMP '{EVENTS_AS_OF}') - epoch_us(last_synced_at)) / 6e7, 2) AS minutes_since_sync,
            last_run_status, rows_synced_last_run, total_rows_synced, historical_completed_at IS NOT NULL AS historical_done,
-           error_message FROM s_state""")
+           error_message, ROW_NUMBER() OVER (ORDER BY last_synced_at DESC NULLS LAST, table_key) AS position FROM s_state""")
 def _(t):
-    return ST.transfer_freshness(SI.state(t), EVENTS_AS_OF)
+    return card(ST.transfer_freshness(SI.state(t), EVENTS_AS_OF), [F.desc_nulls_last("last_synced_at"), "table_key"], rank="position")
 
 
 @query("sync_status_report", f"""
@@ -101,9 +102,11 @@ def _(t):
            CASE WHEN historical_completed_at IS NULL THEN 'historical' ELSE 'incremental' END AS mode,
            {day_sql('historical_completed_at')} AS hist_done, format('{{:,}}', total_rows_synced) AS total_rows,
            last_run_status AS status, left(error_message, 60) AS last_error, total_rows_synced,
-           CAST(CASE last_run_status WHEN 'failed' THEN 0 WHEN 'running' THEN 1 ELSE 2 END AS BIGINT) AS urgency FROM s_state""")
+           CAST(CASE last_run_status WHEN 'failed' THEN 0 WHEN 'running' THEN 1 ELSE 2 END AS BIGINT) AS urgency,
+           ROW_NUMBER() OVER (ORDER BY CASE last_run_status WHEN 'failed' THEN 0 WHEN 'running' THEN 1 ELSE 2 END,
+                              total_rows_synced, bq_table) AS position FROM s_state""")
 def _(t):
-    return ST.status_report(SI.state(t))
+    return card(ST.status_report(SI.state(t)), ["urgency", "total_rows_synced", "bq_table"], rank="position")
 
 
 _CURSOR_SQL = f"""

@@ -138,7 +138,8 @@ def _(t):
            {stamp_sql('status_timestamp')} AS status_timestamp FROM b""")
 def _(t):
     def rows(df):
-        return status_key_of(df).select(F.lit("export_statuses").alias("source"), "status_event_key", "turn_message_id",
+        return S.evaluated_once(
+            status_key_of(df).withColumnRenamed("status_event_key", "_key"), status_event_key=F.col("_key")).select(F.lit("export_statuses").alias("source"), "status_event_key", "turn_message_id",
                                         "status", F.col("status_timestamp").cast("timestamp").alias("status_timestamp"))
     loaded = t.orders.select(F.col("o_orderkey").alias("turn_message_id"), F.lit("sent").alias("status"),
                              F.col("o_orderdate").alias("status_timestamp"), F.col("o_custkey").alias("recipient_id"))
@@ -153,9 +154,9 @@ def _(t):
 def _(t):
     def rows(df):
         payload = F.to_json(F.struct("segment", F.col("turn_contact_id").alias("id")))
-        return df.select(F.lit("export_contacts").alias("source"), "turn_contact_id",
-                         F.col("turn_updated_at").cast("timestamp").alias("turn_updated_at"),
-                         S.payload_hash(payload).alias("payload_hash"))
+        hashed = S.evaluated_once(df.withColumn("_payload", payload), _hash=S.payload_hash(F.col("_payload")))
+        return hashed.select(F.lit("export_contacts").alias("source"), "turn_contact_id",
+                             F.col("turn_updated_at").cast("timestamp").alias("turn_updated_at"), F.col("_hash").alias("payload_hash"))
     loaded = t.customer.select(F.col("c_custkey").alias("turn_contact_id"), F.lit("1995-01-01").alias("turn_updated_at"),
                                F.col("c_mktsegment").alias("segment"))
     return L.load_contacts(rows(loaded), rows(SI.contacts(t)))

@@ -108,9 +108,13 @@ def trend(t):
 
 # ---------------------------------------------------------------- report queries
 
-@query("card_pipeline_freshness", _FRESHNESS_SQL)
+def _ranked(sql: str, order: str) -> str:
+    return f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS position FROM ({sql})"
+
+
+@query("card_pipeline_freshness", _ranked(_FRESHNESS_SQL, "freshness_minutes ASC NULLS LAST, pipeline_name"))
 def card_freshness(t):
-    return V.card(freshness(t), [F.asc_nulls_last("freshness_minutes"), "pipeline_name"])
+    return V.card(freshness(t), [F.asc_nulls_last("freshness_minutes"), "pipeline_name"], rank="position")
 
 
 @query("card_sanity_snapshot", _SNAPSHOT_SQL)
@@ -118,9 +122,9 @@ def _(t):
     return V.card(snapshot(t))
 
 
-@query("card_ingestion_trend", _TREND_SQL)
+@query("card_ingestion_trend", _ranked(_TREND_SQL, "metric_date"))
 def _(t):
-    return V.card(trend(t), ["metric_date"])
+    return V.card(trend(t), ["metric_date"], rank="position")
 
 
 @query("card_delivery_funnel", f"""
@@ -137,6 +141,6 @@ def card_volume(t):
     return V.card(volume(t), [V.latest_first(), "direction", "message_type"], 100, rank="position")
 
 
-@query("card_contact_snapshots", _CONTACTS_SQL)
+@query("card_contact_snapshots", _ranked(_CONTACTS_SQL, "metric_date"))
 def _(t):
-    return V.card(contact_days(t), ["metric_date"])
+    return V.card(contact_days(t), ["metric_date"], rank="position")
