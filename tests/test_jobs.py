@@ -126,3 +126,59 @@ def test_ingest_pages_logs_and_moves_the_cursor(spark, fresh):
     moved = ST.upsert_cursor(cursors, first.unionByName(again).unionByName(failed)).collect()
     assert [(c.pipeline_name, c.last_run_id, str(c.last_cursor_at)) for c in moved] == [
         ("statuses_incremental", "r2", "2024-01-01 01:00:00")]
+
+
+def test_runs_are_open_before_they_load_and_raise_when_they_fail(spark, fresh):
+    import pytest
+    log, path = fresh("log"), fresh("logged")
+    entry = {"table_key": "ds.t", "conflict_columns": ["id"], "incremental_column": "updated_at", "update_columns": None}
+    chunks = [{"run_type": "historical", "label": "full", "watermark_start": "2022-01-01", "watermark_end": "2024-01-01"}]
+    src = source(spark, [(1, "a", day(1), None), (2, "b", day(2), None)])
+
+    def load(rows):
+        seen = {r.run_id: r.status for r in jobs.run_log(spark, log).collect()}
+        assert "running" in seen.values()
+        return jobs.sync_table(rows, path, entry, chunks, "r", "2024-02-01")
+
+    jobs.logged(spark, log, "r1", "ds.t", "historical", lambda: load(src), src)
+    with pytest.raises(jobs.RunFailed, match="id"):
+        jobs.logged(spark, log, "r2", "ds.t", "historical", lambda: load(src.drop("id")))
+    rows = {r.run_id: r for r in jobs.run_log(spark, log).collect()}
+    assert (rows["r1"].status, rows["r1"].rows_transferred, rows["r2"].status) == ("success", 2, "failed")
+    assert rows["r1"].finished_at > rows["r1"].started_at and rows["r1"].bytes_scanned > 0
+    assert len(rows["r2"].error_message) > 100  # the whole text
+
+
+def test_number_watermarks_reach_the_log(spark, fresh):
+    entry = {"table_key": "ds.n", "conflict_columns": ["id"], "incremental_column": "version", "update_columns": None}
+    src = spark.createDataFrame([(i, i * 10) for i in range(20)], "id bigint, version bigint")
+    full = [{"run_type": "historical", "label": "full", "watermark_start": "0", "watermark_end": "0"}]
+    path = fresh("numbers")
+    run = jobs.sync_table(src, path, entry, full, "r1", "2024-02-01")
+    assert (run.collect()[0].status, run.collect()[0].watermark_value) == ("success", "190")
+    state = ST.fold_runs(ST.empty_state(spark), run, "p").withColumn("historical_completed_at", F.lit(day(0)).cast("timestamp_ntz"))
+    manifest = spark.createDataFrame([("ds.n", "heavy", "2024-01-01")], "table_key string, size_tier string, history_start string")
+    loaded = spark.createDataFrame([], "table_key string, updated_at timestamp_ntz")
+    chunks = plans.plan_load(manifest, state, loaded, "2024-02-02", "updated_at").collect()
+    assert [c.watermark_start for c in chunks] == ["190"]
+    more = spark.createDataFrame([(19, 190), (20, 200)], "id bigint, version bigint")
+    assert jobs.sync_table(more, path, entry, chunks, "r2", "2024-02-02").collect()[0].rows_transferred == 1
+
+
+def test_incremental_runs_of_an_entity(spark, fresh):
+    import json
+    path, cursors = fresh("entity"), fresh("cursors")
+
+    def landed(*pages):
+        return spark.createDataFrame([(json.dumps({"data": [{"statuses": [{"id": f"s{i}", "status": "sent", "timestamp": "1704067200"}]}]}), at)
+                                      for i, at in pages], "value string, landed_at timestamp_ntz")
+
+    pages = landed((1, day(0)), (2, day(0) + dt.timedelta(hours=1)), (3, day(0) + dt.timedelta(hours=6)))
+    run = jobs.sync_incremental(pages, "statuses", "landed_at", path, cursors, "r1", "2024-01-01 02:00:00").collect()[0]
+    assert (run.status, run.rows_written) == ("success", 2)
+    bad = jobs.sync_incremental(pages.withColumnRenamed("value", "x"), "statuses", "landed_at", path, cursors, "r2", "2024-01-01 04:00:00")
+    assert bad.collect()[0].status == "failed"
+    assert str(store.read_target(spark, cursors).collect()[0].last_cursor_at) == "2024-01-01 01:58:00"
+    run = jobs.sync_incremental(pages, "statuses", "landed_at", path, cursors, "r3", "2024-01-01 07:00:00").collect()[0]
+    assert (run.rows_written, str(run.window_start)) == (1, "2024-01-01 01:53:00")
+    assert store.read_target(spark, cursors).collect()[0].last_run_id == "r3"

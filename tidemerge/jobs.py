@@ -6,6 +6,9 @@ figures per run, and the outcome of each view.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +18,10 @@ from tidemerge.operators import state as ST
 from tidemerge.operators import store
 from tidemerge.operators import views as V
 from tidemerge.operators.load import KEYS, arrival_order
+from tidemerge.plans.windows import cursor_window
 from tidemerge.settings import ENTITIES
 from tidemerge.sources import files
-from tidemerge.sources.tables import row_count, scan_full, scan_range, scan_since
+from tidemerge.sources.tables import estimated_bytes, row_count, scan_full, scan_range, scan_since
 from tidemerge.streaming.ingest import normalized_stream
 
 # --- fixed values: columns of the transfer run log
@@ -27,6 +31,11 @@ TRANSFER_RUNS = (
     "watermark_end timestamp_ntz, error_message string, watermark_value string"
 )
 
+# --- fixed values: columns of the cursor table
+CURSORS = ("pipeline_name string, entity_type string, last_cursor_at timestamp_ntz, last_window_start timestamp_ntz, "
+           "last_window_end timestamp_ntz, last_run_id string, last_success_at timestamp_ntz, rows_seen_last_run bigint, "
+           "rows_written_last_run bigint")
+
 # --- fixed values: names of the published views
 VIEW_NAMES = ("mv_pipeline_freshness", "mv_data_sanity_snapshot", "mv_data_sanity_trend_30d",
               "mv_status_funnel_daily", "mv_message_volume_daily", "mv_contact_snapshots_daily")
@@ -122,6 +131,71 @@ def _loaded(spark: SparkSession, path: str) -> DataFrame | None:
     return store.read_target(spark, path)
 
 
+class RunFailed(RuntimeError):
+    """A run ended as failed; the log has its row."""
+
+
+# --- fixed values: columns of an opened and of a closed run
+OPENED = "run_id string, table_key string, run_type string, started_at timestamp"
+CLOSED = ("run_id string, finished_at timestamp, status string, rows_transferred bigint, bytes_scanned bigint, "
+          "watermark_end timestamp_ntz, error_message string, rows_per_second double")
+
+
+def logged(spark: SparkSession, log: str, run_id: str, table_key: str, run_type: str, work: Callable[[], DataFrame],
+           source: DataFrame | None = None) -> Row:
+    """Does ``work`` (which returns a row for the run log) between two rows of the log; a failure is raised.
+
+    The run is open in the log before anything is loaded, so one that dies with its driver still shows, as running.
+    Times are those of the clock. ``source`` gives the bytes that the run is expected to scan.
+    """
+    start = datetime.now(timezone.utc)
+    spark.createDataFrame([(run_id, table_key, run_type, start)], OPENED).coalesce(1).write.mode("append").parquet(f"{log}/opened")
+    try:
+        row = work().collect()[0]
+        status, rows, top, error = row["status"], row["rows_transferred"], row["watermark_end"], row["error_message"]
+    except Exception as problem:
+        row, status, rows, top, error = None, "failed", 0, None, str(problem)
+    end = datetime.now(timezone.utc)
+    speed = rows / max((end - start).total_seconds(), 1e-3)
+    scanned = estimated_bytes(source) if source is not None else 0
+    closed = spark.createDataFrame([(run_id, end, status, rows, scanned, top, error, speed)], CLOSED)
+    closed.coalesce(1).write.mode("append").parquet(f"{log}/closed")
+    if status != "success":
+        raise RunFailed(error)
+    return row
+
+
+def run_log(spark: SparkSession, log: str) -> DataFrame:
+    """The log written by ``logged``: a row for each run, still running if it was never closed."""
+    opened = spark.read.schema(OPENED).parquet(f"{log}/opened")
+    closed = spark.read.schema(CLOSED).parquet(f"{log}/closed") if files.children(spark, f"{log}/closed") \
+        else spark.createDataFrame([], CLOSED)
+    speed = closed.groupBy("run_id").agg(F.max_by("rows_per_second", "finished_at").alias("rows_per_second"))
+    return ST.close_runs(opened, closed).join(speed, "run_id", "left")
+
+
+def sync_incremental(pages: DataFrame, entity: str, landed: str, path: str, cursors: str, run_id: str, as_of: str,
+                     page: str = "value") -> DataFrame:
+    """One incremental run of an entity: its window by the stored cursor, the pages that landed in it, the load, and
+    the cursor moved on if that succeeded. Returns the row for the ingestion log.
+
+    ``landed`` is the pages' time column, ``cursors`` the dataset of cursor rows.
+    """
+    spark = pages.sparkSession
+    name = f"{entity}_incremental"
+    stored = store.read_target(spark, cursors)
+    at = spark.createDataFrame([], CURSORS) if stored is None else stored
+    mine = spark.createDataFrame([(name, entity)], "pipeline_name string, entity_type string").join(
+        at.select("pipeline_name", "last_cursor_at"), "pipeline_name", "left")
+    window = cursor_window(mine, as_of).select(F.col("window_from").cast("string"), F.col("window_until").cast("string")).first()
+    inside = scan_range(pages, landed, *window).drop(landed)
+    done = ingest_pages(inside, entity, path, run_id, tuple(window), as_of, page)
+    if done.collect()[0]["status"] == "success":
+        moved = ST.upsert_cursor(spark.createDataFrame([], CURSORS), done)
+        store.replace_into(moved, cursors, ["pipeline_name"], ["last_success_at"], 1)
+    return done
+
+
 def verify(state: DataFrame, sources: dict[str, DataFrame], paths: dict[str, str], runs: DataFrame, as_of: str) -> DataFrame:
     """State with the completion time set where source and target counts allow it.
 

@@ -85,9 +85,21 @@ def inventory(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def stored_bytes(df: DataFrame) -> DataFrame:
-    """Files and their size on storage, from file metadata alone: the cheap estimate before a scan."""
-    files = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("stored_bytes"))
+    """Files of a table and their size on storage, from the listing alone: no file is opened.
+
+    A filter on partition columns leaves files out, any other filter does not.
+    """
+    paths = df.inputFiles()
+    if not paths:
+        return df.sparkSession.createDataFrame([(0, 0)], "files bigint, stored_bytes bigint")
+    files = df.sparkSession.read.format("binaryFile").load(paths).select("length")
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("stored_bytes"))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Bytes that a query is expected to read, by the optimizer's statistics: columns and partitions it drops count
+    as nothing. Runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def cost(sizes: DataFrame, by: str = "table_name", size: str = "size_bytes") -> DataFrame:
