@@ -8,6 +8,7 @@ from tidemerge import jobs, plans
 from tidemerge.operators import normalize as N
 from tidemerge.operators import state as ST
 from tidemerge.operators import store
+from tidemerge.operators import views as V
 from tidemerge.queries import stand_ins as SI
 from tidemerge.sources import CONTACT_PAGE, envelopes
 
@@ -90,8 +91,7 @@ def test_refresh_and_report_sql(spark, tables, fresh):
     out = jobs.refresh_views(spark, messages, statuses, contacts, hooks, SI.runs(tables), cursors, fresh("views"), "1",
                              "2024-01-31 00:00:00", "reports")
     assert {r.outcome for r in out.collect()} == {"published"} and out.count() == 6
-    top = spark.sql("""SELECT metric_date, direction, message_type, message_count, unique_contacts
-                       FROM reports.mv_message_volume_daily ORDER BY metric_date DESC, direction, message_type LIMIT 100""")
+    top = V.card(spark.table("reports.mv_message_volume_daily"), [V.latest_first(), "direction", "message_type"], 100)
     assert top.agg(F.sum("message_count")).collect()[0][0] == messages.count()
     assert spark.sql("SELECT * FROM reports.mv_data_sanity_trend_30d ORDER BY metric_date").count() == 30
     snap = spark.sql("SELECT orphan_status_events, failed_runs_24h FROM reports.mv_data_sanity_snapshot").collect()[0]

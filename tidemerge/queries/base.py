@@ -84,6 +84,21 @@ def day_sql(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d')"
 
 
+def report_columns_sql() -> dict[str, str]:
+    """The columns of the status reports, as SQL over ``s_state``."""
+    return {
+        "last_synced": day_sql("last_synced_at"),
+        "mode": "if(historical_completed_at IS NULL, 'historical', 'incremental')",
+        "hist_done": day_sql("historical_completed_at"),
+        "total_rows": "format('{:,}', total_rows_synced)",
+        "last_error": "error_message[1:60]",
+    }
+
+
+def columns_sql(columns: dict[str, str]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+
+
 def _with_stand_ins(sql: str) -> str:
     """Prepend the stand-in tables the SQL mentions, in their order of definition."""
     used, grown = set(), True

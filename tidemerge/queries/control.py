@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemerge.operators import state as ST
 from tidemerge.operators.views import card
 from tidemerge.queries import stand_ins as SI
-from tidemerge.queries.base import Tables, day_sql, query, stamp_sql
+from tidemerge.queries.base import Tables, columns_sql, query, report_columns_sql, stamp_sql
 from tidemerge.queries.stand_in_sql import EVENTS_AS_OF
 
 _CURSORS = ("pipeline_name string, entity_type string, last_cursor_at timestamp_ntz, last_window_start timestamp_ntz, "
@@ -87,24 +87,26 @@ def _(t):
     return ST.close_runs(r.select("run_id", "table_key", "run_type", "started_at"), r.where("job <> 'view'"))
 
 
-@query("transfer_freshness", f"""
-    SELECT table_key, bq_project || '.' || bq_dataset || '.' || bq_table AS bq_full_id, pg_schema || '.' || pg_table AS pg_full_id,
-           incremental_column, {stamp_sql('last_synced_at')} AS last_synced_at,
-           round((epoch_us(TIMESTAMP '{EVENTS_AS_OF}') - epoch_us(last_synced_at)) / 6e7, 2) AS minutes_since_sync,
-           last_run_status, rows_synced_last_run, total_rows_synced, historical_completed_at IS NOT NULL AS historical_done,
-           error_message, ROW_NUMBER() OVER (ORDER BY last_synced_at DESC NULLS LAST, table_key) AS position FROM s_state""")
+def _positioned(columns: dict[str, str], order: str) -> str:
+    """Columns over ``s_state`` and the position of each row in an order of these columns."""
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM (SELECT {columns_sql(columns)} FROM s_state)"
+
+
+@query("transfer_freshness", _positioned({
+    "error_message": "error_message", "historical_done": "historical_completed_at IS NOT NULL",
+    "total_rows_synced": "total_rows_synced", "rows_synced_last_run": "rows_synced_last_run", "last_run_status": "last_run_status",
+    "minutes_since_sync": f"round(date_diff('microsecond', last_synced_at, TIMESTAMP '{EVENTS_AS_OF}') / 6e7, 2)",
+    "last_synced_at": stamp_sql("last_synced_at"), "incremental_column": "incremental_column",
+    "pg_full_id": "concat_ws('.', pg_schema, pg_table)", "bq_full_id": "concat_ws('.', bq_project, bq_dataset, bq_table)",
+    "table_key": "table_key"}, "last_synced_at DESC NULLS LAST, table_key"))
 def _(t):
     return card(ST.transfer_freshness(SI.state(t), EVENTS_AS_OF), [F.desc_nulls_last("last_synced_at"), "table_key"], rank="position")
 
 
-@query("sync_status_report", f"""
-    SELECT bq_table, {day_sql('last_synced_at')} AS last_synced,
-           CASE WHEN historical_completed_at IS NULL THEN 'historical' ELSE 'incremental' END AS mode,
-           {day_sql('historical_completed_at')} AS hist_done, format('{{:,}}', total_rows_synced) AS total_rows,
-           last_run_status AS status, left(error_message, 60) AS last_error, total_rows_synced,
-           CAST(CASE last_run_status WHEN 'failed' THEN 0 WHEN 'running' THEN 1 ELSE 2 END AS BIGINT) AS urgency,
-           ROW_NUMBER() OVER (ORDER BY CASE last_run_status WHEN 'failed' THEN 0 WHEN 'running' THEN 1 ELSE 2 END,
-                              total_rows_synced, bq_table) AS position FROM s_state""")
+@query("sync_status_report", _positioned({
+    "urgency": "coalesce(list_position(['failed', 'running'], last_run_status), 3)::BIGINT - 1",
+    "total_rows_synced": "total_rows_synced", "bq_table": "bq_table", "status": "last_run_status", **report_columns_sql()},
+    "urgency, total_rows_synced, bq_table"))
 def _(t):
     return card(ST.status_report(SI.state(t)), ["urgency", "total_rows_synced", "bq_table"], rank="position")
 

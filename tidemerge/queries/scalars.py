@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemerge.functions import scalars as S
 from tidemerge.queries import stand_ins as SI
-from tidemerge.queries.base import day_sql, query, stamp_sql
+from tidemerge.queries.base import columns_sql, day_sql, query, report_columns_sql, stamp_sql
 from tidemerge.queries.stand_in_sql import EVENTS_AS_OF
 
 
@@ -123,10 +123,7 @@ def _(t):
 
 
 @query("mode_and_flags", f"""
-    SELECT table_key, {day_sql('last_synced_at')} AS last_synced,
-           CASE WHEN historical_completed_at IS NULL THEN 'historical' ELSE 'incremental' END AS mode,
-           {day_sql('historical_completed_at')} AS hist_done, historical_completed_at IS NOT NULL AS historical_done,
-           format('{{:,}}', total_rows_synced) AS total_rows, left(error_message, 60) AS last_error FROM s_state""")
+    SELECT table_key, {columns_sql(report_columns_sql())}, historical_completed_at IS NOT NULL AS historical_done FROM s_state""")
 def _(t):
     return S.mode_and_flags(SI.state(t))
 
