@@ -63,8 +63,21 @@ def _(t):
 _STATUS_TIME = """CASE event_type WHEN 'click' THEN date_trunc('second', ts) WHEN 'view' THEN date_trunc('millisecond', ts) ELSE ts END"""
 
 
+# the record as canonical JSON: members sorted, no blanks, no null members
+_STATUS_NAME = "CASE event_type WHEN 'signup' THEN 'sent' WHEN 'view' THEN 'delivered' WHEN 'click' THEN 'read' ELSE 'failed' END"
+_STATUS_STAMP = """CASE event_type WHEN 'view' THEN CAST(epoch_us(ts) // 1000 AS VARCHAR) WHEN 'click' THEN CAST(epoch_us(ts) // 1000000 AS VARCHAR)
+                        ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END"""
+_STATUS_JSON = f"""'{{' || CASE WHEN event_type = 'purchase' THEN '' ELSE '"conversation":{{"id":"u' || user_id || '","origin":{{"type":"' || event_type || '"}}}},' END
+    || '"id":"m' || event_id || '","pricing":{{"billable":' || CASE WHEN value > 50 THEN 'true' ELSE 'false' END
+    || ',"category":"service","pricing_model":"CBP","type":"regular"}},"recipient_id":"u' || user_id || '","status":"' || {_STATUS_NAME}
+    || '","timestamp":"' || {_STATUS_STAMP} || '"}}'"""
+
+
 @query("normalize_statuses", f"""
-    SELECT 'export_statuses' AS source, 'run-1' AS source_run_id, 'm' || event_id AS turn_message_id,
+    SELECT sha256('{{"message_id":"m' || event_id || '","recipient_id":"u' || user_id || '","status":"' || {_STATUS_NAME}
+                  || '","timestamp":"' || {_STATUS_STAMP} || '"}}') AS status_event_key,
+           {_STATUS_JSON} AS payload, sha256({_STATUS_JSON}) AS payload_hash,
+           'export_statuses' AS source, 'run-1' AS source_run_id, 'm' || event_id AS turn_message_id,
            'm' || event_id AS status_event_id, 'u' || user_id AS recipient_wa_id,
            CASE WHEN event_type <> 'purchase' THEN 'u' || user_id END AS conversation_id,
            CASE WHEN event_type <> 'purchase' THEN event_type END AS conversation_origin_type,
@@ -73,12 +86,17 @@ _STATUS_TIME = """CASE event_type WHEN 'click' THEN date_trunc('second', ts) WHE
            'CBP' AS pricing_model, value > 50 AS billable
     FROM events WHERE event_type <> 'error' AND value <= 200""")
 def _(t):
-    return N.normalize_statuses(_statuses(t), "run-1").drop(
-        "payload", "payload_hash", "source_delivery_id", "status_event_key")
+    return N.normalize_statuses(_statuses(t), "run-1").drop("source_delivery_id")
+
+
+_CONTACT_JSON = """'{' || CASE WHEN c_mktsegment <> 'BUILDING' THEN '"details":{"opted_in":' || (c_acctbal > 1000) || ',"whatsapp_id":"w' || c_custkey
+        || '","whatsapp_profile_name":"' || c_name || '"},' ELSE '' END
+    || '"id":"' || c_custkey || '","inserted_at":"' || strftime(TIMESTAMP '2024-01-01' - to_seconds(c_custkey), '%Y-%m-%d %H:%M:%S')
+    || '","number_id":"' || c_custkey || '","updated_at":' || (1704067200 + c_custkey) || '}'"""
 
 
 @query("normalize_contacts", f"""
-    SELECT 'export_contacts' AS source, 'run-1' AS source_run_id, CAST(c_custkey AS VARCHAR) AS turn_contact_id,
+    SELECT {_CONTACT_JSON} AS payload, sha256({_CONTACT_JSON}) AS payload_hash, 'export_contacts' AS source, 'run-1' AS source_run_id, CAST(c_custkey AS VARCHAR) AS turn_contact_id,
            c_custkey AS number_id, CASE WHEN c_mktsegment <> 'BUILDING' THEN 'w' || c_custkey END AS whatsapp_id,
            CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS whatsapp_profile_name,
            {stamp_sql("TIMESTAMP '2024-01-01' - to_seconds(c_custkey)")} AS turn_inserted_at,
@@ -87,7 +105,7 @@ def _(t):
                 || '","whatsapp_profile_name":"' || c_name || '"}}' END AS details
     FROM customer WHERE c_acctbal >= 0""")
 def _(t):
-    return N.normalize_contacts(_contacts(t), "run-1").drop("payload", "payload_hash")
+    return N.normalize_contacts(_contacts(t), "run-1")
 
 
 @query("reject_report", """
