@@ -37,6 +37,7 @@ BUCKET_STRETCHES = 200
 BLOCK_BYTES = 1 << 21
 CHUNK = 1 << 20
 SCREEN_BITS = 27
+PAGE_BITS = 17
 
 PERIOD = 32
 COVER = (1, 2, 3, 4, 8, 12, 20)
@@ -115,13 +116,20 @@ def screen(docs: DataFrame) -> np.ndarray:
     """Bits of the buckets met more than once, by the low bits of their hash: 2 ** ``SCREEN_BITS`` bits at any size."""
     low = F.col("g").bitwiseAND(F.lit((1 << SCREEN_BITS) - 1))
     met = docs.select("text").mapInArrow(_buckets, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
-    words = met.groupBy(F.shiftright(low, 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(g & 63 as int))")).alias("bits")).toPandas()
-    out = np.zeros(1 << (SCREEN_BITS - 6), np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    places = met.select(F.shiftright(low, PAGE_BITS).alias("page"), low.bitwiseAND(F.lit((1 << PAGE_BITS) - 1)).alias("at")).distinct()
+    out = np.zeros(1 << (SCREEN_BITS - 3), np.uint8)
+    size = 1 << (PAGE_BITS - 3)
+    for r in places.groupBy("page").applyInArrow(_page, "page long, bits binary").toLocalIterator():
+        out[r["page"] * size:(r["page"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return out.view(np.uint64)
 
 
+def _page(rows: pa.Table) -> pa.Table:
+    bits = np.zeros(1 << PAGE_BITS, bool)
+    bits[rows.column("at").to_numpy()] = True
+    return pa.table({"page": rows.column("page").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
 def _candidates(data: bytes, bits: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
     for g, first, last, folds in stretches(data):
         low = g & np.uint64((1 << SCREEN_BITS) - 1)
