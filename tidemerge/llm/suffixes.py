@@ -11,8 +11,9 @@ travel as one stretch of text, at about a fiftieth of the positions.
 3. The other buckets are sorted, a few at a time: suffixes by their first ``PERIOD`` bytes, and where these tie by the
    ranks of a sample of positions, ranked once for the block. The sample is periodic with offsets of a difference cover,
    so any two suffixes reach sampled positions at one common offset, whatever the length of the tie.
-4. A bucket of more than ``BUCKET_STRETCHES`` stretches (a passage in very many surroundings) is parted on: its
-   suffixes go by a hash of their whole depth, counted with a map-side part.
+4. A bucket of more than ``BUCKET_STRETCHES`` stretches (a passage in very many surroundings) is parted on by longer
+   grams, in the same way: what lies inside the passage becomes equal stretches, what reaches far out of it goes
+   elsewhere. The little that is left after the last length goes by a hash of the whole depth.
 5. Repeated starts become spans of bytes and are joined to the texts by a hash of the whole text.
 """
 
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 from tidemerge.llm.base import content_key, query, stored, table
 
 DEPTH = 200
-GRAM = 100
+GRAMS = (100, 150, 180, 195)
 STRETCH = 128
 BUCKET_STRETCHES = 200
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 CHUNK = 1 << 20
 SCREEN_BITS = 27
 PAGE_BITS = 17
@@ -57,23 +58,23 @@ def _offsets() -> np.ndarray:
 STEP = _offsets()
 
 
-def bucket_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of ``DEPTH`` bytes in ``data`` the smallest hash of the grams inside, and all grams' hashes."""
+def bucket_hashes(data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each start of ``DEPTH`` bytes in ``data`` the smallest hash of its grams of ``size`` bytes, and all grams' hashes."""
     value, power, length, places, factors = data.astype(np.uint64) + np.uint64(1), RADIX, 1, {}, {}
-    while length <= GRAM:  # hashes of 1, 2, 4 ... bytes
+    while length <= size:  # hashes of 1, 2, 4 ... bytes
         places[length], factors[length] = value, np.uint64(power)
         value = value[:-length] * factors[length] + value[length:]
         power = power * power % (1 << 64)
         length *= 2
-    n, at, gram = len(data) - GRAM + 1, 0, np.zeros(len(data) - GRAM + 1, np.uint64)
+    n, at, gram = len(data) - size + 1, 0, np.zeros(len(data) - size + 1, np.uint64)
     for length in sorted(places, reverse=True):
-        if GRAM - at >= length:
+        if size - at >= length:
             gram = gram * factors[length] + places[length][at:at + n]
             at += length
     gram = (gram ^ (gram >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
     gram = gram ^ (gram >> np.uint64(32))
-    least, width, window = gram, 1, DEPTH - GRAM + 1
+    least, width, window = gram, 1, DEPTH - size + 1
     while 2 * width <= window:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -81,22 +82,25 @@ def bucket_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(least[:count], least[window - width:window - width + count]), gram
 
 
-def stretches(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def stretches(data: bytes, size: int = GRAMS[0]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Bucket, first and last start of each stretch of a text, and whether it can repeat a string within itself.
 
-    It can only if its smallest gram stands in it twice. Arrays come for a part of the text at a time.
+    A stretch that repeats a string has the period of the two starts' distance. Then its smallest gram begins one of its
+    strings at an earlier place than it ends another. Arrays come for a part of the text at a time.
     """
-    reach = np.arange(STRETCH + DEPTH - GRAM)
+    far = 1 << 62
     for at in range(0, len(data) - DEPTH + 1, CHUNK):
-        least, gram = bucket_hashes(np.frombuffer(data, np.uint8, min(CHUNK + DEPTH - 1, len(data) - at), at))
+        least, gram = bucket_hashes(np.frombuffer(data, np.uint8, min(CHUNK + DEPTH - 1, len(data) - at), at), size)
         new = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         long = np.diff(np.append(new, len(least)))
         pieces = -(-long // STRETCH)
         first = np.repeat(new, pieces) + STRETCH * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         last = np.append(first[1:], len(least)) - 1
-        inside = reach <= (last - first + DEPTH - GRAM)[:, None]
-        same = gram[np.minimum(first[:, None] + reach, len(gram) - 1)] == least[first][:, None]
-        yield least[first], first + at, last + at, (same & inside).sum(axis=1) > 1
+        begins = np.flatnonzero(gram[:len(least)] == least)
+        ends = np.flatnonzero(gram[DEPTH - size:] == least)
+        begin = np.append(begins, far)[np.searchsorted(begins, first)]
+        end = np.append(-far, ends)[np.searchsorted(ends, last, "right")]
+        yield least[first], first + at, last + at, (begin <= last) & (end >= first) & (begin < end + DEPTH - size)
 
 
 def _bytes(text) -> bytes:
@@ -241,6 +245,50 @@ def _whole_depth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([uid] * count, pa.binary()), pa.array(np.arange(count)), pa.array(np.full(count, n))], ["w", "uid", "at", "n"])
 
 
+def _parted(size: int):
+    """Splits stretches by grams of ``size`` bytes; the parts know their stretch and where in it they begin."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(parent, int(at), n == 1, int(g), u[at:to + DEPTH], bool(folds), n)
+                    for parent, u, n in zip(*(batch.column(c).to_pylist() for c in ("uid", "u", "n")), strict=True)
+                    for arrays in stretches(u, size)
+                    for g, at, to, folds in zip(arrays[0].view(np.int64), *arrays[1:], strict=True)]
+            parent, at, lone, g, u, folds, n = zip(*rows, strict=True) if rows else [()] * 7
+            yield pa.RecordBatch.from_arrays([
+                pa.array(parent, pa.binary()), pa.array(at, pa.int64()), pa.array(lone, pa.bool_()),
+                pa.array([xxhash.xxh3_128_digest(x) for x in u], pa.binary()), pa.array(g, pa.int64()), pa.array(u, pa.binary()),
+                pa.array(folds, pa.bool_()), pa.array(n, pa.int64())], ["parent", "at", "lone", "uid", "g", "u", "folds", "n"])
+
+    return part
+
+
+def _resolved(distinct: DataFrame, level: int = 0) -> DataFrame:
+    """``uid, lo, hi``: runs of repeated starts in distinct stretches (uid, g, u, folds, n) by grams of a length."""
+    sizes = distinct.groupBy("g").agg(F.count("*").alias("m"), F.max("folds").alias("f")).where("m > 1 or f").drop("f")
+    shared = distinct.join(sizes, "g")
+    runs = "uid binary, lo long, hi long"
+    twice = distinct.where("n > 1").select("uid", F.lit(0).cast("long").alias("lo"), (F.length("u") - DEPTH).cast("long").alias("hi"))
+    in_block = (shared.where(F.col("m") <= BUCKET_STRETCHES).select("g", "uid", "u", "n").repartition("g")
+                .sortWithinPartitions("g").mapInArrow(_sorted_buckets, runs))
+    found = twice.union(in_block)
+    large = F.col("m") > BUCKET_STRETCHES
+    if sizes.where(large).isEmpty():
+        return found
+    rest = shared.where(large).select("uid", "u", "n")
+    if level + 1 < len(GRAMS):
+        parts = stored(rest.mapInArrow(_parted(GRAMS[level + 1]), "parent binary, at long, lone boolean, uid binary, g long, "
+                                                                  "u binary, folds boolean, n long"), "parts")
+        inner = _resolved(stored(parts.groupBy("uid", "g", "u", "folds").agg(F.sum("n").alias("n")), "stretches"), level + 1)
+        deeper = parts.where("lone").join(inner, "uid").select(
+            F.col("parent").alias("uid"), (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
+    else:
+        whole = rest.mapInArrow(_whole_depth, "w binary, uid binary, at long, n long")
+        again = whole.groupBy("w").agg(F.sum("n").alias("met")).where("met > 1").select("w")
+        deeper = whole.where("n = 1").join(again, "w", "left_semi").select("uid", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    return found.union(deeper)
+
+
 def repeated_starts(docs: DataFrame) -> DataFrame:
     """``key, lo, hi``: runs of starts of repeated strings, by ``content_key`` of the text; runs may touch or repeat.
 
@@ -271,17 +319,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
 
     distinct = stored(docs.select("text").mapInArrow(gathered, "uid binary, g long, u binary, folds boolean, n long")
                       .groupBy("uid", "g", "u", "folds").agg(F.sum("n").alias("n")), "stretches")
-    sizes = distinct.groupBy("g").agg(F.count("*").alias("m"), F.max("folds").alias("f")).where("m > 1 or f").drop("f")
-    shared = distinct.join(sizes, "g")
-    runs = "uid binary, lo long, hi long"
-    twice = distinct.where("n > 1").select("uid", F.lit(0).cast("long").alias("lo"), (F.length("u") - DEPTH).cast("long").alias("hi"))
-    in_block = (shared.where(F.col("m") <= BUCKET_STRETCHES).select("g", "uid", "u", "n").repartition("g")
-                .sortWithinPartitions("g").mapInArrow(_sorted_buckets, runs))
-    parted = shared.where(F.col("m") > BUCKET_STRETCHES).select("uid", "u", "n").mapInArrow(
-        _whole_depth, "w binary, uid binary, at long, n long")
-    again = parted.groupBy("w").agg(F.sum("n").alias("met")).where("met > 1").select("w")
-    by_depth = parted.where("n = 1").join(again, "w", "left_semi").select("uid", F.col("at").alias("lo"), F.col("at").alias("hi"))
-    found = twice.union(in_block).union(by_depth).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
+    found = _resolved(distinct).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
     where = docs.select(content_key(F.col("text")), "text").mapInArrow(placed, "key binary, uid binary, start long")
     return (where.join(found, "uid").select("key", "start", F.explode("runs").alias("r"))
             .select("key", (F.col("start") + F.col("r.lo")).alias("lo"), (F.col("start") + F.col("r.hi")).alias("hi")))
