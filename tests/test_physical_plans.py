@@ -8,7 +8,7 @@ from tidemerge.operators import merge as M
 from tidemerge.queries import QUERIES
 from tidemerge.queries import stand_ins as SI
 
-STREAMS = {n for n in QUERIES if n.startswith(("stream_", "dataset_"))} | {"publish_view"}  # run on build
+STREAMS = {n for n in QUERIES if n.startswith(("stream_", "dataset_", "published_"))} | {"publish_view"}  # run on build
 # ordered reports of one row for each day, pipeline or table: numbered in one task
 NUMBERED = {"card_pipeline_freshness", "card_ingestion_trend", "card_contact_snapshots", "sync_state_list", "transfer_freshness",
             "sync_status_report"}

@@ -93,3 +93,16 @@ def test_an_older_reader_keeps_its_rows(spark, fresh):
     old = store.read_target(spark, path)
     store.replace_into(batch(spark, range(4), 5), path, KEYS, ORDER)
     assert old.agg(F.sum("n")).first()[0] == 4
+
+
+def test_months_are_replaced_and_removed(spark, fresh):
+    path = fresh("months")
+
+    def days(*rows):
+        return spark.createDataFrame(list(rows), "d string, n long").selectExpr("cast(d as date) as metric_date", "n")
+
+    assert store.read_months(spark, path) is None
+    store.refresh_months(days(("2024-01-05", 1), ("2024-01-09", 2), ("2024-02-01", 3), ("2024-03-01", 4)), path)
+    store.refresh_months(days(("2024-02-02", 5)), path, days(("2024-02-07", 0), ("2024-03-09", 0)))
+    assert sorted(r.n for r in store.read_months(spark, path).collect()) == [1, 2, 5]
+    assert [r.n for r in store.read_months(spark, path, 1).collect()] == [5]

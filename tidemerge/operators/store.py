@@ -214,6 +214,35 @@ def replace_into(batch: DataFrame, path: str, keys: list[str], order: list[str],
     return update_into(batch, path, keys, [c for c in batch.columns if c not in keys], order, buckets)
 
 
+def _month_number(day: Column) -> Column:
+    """Months in their order; rows without a day form the first."""
+    return F.coalesce(F.year(day) * 12 + F.month(day), F.lit(0))
+
+
+def refresh_months(rows: DataFrame, path: str, touched: DataFrame | None = None, day: str = "metric_date") -> int:
+    """Publishes the months of a daily view that a batch changed: ``rows`` holds all their days and replaces them.
+
+    ``touched`` lists the days (column ``day``) of the batch when months may have lost all rows; these are removed.
+    A month is a folder of a snapshot, so readers see all months change at once. Returns the number of months written.
+    """
+    spark = rows.sparkSession
+    at = snapshot(spark, path) or Snapshot(0, 0, [day], _nullable(rows.schema))
+    schema, columns = grown(at.schema, rows.schema)
+    added = _write(rows.select(*columns), path, _month_number(F.col(day)))
+    gone = {r[0] for r in touched.select(_month_number(F.col(day))).distinct().collect()} if touched is not None else set()
+    kept = {m: f for m, f in at.folders.items() if m not in gone}
+    _commit(spark, path, replace(at, schema=schema, folders={**kept, **added}))
+    return len(added)
+
+
+def read_months(spark: SparkSession, path: str, last: int | None = None) -> DataFrame | None:
+    """The published months, or only the folders of the newest ``last`` ones; each of them has a row."""
+    at = snapshot(spark, path)
+    if at is None:
+        return None
+    return _active(spark, path, at, None if last is None else set(sorted(at.folders)[-last:]))
+
+
 def compact(spark: SparkSession, path: str, most: int = 1, keep: int = KEPT_SNAPSHOTS) -> int:
     """Rewrites buckets of more than ``most`` folders as one, then removes what only older snapshots hold.
 

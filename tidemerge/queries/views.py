@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from tidemerge.operators import views as V
 from tidemerge.operators.state import upsert_cursor
+from tidemerge.operators.store import read_months, refresh_months
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
 from tidemerge.queries.control import empty_cursors
 from tidemerge.queries.stand_in_sql import AS_OF, EVENTS_AS_OF
+from tidemerge.session import work_path
 
 _VOLUME_SQL = """
     SELECT strftime(message_timestamp, '%Y-%m-%d') AS metric_date, direction, message_type, COUNT(*) AS message_count,
@@ -141,6 +143,30 @@ def card_volume(t):
     return V.card(volume(t), [V.latest_first(), "direction", "message_type"], 100, rank="position")
 
 
+_VOLUME_CARD_SQL = f"""
+    SELECT *, ROW_NUMBER() OVER (ORDER BY metric_date DESC, direction, message_type) AS position
+    FROM (SELECT * FROM ({_VOLUME_SQL}) ORDER BY metric_date DESC, direction, message_type LIMIT 100)"""
+
+
+@query("published_volume_card", _VOLUME_CARD_SQL)
+def _(t):
+    """The report over published months: first the outbound messages, then all months that the others changed. The
+    newest 100 months hold the 100 newest rows, whatever else was published."""
+    path, messages = work_path(t.spark, "months"), SI.messages(t)
+    refresh_months(V.message_volume_daily(messages.where("direction = 'outbound'")), path)
+    refresh_months(V.message_volume_daily(messages), path, messages.select(F.to_date("message_timestamp").alias("metric_date")))
+    return V.card(read_months(t.spark, path, 100), [V.latest_first(), "direction", "message_type"], 100, rank="position")
+
+
+@query("published_funnel_card", f"""
+    SELECT *, ROW_NUMBER() OVER (ORDER BY metric_date DESC) AS position
+    FROM (SELECT * FROM ({_FUNNEL_SQL}) ORDER BY metric_date DESC LIMIT 30)""")
+def _(t):
+    path = work_path(t.spark, "months")
+    refresh_months(funnel(t), path)
+    return V.card(read_months(t.spark, path, 30), [V.latest_first()], 30, rank="position")
+
+
 @query("card_contact_snapshots", _ranked(_CONTACTS_SQL, "metric_date"))
 def _(t):
     return V.card(contact_days(t), ["metric_date"], rank="position")
