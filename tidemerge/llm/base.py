@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemerge.session import work_path
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +22,7 @@ def query(name: str, sql: str | None = None):
     """Registers ``f(spark, folder)`` under ``name``; ``sql`` is what DuckDB runs on the same tables."""
 
     def register(f):
-        QUERIES[name] = f
+        QUERIES[name] = small_batches(f)
         if sql is not None:
             ORACLES[name] = sql
         return f
@@ -26,6 +30,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def small_batches(f):
+    """``f(spark, ...)`` with ``BATCH_ROWS`` rows in a batch that goes to Python, unless the session asks for its own
+    number: texts can be long, and Spark bounds batches by rows alone."""
+
+    @wraps(f)
+    def run(spark: SparkSession, *args):
+        if spark.conf.get(_BATCH) == "10000":
+            spark.conf.set(_BATCH, str(BATCH_ROWS))
+        return f(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns or "*")
 

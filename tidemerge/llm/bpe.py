@@ -18,19 +18,20 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tidemerge.llm.base import query, table
+from tidemerge.llm.base import in_chunks, query, stored, table
 
 VOCABULARY = 1 << 17
 FOLD_BYTES = 24
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+CHUNK_BYTES = 4 << 20
 INDEX = 1 << 15
 #: Spark's xxhash64 of a string.
 HASH_SEED = 42
@@ -69,12 +70,16 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[word]]
     if len(word) > 4 * FOLD_BYTES:
         return _merge_long(word, ranks)
-    parts = [word[i:i + 1] for i in range(len(word))]
-    while len(parts) > 1:
-        best, at = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))  # noqa: B905
-        if best == len(ranks):
-            break
+    parts, none = [word[i:i + 1] for i in range(len(word))], len(ranks)
+    pairs = [ranks.get(word[i:i + 2], none) for i in range(len(word) - 1)]
+    while pairs and (best := min(pairs)) < none:
+        at = pairs.index(best)
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], none)
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
     return [ranks[p] for p in parts]
 
 
@@ -105,6 +110,27 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:until[i]]] for i in range(end) if alive[i]]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+class Words(dict):
+    """Ids of words as bytes: a table of known ones, and a bounded number of others that a worker has merged."""
+
+    def __init__(self, known: dict[str, bytes], ranks: dict[bytes, int]):
+        super().__init__(known)
+        self.ranks, self.most = ranks, len(known) + CACHED_WORDS
+
+    def __reduce__(self):
+        return Words, (dict(self), self.ranks)
+
+    def __missing__(self, word: str) -> bytes:
+        found = _packed(merge(word.encode("utf-8", "surrogatepass"), self.ranks))
+        if len(self) < self.most and len(word) <= 4 * FOLD_BYTES:
+            self[word] = found
+        return found
+
+
 def rank_map(ranks: dict[bytes, int]) -> Column:
     """Ranks by upper-case hex, as a literal of slots of maps."""
     index: list[dict[str, int]] = [{} for _ in range(INDEX)]
@@ -139,8 +165,8 @@ def folded(word: Column, ranks: Column) -> Column:
 def frequent_words(docs: DataFrame, text: str) -> DataFrame:
     """The most frequent words of all rows: at most ``VOCABULARY``, all above one count."""
     # only which words are in the table depends on this split, never their ids
-    words = (docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit("(?U)" + SPLIT), F.lit(0))).alias("word"))
-             .groupBy("word").count().where(F.octet_length("word") <= FOLD_BYTES))
+    words = stored(docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit("(?U)" + SPLIT), F.lit(0))).alias("word"))
+             .groupBy("word").count().where(F.octet_length("word") <= FOLD_BYTES), "words")
     step = F.floor(F.log2("count") * 8).cast("int")
     held, lowest = 0, None
     for r in sorted(words.groupBy(step.alias("q")).count().collect(), key=lambda r: -r["q"]):
@@ -158,28 +184,24 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
     driver.
     """
     ranks = read_ranks(path)
-    table_ = frequent_words(docs, text).select("word", folded(F.col("word"), rank_map(ranks)).alias("ids")).collect()
-    known = {r["word"]: np.array(r["ids"], np.int32).tobytes() for r in table_}
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, known))
+    found = frequent_words(docs, text).select("word", folded(F.col("word"), rank_map(ranks)).alias("ids")).toArrow()
+    lists = found["ids"].combine_chunks()
+    ids, ends = lists.values.to_numpy().astype(np.int32), lists.offsets.to_numpy()
+    known = {w: ids[a:b].tobytes() for w, a, b in zip(found["word"].to_pylist(), ends[:-1], ends[1:], strict=True)}
+    sent = docs.sparkSession.sparkContext.broadcast(Words(known, ranks))
     kept = [c for c in (docs.columns if keep is None else keep) if c != into]
 
-    class Words(dict):
-        """Ids of words as bytes; a bounded number of those beyond the broadcast table is kept."""
-
-        def __missing__(self, word: str) -> bytes:
-            found = np.array(merge(word.encode("utf-8", "surrogatepass"), sent.value[0]), np.int32).tobytes()
-            if len(self) < len(sent.value[1]) + CACHED_WORDS and len(word) <= 4 * FOLD_BYTES:
-                self[word] = found
-            return found
-
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(sent.value[1])
-        for batch in batches:
-            ids = [b"".join(map(words.__getitem__, split(t.as_py() or ""))) for t in batch.column(text)]
-            ends = np.cumsum([0] + [len(x) // 4 for x in ids])
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], [*kept, into])
+        words = sent.value
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(text)), 0).to_pylist()
+            for start, end in in_chunks(sizes, CHUNK_BYTES):
+                batch = whole.slice(start, end - start)
+                ids = [b"".join(map(words.__getitem__, split(t.as_py() or ""))) for t in batch.column(text)]
+                ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], [*kept, into])
 
     schema = StructType([*docs.select(*kept).schema.fields, StructField(into, ArrayType(IntegerType()))])
     return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(encoded, schema)
@@ -187,13 +209,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
 
 def decode(ids: Column, path: str) -> Column:
     """The bytes of an array of ids: its pieces, one after the other; null for null."""
-    pieces = [b for b, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])]
-
-    @F.pandas_udf(BinaryType())
-    def joined(arrays: pd.Series) -> pd.Series:
-        return arrays.map(lambda a: None if a is None else b"".join(map(pieces.__getitem__, np.asarray(a).tolist())))
-
-    return joined(ids)
+    pieces = [b.hex() for b, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])]
+    table_ = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(table_, i + 1)), ""))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
