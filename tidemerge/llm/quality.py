@@ -86,7 +86,7 @@ class Model:
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> Model:
     """The model of least non-negative risk, by Adam over all rows; without positives each text scores the prior."""
-    width = unlabelled.shape[1] if unlabelled.size else len(statistics(""))
+    width = unlabelled.shape[1]
     if not len(positive) or not len(unlabelled):
         weights = np.zeros(2 * width + 1)
         weights[-1] = np.log(prior / (1 - prior)) if 0 < prior < 1 else 40 * (1 if prior >= 1 else -1)
@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     chosen = docs.where(~held_out(F.col("doc_id")) & (F.shiftrightunsigned(F.xxhash64("doc_id"), 33) < int(part * (1 << 31))))
     seen = (chosen.join(known, "doc_id", "left")
             .select(statistics_column("text").alias("x"), (F.col("quality") == 1).alias("positive"))).collect()
-    x = np.array([r["x"] for r in seen]).reshape(len(seen), -1)
+    x = np.array([r["x"] for r in seen]).reshape(len(seen), len(statistics("")))
     positive = np.array([bool(r["positive"]) for r in seen], bool)
     return fit(x[positive], x, (good or 0) / n if n else 1.0)
 
