@@ -28,6 +28,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = Fraction(3, 2)
 MOST_REPEATS = 2
 BLOCK_WORDS = 128
+BLOCKS_OF_LEAST = 64
+MOST_SLOTS = 1 << 26
 BUCKET_ROWS = 4096
 SLOT_CHUNK = 1 << 16
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -60,6 +62,14 @@ def targets(sizes: list[int], weights=WEIGHTS, share=SHARE, most=MOST_REPEATS) -
     return [float(x) for x in out]
 
 
+def block_size(mixture: list[Share]) -> int:
+    """Words of a block: ``BLOCK_WORDS``, or fewer so that the smallest target has about ``BLOCKS_OF_LEAST`` slots, as
+    long as the whole mix stays below ``MOST_SLOTS``; beyond that, more."""
+    wanted = [m.target for m in mixture if m.target > 0]
+    least = min(wanted, default=0) / BLOCKS_OF_LEAST
+    return max(1, math.ceil(sum(wanted) / MOST_SLOTS), min(BLOCK_WORDS, int(least)))
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -91,7 +101,7 @@ def laid_out(sized: DataFrame, mixture: list[Share], source: str, *identity: Col
             .drop("_first", "_bucket", "_hash"))
 
 
-def slots(spark, mixture: list[Share], block_words: int = BLOCK_WORDS) -> DataFrame:
+def slots(spark, mixture: list[Share], block_words: int) -> DataFrame:
     """``slot, _place, rank``: the source of every slot, and how many earlier slots have the same source."""
     wanted = np.array([m.target for m in mixture], float)
     number = round(wanted.sum() / block_words)
@@ -122,14 +132,14 @@ def slots(spark, mixture: list[Share], block_words: int = BLOCK_WORDS) -> DataFr
     return filled.join(counts, ["_place", "chunk"]).select("slot", "_place", (F.col("rank") + F.col("earlier")).alias("rank"))
 
 
-def schedule(laid: DataFrame, mixture: list[Share], block_words: int = BLOCK_WORDS) -> DataFrame:
+def schedule(laid: DataFrame, mixture: list[Share], block_words: int | None = None) -> DataFrame:
     """``slot, _place, round, _start, first, last``: the pieces of documents in the order of the mix.
 
     A piece is the words ``first`` to ``last`` (exclusive) of the document that begins at ``_start``; ``round`` counts
     how often its source has been used up before. A slot that would use a source more than ``MOST_REPEATS`` times
     (the schedule may give a full source a slot too many) stays empty.
     """
-    spark = laid.sparkSession
+    spark, block_words = laid.sparkSession, block_words or block_size(mixture)
     blocks = spark.createDataFrame([(m.place, math.ceil(m.size / block_words)) for m in mixture], "_place int, blocks long")
     placed = (slots(spark, mixture, block_words).join(F.broadcast(blocks), "_place")
               .where((F.col("blocks") > 0) & (F.col("rank") < MOST_REPEATS * F.col("blocks")))
