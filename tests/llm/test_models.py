@@ -199,6 +199,8 @@ def test_mix_rows(spark):
     words = mixed.select(F.sum(mixing.n_words(F.col("text")))).first()[0]
     assert words == sum(x.taken for x in out)
     assert mixing.mix_counts(empty(spark)).count() == 0 == mixing.mix(empty(spark)).count()
+    wide = clashing(spark).withColumns({c: F.lit(1) for c in ("round", "slot", "first", "last", "block")})
+    assert set(mixing.mix(wide).columns) == set(wide.columns) and mixing.mix(wide).count() > 0
 
 
 def test_block_sizes():

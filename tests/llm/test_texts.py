@@ -94,7 +94,7 @@ def test_long_words_are_merged_alike(reference):
 def test_bpe_rows(spark, reference):
     _, enc = reference
     path = bpe.vocabulary_path()
-    out = bpe.digests(bpe.encode(clashing(spark), path, keep=["doc_id", "text"]), path).collect()
+    out = bpe.digests(bpe.encode(clashing(spark), path, keep=["doc_id", "text"], decoded="decoded")).collect()
     want = Counter()
     for key, text, *_ in ROWS:
         ids = enc.encode_ordinary(text or "")
@@ -115,8 +115,10 @@ def test_fold_in_spark_equals_the_merge(spark, reference):
 def test_words_beyond_the_broadcast_table(spark, reference, monkeypatch):
     monkeypatch.setattr(bpe, "VOCABULARY", 3)
     _, enc = reference
-    out = bpe.encode(docs(spark), bpe.vocabulary_path()).collect()
+    path = bpe.vocabulary_path()
+    out = bpe.encode(docs(spark), path).withColumn("back", bpe.decode(F.col("ids"), path)).collect()
     for r in out:
+        assert bytes(r.back) == (r.text or "").encode()
         assert r.ids == enc.encode_ordinary(r.text or "")
 
 

@@ -182,7 +182,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     them. Documents without words are not part of a mix counted in words.
     """
     laid, mixture = _prepared(docs, text, source, doc_id)
-    rounds = (schedule(laid, mixture).groupBy("_place", "_start", "round").agg(F.max("last").alias("_last")))
+    rounds = (schedule(laid, mixture).groupBy("_place", "_start", "round").agg(F.max("last").alias("_last")).drop("round"))
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1, F.col("_last").cast("int")), "")
     kept = F.when(F.col("_last") < F.col("_size"), cut).otherwise(F.col(text))
     return (laid.where("_size > 0").join(rounds, ["_place", "_start"]).withColumn(text, kept).select(*docs.columns))
