@@ -6,11 +6,15 @@ import string
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemerge.session import work_path
 
+# Python workers live on from stage to stage; the system's allocator gives their memory back in between
+pa.set_memory_pool(pa.system_memory_pool())
+
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -24,13 +24,13 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from tidemerge.llm.base import in_chunks, query, stored, table
 
-VOCABULARY = 1 << 17
+VOCABULARY = 1 << 16
 FOLD_BYTES = 24
-CACHED_WORDS = 200_000
+CACHED_WORDS = 60_000
 CHUNK_BYTES = 4 << 20
 INDEX = 1 << 15
 #: Spark's xxhash64 of a string.
@@ -177,22 +177,25 @@ def frequent_words(docs: DataFrame, text: str) -> DataFrame:
     return words.where(step >= lowest if lowest is not None else F.lit(False)).select("word")
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", keep: list[str] | None = None,
+           decoded: str | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) with the ids of each whole text as an array.
 
-    Null and empty texts have none. A column named like ``into`` is replaced. ``path`` is the rank file, read by the
-    driver.
+    Null and empty texts have none. ``decoded`` names a column for the bytes that the ids decode to, made in the same
+    pass. Columns of these names are replaced. ``path`` is the rank file, read by the driver.
     """
     ranks = read_ranks(path)
-    found = frequent_words(docs, text).select("word", folded(F.col("word"), rank_map(ranks)).alias("ids")).toArrow()
+    found = frequent_words(docs, text).select("word", folded(F.col("word"), rank_map(ranks)).alias("ids"))
+    found = _with_short_plans(found)
     lists = found["ids"].combine_chunks()
     ids, ends = lists.values.to_numpy().astype(np.int32), lists.offsets.to_numpy()
     known = {w: ids[a:b].tobytes() for w, a, b in zip(found["word"].to_pylist(), ends[:-1], ends[1:], strict=True)}
     sent = docs.sparkSession.sparkContext.broadcast(Words(known, ranks))
-    kept = [c for c in (docs.columns if keep is None else keep) if c != into]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (into, decoded)]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value
+        pieces = sorted(words.ranks, key=words.ranks.get)
         for whole in batches:
             sizes = pc.fill_null(pc.binary_length(whole.column(text)), 0).to_pylist()
             for start, end in in_chunks(sizes, CHUNK_BYTES):
@@ -201,24 +204,44 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids])
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], [*kept, into])
-
-    schema = StructType([*docs.select(*kept).schema.fields, StructField(into, ArrayType(IntegerType()))])
+                out = [*(batch.column(c) for c in kept), lists]
+                if decoded:
+                    out.append(pa.array([joined(np.frombuffer(x, np.int32).tolist(), pieces) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, names)
+
+    made = [StructField(into, ArrayType(IntegerType())), *([StructField(decoded, BinaryType())] if decoded else [])]
+    schema = StructType([*docs.select(*kept).schema.fields, *made])
+    names = schema.fieldNames()
     return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(encoded, schema)
 
 
+def _with_short_plans(df: DataFrame) -> pa.Table:
+    """The rows of ``df``; its plan, which holds the rank map, is not written out in full to the event log."""
+    conf, key = df.sparkSession.conf, "spark.sql.maxPlanStringLength"
+    before = conf.get(key)
+    conf.set(key, "20000")
+    try:
+        return df.toArrow()
+    finally:
+        conf.set(key, before)
+
+
+def joined(ids: list[int], pieces: list[bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, ids))
+
+
 def decode(ids: Column, path: str) -> Column:
-    """The bytes of an array of ids: its pieces, one after the other; null for null."""
+    """The bytes of a column of ids: their pieces, one after the other; null for null."""
     pieces = [b.hex() for b, _ in sorted(read_ranks(path).items(), key=lambda x: x[1])]
     table_ = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(table_, i + 1)), ""))
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """``n_tokens`` and digests of the ids and of the decoded bytes beside the columns of ``docs`` (text as ids)."""
-    return (docs.withColumn("n_tokens", F.size("ids").cast("long"))
+def digests(encoded: DataFrame) -> DataFrame:
+    """``n_tokens`` and digests of the columns ``ids`` and ``decoded``, in their place."""
+    return (encoded.withColumn("n_tokens", F.size("ids").cast("long"))
             .withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256))
-            .withColumn("decoded_sha256", F.sha2(decode(F.col("ids"), path), 256)).drop("ids"))
+            .withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("ids", "decoded"))
 
 
 def vocabulary_path() -> str:
@@ -230,4 +253,4 @@ def vocabulary_path() -> str:
 @query("op5_bpe")
 def op5_bpe(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")
-    return digests(encode(docs, vocabulary_path(), keep=["doc_id"]), vocabulary_path())
+    return digests(encode(docs, vocabulary_path(), keep=["doc_id"], decoded="decoded"))
