@@ -88,7 +88,8 @@ def laid_out(sized: DataFrame, mixture: list[Share], source: str, *identity: Col
     spark = sized.sparkSession
     names = spark.createDataFrame([(m.place, m.source, m.size, m.target, max(1, math.ceil(m.rows / BUCKET_ROWS))) for m in mixture],
                                   "_place int, _name string, _source_size long, _target double, _buckets long")
-    hashed = sized.join(names, F.col(source).eqNullSafe(F.col("_name"))).withColumn("_hash", F.xxhash64(*identity))
+    # one row for each source, made from a list on the driver: without the hint texts would be shuffled by their source
+    hashed = sized.join(F.broadcast(names), F.col(source).eqNullSafe(F.col("_name"))).withColumn("_hash", F.xxhash64(*identity))
     # the hash's upper 31 bits choose the bucket, so buckets follow one another in the hash's unsigned order
     upper = F.shiftrightunsigned("_hash", 33)
     hashed = hashed.withColumn("_bucket", F.shiftright(upper * F.col("_buckets"), 31)).drop("_name", "_buckets")
