@@ -130,7 +130,8 @@ def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     rooted = stored(_rooted(stored(marked.select(F.col(doc_id).alias("doc_id"), F.col("_fp").alias("fp")), "simhash"))
                     .select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "roots")
     first = Window.partitionBy("_root").orderBy(F.col(doc_id).asc_nulls_last(), text)
-    return (marked.join(rooted, "_fp").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns))
+    # the same plan at every size: a broadcast of many fingerprints would be built on the driver
+    return (marked.join(rooted.hint("merge"), "_fp").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns))
 
 
 @query("op10_simhash")
