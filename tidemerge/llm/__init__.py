@@ -1,7 +1,7 @@
 """Operations of a training-data pipeline, with their queries and SQL. Nothing outside this folder imports it."""
 
 from tidemerge.llm import (  # noqa: F401
-    ann, bpe, dialogue, fingerprints, license_scan, lm, mixing, quality, simhash, suffixes, urls, whitening,
+    ann, bpe, dialogue, fingerprints, license_scan, lm, mixing, quality, simhash, suffixes, toxicity, urls, whitening,
 )
 from tidemerge.llm.base import ORACLES, QUERIES
 

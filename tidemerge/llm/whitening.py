@@ -66,24 +66,28 @@ def above(matrix: np.ndarray, shift: float) -> int:
 
 
 def _apart(y: np.ndarray, found: list[np.ndarray]) -> np.ndarray:
-    """``y`` of length one, orthogonal to the vectors found before."""
+    """``y`` of length one, orthogonal to the vectors found before; where nothing is left of it, another direction."""
     for _ in range(2):
         for v in found:
             y = y - (v @ y) * v
-        y = y / np.linalg.norm(y)
+        size = np.linalg.norm(y)
+        if not size > 1e-8:
+            y = np.zeros(len(y))
+            y[int(np.argmin(sum(v * v for v in found)))] = 1.0
+            return _apart(y, found)
+        y = y / size
     return y
 
 
-def _inverse(matrix: np.ndarray, shift: float, y: np.ndarray, scale: float) -> np.ndarray:
-    eye = np.eye(len(matrix))
-    while True:
+def _inverse(matrix: np.ndarray, shift: float, y: np.ndarray) -> np.ndarray:
+    for step in range(8):  # on an eigenvalue to the last bit: a step aside
         try:
-            out = np.linalg.solve(matrix - shift * eye, y)
-            if np.isfinite(out).all():
-                return out / np.linalg.norm(out)
+            out = np.linalg.solve(matrix - (shift + 4 * step * EPS) * np.eye(len(matrix)), y)
         except np.linalg.LinAlgError:
-            pass
-        shift += 4 * EPS * scale  # on an eigenvalue to the last bit: a step aside
+            continue
+        if np.isfinite(out).all():
+            return out / np.linalg.norm(out)
+    return y
 
 
 def leading(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,11 +96,11 @@ def leading(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     size = float(np.abs(matrix).sum(axis=1).max()) if d else 0.0
     if not size:
         return np.zeros(min(count, d)), np.eye(d)[:, :count]
-    matrix, scale = matrix / size, 1.0
+    matrix = matrix / size  # eigenvalues from 0 to 1
     least = 4 * EPS * d
     values, vectors = [], []
     for k in range(1, min(count, d) + 1):
-        lo, hi = -EPS * scale * d - least, scale * (1 + 4 * EPS) + least  # above(lo) >= k > above(hi)
+        lo, hi = -least, 1 + least  # above(lo) >= k > above(hi)
         at_lo, at_hi = d, 0
         start = np.cos(np.arange(1, d + 1) * (0.7 + k))  # any fixed vector that favours no direction
 
@@ -114,22 +118,22 @@ def leading(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
         while True:  # ends at the latest when no more can be cut from the interval
             y = _apart(start, vectors)
             for _ in range(3):
-                y = _apart(_inverse(matrix, (lo + hi) / 2, y, scale), vectors)
+                y = _apart(_inverse(matrix, (lo + hi) / 2, y), vectors)
             value, residual = float(y @ matrix @ y), np.inf
             for _ in range(STEPS):
-                z = _apart(_inverse(matrix, value, y, scale), vectors)
+                z = _apart(_inverse(matrix, value, y), vectors)
                 at = float(z @ matrix @ z)
                 left = float(np.linalg.norm(matrix @ z - at * z))
                 if left >= residual:
                     break
                 y, value, residual = z, at, left
-            if hi - lo <= least or (lo - least <= value <= hi + least and residual <= 64 * EPS * scale * d ** 0.5):
+            if hi - lo <= least or (lo - least <= value <= hi + least and residual <= 64 * EPS * d ** 0.5):
                 break
             cut()
         values.append(value)
         vectors.append(y)
     for k, value in enumerate(values, 1):
-        margin = 256 * EPS * scale * max(1, d) ** 0.5
+        margin = 256 * EPS * d ** 0.5
         if above(matrix, value + margin) > k - 1 or above(matrix, value - margin) < k:
             raise ArithmeticError(f"the counts do not confirm eigenvalue {k}")
     return np.array(values) * size, np.array(vectors).T.reshape(d, len(vectors))
