@@ -64,7 +64,7 @@ def test_label_model_finds_accuracies_and_the_copy():
 
 
 def test_lists_are_those_of_the_largest_odds(spark):
-    rows = [("calm words of peace", 0)] * 40 + [("calm vexatious words", 1)] * 6 + [("vexatiously calm", 1)] * 6
+    rows = [("calm words of peace", 0)] * 40 + [("calm vexatious words", 1)] * 16 + [("vexatiously calm", 1)] * 16
     lists = X.learn_lists(spark.createDataFrame(rows, "text string, toxic int"))
     assert "vexatious" in lists.words and "vexat" in lists.beginnings and "calm" not in lists.words
     pattern, hits, n = X.examined("So Vexatious, vexatious!", lists)
