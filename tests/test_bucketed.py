@@ -1,9 +1,12 @@
-"""Datasets: bucket counts, empty batches, changed types, half-done writes, compaction."""
+"""Datasets: bucket counts, empty batches, changed types, half-done writes, updates, plans, compaction."""
+
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemerge.operators import store
+from tidemerge.operators import bucketed as store
+from tidemerge.operators import pointer, published
 from tidemerge.sources import files
 
 KEYS, ORDER = ["id"], ["n"]
@@ -65,11 +68,10 @@ def test_a_write_that_dies_before_its_snapshot_leaves_the_table_as_it_was(spark,
         raise RuntimeError("gone")
 
     with monkeypatch.context() as m:
-        m.setattr(store, "_commit", dead)
+        m.setattr(pointer, "publish", dead)
         with pytest.raises(RuntimeError):
             store.replace_into(batch(spark, range(6), 9), path, KEYS, ORDER)
     assert content(spark, path) == [(i, 1) for i in range(6)]
-    files._at(spark, path)[0].mkdirs(files._at(spark, f"{path}/snapshots/n=2/_temporary")[1])  # a commit cut short
     store.replace_into(batch(spark, range(6), 9), path, KEYS, ORDER)
     assert content(spark, path) == [(i, 9) for i in range(6)]
 
@@ -79,14 +81,63 @@ def test_many_small_batches_keep_few_files(spark, fresh):
     for i in range(20):
         store.insert_into(batch(spark, [i, i + 1]), path, KEYS, ORDER, 2)
     assert [r[0] for r in content(spark, path)] == list(range(21))
-    folders = store.snapshot(spark, path).folders
-    assert max(len(f) for f in folders.values()) <= store.MOST_FOLDERS
-    before = len(files.data_files(spark, f"{path}/data"))
-    assert store.compact(spark, path) > 0 and store.compact(spark, path, keep=1) == 0
-    assert len(files.data_files(spark, f"{path}/data")) < before
+    assert len(store.version(spark, path).rows) <= store.MOST_GENERATIONS
+    before = len(files.data_files(spark, path))
+    assert store.compact(spark, path) and not store.compact(spark, path)
+    assert len(store.version(spark, path).rows) == 1
+    assert store.compact(spark, path) is False and len(files.data_files(spark, path)) <= before + 3
     assert [r[0] for r in content(spark, path)] == list(range(21))
 
 
+def test_updates_override_without_rewriting(spark, fresh):
+    """Ten random batches of inserts and updates against a dictionary."""
+    rng, path, want = random.Random(3), fresh("random"), {}
+    for step in range(10):
+        rows = [(rng.randrange(60), step * 100 + i, rng.choice("xyz")) for i in range(rng.randrange(1, 40))]
+        df = spark.createDataFrame(rows, "id long, n long, kind string")
+        insert = step % 3 == 0
+        done = (store.insert_into(df, path, KEYS, ORDER, 4) if insert else store.update_into(df, path, KEYS, ["kind"], ORDER, 4))
+        first = {}
+        for k, n, kind in rows:
+            first.setdefault(k, (n, kind))
+        assert done == (store.Written(len(rows), len(set(first) - set(want))) if insert else store.Written(len(rows), len(rows)))
+        for k, n, kind in rows:
+            if k not in want:
+                want[k] = first[k]
+            elif not insert:
+                want[k] = (want[k][0], kind)
+        assert content(spark, path) == sorted((k, *v) for k, v in want.items())
+    store.update_into(spark.createDataFrame([(1, 1, "last")], "id long, n long, kind string"), path, KEYS, ["kind"], ORDER)
+    want[1] = (want.get(1, (1, ""))[0], "last")
+    assert store.version(spark, path).overriding
+    store.compact(spark, path)
+    assert content(spark, path) == sorted((k, *v) for k, v in want.items()) and not store.version(spark, path).overriding
+
+
+def test_the_target_is_not_shuffled(spark, fresh, monkeypatch):
+    """Inserts, updates and readers of overridden rows plan no Exchange above the scan of the target."""
+    path, plans = fresh("plan"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store.insert_into(batch(spark, range(100)), path, KEYS, ORDER, 8)
+        store.replace_into(batch(spark, range(50), 2), path, KEYS, ORDER)
+        append = store._append
+
+        def seen(df, *args):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return append(df, *args)
+
+        monkeypatch.setattr(store, "_append", seen)
+        store.insert_into(batch(spark, range(200)), path, KEYS, ORDER)
+        store.replace_into(batch(spark, range(60), 3), path, KEYS, ORDER)
+        plans.append(store.read_target(spark, path)._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan, exchanges in zip(plans, (1, 1, 0)):  # one: the batch
+        assert "Bucketed: true" in plan and plan.count("Exchange") == exchanges, plan
+    assert "ReadSchema: struct<id:bigint,_generation:bigint>" in plans[0]
+
+
 def test_an_older_reader_keeps_its_rows(spark, fresh):
     path = fresh("reader")
     store.replace_into(batch(spark, range(4)), path, KEYS, ORDER, 2)
@@ -101,8 +152,8 @@ def test_months_are_replaced_and_removed(spark, fresh):
     def days(*rows):
         return spark.createDataFrame(list(rows), "d string, n long").selectExpr("cast(d as date) as metric_date", "n")
 
-    assert store.read_months(spark, path) is None
-    store.refresh_months(days(("2024-01-05", 1), ("2024-01-09", 2), ("2024-02-01", 3), ("2024-03-01", 4)), path)
-    store.refresh_months(days(("2024-02-02", 5)), path, days(("2024-02-07", 0), ("2024-03-09", 0)))
-    assert sorted(r.n for r in store.read_months(spark, path).collect()) == [1, 2, 5]
-    assert [r.n for r in store.read_months(spark, path, 1).collect()] == [5]
+    assert published.read_months(spark, path) is None
+    published.refresh_months(days(("2024-01-05", 1), ("2024-01-09", 2), ("2024-02-01", 3), ("2024-03-01", 4)), path)
+    published.refresh_months(days(("2024-02-02", 5)), path, days(("2024-02-07", 0), ("2024-03-09", 0)))
+    assert sorted(r.n for r in published.read_months(spark, path).collect()) == [1, 2, 5]
+    assert [r.n for r in published.read_months(spark, path, 1).collect()] == [5]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemerge import jobs, plans
 from tidemerge.operators import normalize as N
 from tidemerge.operators import state as ST
-from tidemerge.operators import store
+from tidemerge.operators import bucketed as store
 from tidemerge.operators import views as V
 from tidemerge.queries import stand_ins as SI
 from tidemerge.sources import CONTACT_PAGE, envelopes

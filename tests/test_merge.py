@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemerge.operators import merge as M
-from tidemerge.operators import store
+from tidemerge.operators import bucketed as store
+from tidemerge.operators import published
 
 COLS = "k bigint, a string, b bigint, o bigint"
 KEYS, ORDER = ["k"], ["o"]
@@ -55,10 +56,11 @@ def test_merges_match_the_model(spark, seed):
     assert rows_of(M.merge_insert_only(once, batch, KEYS, ORDER)) == rows_of(once)
     twice = M.merge_replace(M.merge_replace(target, batch, KEYS, ORDER), batch, KEYS, ORDER)
     assert rows_of(twice) == model(t, b, ["a", "b", "o"])
-    # the small-batch form finds the same new rows
-    small = M.new_rows(target, batch, KEYS, ORDER, small_batch=True)
-    assert rows_of(small) == rows_of(M.new_rows(target, batch, KEYS, ORDER))
+    # behind a filter of the batch's keys the same new rows are found
+    filtered = M.new_rows(target, batch, KEYS, ORDER, batch_rows=60)
+    assert rows_of(filtered) == rows_of(M.new_rows(target, batch, KEYS, ORDER))
     stats = M.insert_stats(target, batch, KEYS).collect()[0]
+    assert stats == M.insert_stats(target, batch, KEYS, batch_rows=60).collect()[0]
     seen = sum(r[0] is not None for r in b)
     new = len(model(t, b, [])) - len(t)
     assert tuple(stats) == (seen, new, seen - new)
@@ -121,16 +123,16 @@ def test_missing_dataset(spark, fresh):
 
 def test_publish(spark, fresh):
     path = fresh("publish")
-    store.publish(spark.range(3), path, "1", "published_range")
+    published.publish(spark.range(3), path, "1", "published_range")
     assert spark.table("published_range").count() == 3
-    store.publish(spark.range(5), path, "2", "published_range")
+    published.publish(spark.range(5), path, "2", "published_range")
     assert spark.table("published_range").count() == 5
     assert spark.read.parquet(f"{path}/version=1").count() == 3  # the older version is left for its readers
 
     def broken():
         return spark.range(1).select(F.col("nope"))
 
-    out = store.publish_all(spark, {"bad_view": broken, "good_view": lambda: spark.range(2)}, path, "3")
+    out = published.publish_all(spark, {"bad_view": broken, "good_view": lambda: spark.range(2)}, path, "3")
     assert {r.view_name: r.outcome for r in out.collect()} == {"bad_view": "failed", "good_view": "published"}
     assert spark.table("good_view").count() == 2
     spark.sql("DROP VIEW published_range")
@@ -143,3 +145,18 @@ def test_target_schema(spark):
     assert [f.dataType.simpleString() for f in out] == ["bigint", "double", "string", "decimal(38,9)", "timestamp_ntz", "timestamp"]
     assert not out["id"].nullable
     assert M.create_target(spark, source, ["id"]).count() == 0
+
+
+def test_key_filter_lets_all_keys_and_few_others_through(spark):
+    """No key of the batch is lost; of others about one in 60 passes, before the shuffle; large batches get none."""
+    batch = spark.range(20_000).select((F.col("id") * 7).alias("id"), F.lit("x").alias("kind"))
+    target = spark.range(400_000).select("id", F.lit("x").alias("kind"))
+    held = M.key_filter(batch, ["id", "kind"], 20_000)
+    passed = target.where(held(["id", "kind"]))
+    hits = passed.agg(F.count_if((F.col("id") % 7 == 0) & (F.col("id") < 140_000)).alias("own"), F.count("*").alias("n")).first()
+    assert hits.own == 20_000 and hits.n - 20_000 < 380_000 * 0.03
+    assert M.key_filter(batch, ["id"], 4 * M.MOST_WORDS + 1) is None
+    assert M.key_filter(batch.limit(0), ["id"], 0) is not None
+    assert target.where(M.key_filter(batch.limit(0), ["id"], 0)(["id"])).count() == 0
+    plan = M.new_rows(target, batch, ["id"], ["kind"], 20_000)._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in plan

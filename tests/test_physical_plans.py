@@ -57,11 +57,6 @@ def test_insert_only_reads_only_target_keys(spark, tables):
     assert plan.count("Exchange hashpartitioning") == 2  # the ranked batch keeps its partitioning for the join
 
 
-def test_small_batch_does_not_shuffle_the_target(spark, tables):
-    hit = M.present_keys(SI.merge_target(tables), SI.merge_batch(tables), SI.MERGE_KEYS)
-    assert "BroadcastHashJoin" in plan_of(hit)
-
-
 def test_hot_groups_are_reduced_before_they_travel(tables):
     from tidemerge.operators import quality as Q
     from tidemerge.operators import views as V

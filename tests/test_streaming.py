@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidemerge.operators import normalize as N
-from tidemerge.operators.store import read_target
+from tidemerge.operators.bucketed import read_target
 from tidemerge.sources import envelopes, read_pages, stream_pages
 from tidemerge.streaming import ingest_stream, late_rows, volume_stream
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemerge.functions.scalars import as_instant, coerce_row, watermark_json
 from tidemerge.operators import merge as M
 from tidemerge.operators import state as ST
-from tidemerge.operators import store
+from tidemerge.operators import bucketed as store
+from tidemerge.operators import published
 from tidemerge.operators import views as V
 from tidemerge.operators.load import KEYS, arrival_order
 from tidemerge.plans.windows import cursor_window
@@ -226,4 +227,4 @@ def refresh_views(spark: SparkSession, messages: DataFrame, statuses: DataFrame,
               lambda: V.message_volume_daily(messages),
               lambda: V.contact_snapshots_daily(flagged))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    return store.publish_all(spark, {f"{database}.{n}": b for n, b in zip(VIEW_NAMES, builds)}, path, version)
+    return published.publish_all(spark, {f"{database}.{n}": b for n, b in zip(VIEW_NAMES, builds)}, path, version)

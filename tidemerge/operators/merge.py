@@ -7,6 +7,7 @@ row per task. The target is shuffled at most once per merge.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,50 +63,97 @@ def evolve(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.unionByName(batch.select(*cast), allowMissingColumns=True)
 
 
-def present_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the batch that the target holds. For batches whose row count was checked to be small:
-    their keys are sent to the target scan, so the target is read (keys only) but not shuffled."""
-    return target.select(*keys).join(F.broadcast(batch.select(*keys).distinct()), keys, "left_semi").distinct()
+#: Most words of 64 bits in a key filter: 8 MB, which every task of the filtered scan holds.
+MOST_WORDS = 1 << 20
+_KEYS_A_WORD = 4
 
 
-def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str],
-             small_batch: bool = False) -> DataFrame:
-    """Rows of the batch that an insert-if-absent adds. Reads only the key columns of the target."""
+def key_filter(batch: DataFrame, keys: list[str], rows: int) -> Callable[[list[str]], Column] | None:
+    """A Bloom filter of a batch's keys: ``f(keys)`` is true for every key of the batch and for about one in 60 others.
+
+    Each key sets four bits of one word; about four keys share a word. The words are a scalar subquery, so they reach
+    the tasks of the other side's scan as one array and rows fall out before they are shuffled. ``rows`` is the number
+    of rows of the batch, or more; None where it asks for more than ``MOST_WORDS`` (a plain join is the way then).
+    """
+    words = max(1, -(-rows // _KEYS_A_WORD))
+    if words > MOST_WORDS:
+        return None
+
+    def place(names: list[str]) -> tuple[Column, Column]:
+        h = F.xxhash64(*[F.col(n) for n in names])
+        bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, s).bitwiseAND(63).cast("int"))
+                for s in (0, 6, 12, 18)]
+        return F.pmod(F.shiftrightunsigned(h, 24), F.lit(words)).cast("int"), reduce(Column.bitwiseOR, bits)
+
+    at, mask = place(keys)
+    none = batch.sparkSession.range(words).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("long").alias("mask"))
+    filled = batch.select(at.alias("at"), mask.alias("mask")).unionAll(none).groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    array = filled.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "mask"))), lambda w: w["mask"]).alias("words"))
+
+    def may_hold(names: list[str]) -> Column:
+        where, want = place(names)
+        return F.get(array.scalar(), where).bitwiseAND(want) == want
+
+    return may_hold
+
+
+def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str], batch_rows: int | None = None) -> DataFrame:
+    """Rows of the batch that an insert-if-absent adds. Reads only the key columns of the target.
+
+    With ``batch_rows`` (the batch's number of rows, or more) a filter of its keys leaves most other target rows out of
+    the shuffle; the join behind it is exact.
+    """
     kept = drop_null_keys(batch, keys)
-    old = present_keys(target, kept, keys) if small_batch else target.select(*keys)
+    old = target.select(*keys)
+    held = key_filter(kept, keys, batch_rows) if batch_rows is not None else None
+    if held is not None:
+        old = old.where(held(keys))
     return dedupe(kept, keys, order).join(old, keys, "left_anti").select(*batch.columns)
 
 
-def merge_insert_only(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def merge_insert_only(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str], batch_rows: int | None = None) -> DataFrame:
     """Keep the target as it is, add the first row of every absent key."""
-    return evolve(target, new_rows(target, batch, keys, order))
+    return evolve(target, new_rows(target, batch, keys, order, batch_rows))
 
 
-def fold_batch(batch: DataFrame, keys: list[str], update: list[str], order: list[str]) -> DataFrame:
+def fold_batch(batch: DataFrame, keys: list[str], update: list[str], order: list[str], copies: str | None = None) -> DataFrame:
     """One row per key: ``_first`` as an insert would leave it, ``_last`` as the updates would."""
     others = [c for c in batch.columns if c not in keys and c not in update]
     rank = F.struct(*order)
-    aggs = [F.max_by(F.struct(*update), rank).alias("_last")]
+    aggs = [F.count(F.lit(1)).alias(copies)] if copies else []
+    if update:
+        aggs.append(F.max_by(F.struct(*update), rank).alias("_last"))
     if others:
         aggs.append(F.min_by(F.struct(*others), rank).alias("_first"))
     return drop_null_keys(batch, keys).groupBy(*keys).agg(*aggs)
 
 
+def fold_first(batch: DataFrame, keys: list[str], order: list[str], copies: str = "_copies") -> DataFrame:
+    """First row per key in ``order`` with the number of rows of the key; one partial aggregate in the map tasks."""
+    others = [c for c in batch.columns if c not in keys]
+    aggs = [F.count(F.lit(1)).alias(copies)]
+    if others:
+        aggs.append(F.min_by(F.struct(*[f"`{c}`" for c in others]), F.struct(*[f"`{c}`" for c in order or others])).alias("_row"))
+    folded = batch.groupBy(*[f"`{k}`" for k in keys]).agg(*aggs)
+    return folded.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`") for c in batch.columns], copies)
+
+
 def merge_update(target: DataFrame, batch: DataFrame, keys: list[str], update: list[str],
-                 order: list[str]) -> DataFrame:
+                 order: list[str], how: str = "full_outer", copies: str | None = None) -> DataFrame:
     """Insert absent keys; on a match overwrite only ``update`` (nulls too) and the load time.
 
     Repeated keys in the batch act in ``order``: the first supplies the inserted columns, the last
-    the updated ones.
+    the updated ones. ``how="right"`` gives the rows of the batch's keys only, ``copies`` a column with their number of
+    rows in the batch.
     """
-    if not update:
+    if not update and how == "full_outer":
         return merge_insert_only(target, batch, keys, order)
     if LOADED_AT in batch.columns and LOADED_AT not in update:
         update = [*update, LOADED_AT]
-    folded = fold_batch(batch, keys, update, order).withColumn("_hit", F.lit(True))
+    folded = fold_batch(batch, keys, update, order, copies).withColumn("_hit", F.lit(True))
     names = [*target.columns, *[c for c in batch.columns if c not in target.columns]]
     t = target.withColumn("_old", F.lit(True)).alias("t")
-    joined = t.join(folded.alias("b"), keys, "full_outer")
+    joined = t.join(folded.alias("b"), keys, how)
 
     def pick(name: str) -> Column:
         if name in keys:
@@ -119,7 +167,7 @@ def merge_update(target: DataFrame, batch: DataFrame, keys: list[str], update: l
             merged = old
         return merged.cast(target.schema[name].dataType) if name in target.columns else merged
 
-    return joined.select(*[pick(n).alias(n) for n in names])
+    return joined.select(*[pick(n).alias(n) for n in names], *[f"b.{copies}"] * bool(copies))
 
 
 def merge_replace(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -127,14 +175,18 @@ def merge_replace(target: DataFrame, batch: DataFrame, keys: list[str], order: l
     return merge_update(target, batch, keys, [c for c in batch.columns if c not in keys], order)
 
 
-def insert_stats(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+def insert_stats(target: DataFrame, batch: DataFrame, keys: list[str], batch_rows: int | None = None) -> DataFrame:
     """rows_seen, rows_written and rows_deduped of an insert-if-absent, without writing it.
 
-    Target keys are first cut down to those of the batch; a small batch is broadcast to the target's scan.
+    ``batch_rows`` as in ``new_rows``. Both sides are one row per key before they are shuffled once.
     """
-    per_key = drop_null_keys(batch, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    held = target.select(*keys).join(per_key.select(*keys), keys, "left_semi").distinct().withColumn("_old", F.lit(True))
-    flagged = per_key.join(held, keys, "left")
+    kept = drop_null_keys(batch, keys)
+    per_key = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    old = target.select(*keys)
+    held = key_filter(kept, keys, batch_rows) if batch_rows is not None else None
+    if held is not None:
+        old = old.where(held(keys))
+    flagged = per_key.join(old.distinct().withColumn("_old", F.lit(True)), keys, "left")
     totals = flagged.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_seen"),
                          F.count_if(F.col("_old").isNull()).alias("rows_written"))
     return totals.withColumn("rows_deduped", F.greatest(F.col("rows_seen") - F.col("rows_written"), F.lit(0)))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemerge.operators import store
+from tidemerge.operators import bucketed as store
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
 from tidemerge.session import work_path

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemerge.functions import scalars as S
 from tidemerge.operators import load as L
 from tidemerge.operators import merge as M
-from tidemerge.operators.store import publish
+from tidemerge.operators.published import publish
 from tidemerge.operators.views import message_volume_daily
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import INPUT_TABLES, columns_of, query, stamp_sql
@@ -35,6 +35,16 @@ def _(t):
     return M.merge_insert_only(SI.merge_target(t), SI.merge_batch(t), _KEYS, _ORDER)
 
 
+@query("merge_insert_filtered", f"""
+    SELECT {_COLS} FROM s_batch_ranked WHERE rf = 1
+    UNION ALL SELECT {_COLS} FROM s_target t WHERE NOT EXISTS (
+        SELECT 1 FROM s_batch b WHERE t.message_id = b.message_id AND t.seq = b.seq)""")
+def _(t):
+    """The orders into the line items: few keys against many, which their filter keeps out of the shuffle."""
+    held = M.dedupe(SI.merge_batch(t), _KEYS, _ORDER, "first")
+    return M.merge_insert_only(held, SI.merge_target(t), _KEYS, _ORDER, batch_rows=t.orders.count())
+
+
 @query("merge_update_columns", f"""
     SELECT COALESCE(t.message_id, f.message_id) AS message_id, COALESCE(t.seq, f.seq) AS seq,
            CASE WHEN l.message_id IS NOT NULL THEN l.status ELSE t.status END AS status,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemerge.operators.store import read_target
+from tidemerge.operators.bucketed import read_target
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import INPUT_TABLES, query, stamp_sql
 from tidemerge.queries.normalized import _STATUS_TIME

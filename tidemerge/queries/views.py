@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemerge.operators import views as V
 from tidemerge.operators.state import upsert_cursor
-from tidemerge.operators.store import read_months, refresh_months
+from tidemerge.operators.published import read_months, refresh_months
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
 from tidemerge.queries.control import empty_cursors

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -32,3 +34,27 @@ def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
         if not f.getPath().getName().startswith(("_", ".")):
             found.append((f.getPath().toString(), f.getLen()))
     return found
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; refused if it is there already."""
+    fs, where = _at(spark, path)
+    if fs.exists(where):
+        raise FileExistsError(path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(part, where):
+        raise FileExistsError(path)

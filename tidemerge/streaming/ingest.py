@@ -14,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemerge.operators import normalize as N
 from tidemerge.operators.load import KEYS, arrival_order
-from tidemerge.operators.store import insert_into, replace_into
+from tidemerge.operators.bucketed import insert_into, replace_into
 from tidemerge.sources.pages import CONTACT_PAGE, ENVELOPE_PAGE, envelopes
 
 _FLATTEN = {
