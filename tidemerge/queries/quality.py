@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemerge.operators import digest as D
 from tidemerge.operators import quality as Q
 from tidemerge.operators.views import card
 from tidemerge.queries import stand_ins as SI
@@ -27,6 +28,37 @@ def _(t):
     return Q.reconcile_keys(SI.merge_batch(t), SI.merge_target(t), SI.MERGE_KEYS)
 
 
+_ODD_SQL = "o_orderpriority = '1-URGENT' AND o_totalprice > 200000"
+
+
+def _drifted(t):
+    """A copy of the orders that lost some rows, holds others under new keys, and drifted in one column."""
+    odd = F.expr(_ODD_SQL)
+    status = F.col("o_orderstatus")
+    return t.orders.where(~(odd & (status == "F"))).select(
+        F.when(odd & (status == "O"), -F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("o_orderkey"), "o_custkey", "o_orderstatus",
+        F.when(odd & (status == "P"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"))
+
+
+@query("reconcile_rows", f"""
+    SELECT k AS o_orderkey, finding FROM (
+        SELECT o_orderkey AS k, CASE o_orderstatus WHEN 'P' THEN 'changed' ELSE 'missing' END AS finding FROM orders WHERE {_ODD_SQL}
+        UNION ALL SELECT -o_orderkey, 'extra' FROM orders WHERE {_ODD_SQL} AND o_orderstatus = 'O')""")
+def _(t):
+    return D.reconcile(t.orders, _drifted(t), ["o_orderkey"], ["o_custkey", "o_orderstatus", "o_totalprice"])
+
+
+@query("reconcile_parts", """
+    SELECT COUNT(*) AS source_count, COUNT(*) AS target_count, CAST(0 AS BIGINT) AS difference, TRUE AS count_match,
+           CAST(0 AS BIGINT) AS unequal_leaves FROM lineitem""")
+def _(t):
+    """A table against two batches that make it up: the batches' digests are added, no row is compared."""
+    keys, early = ["l_orderkey", "l_linenumber"], F.col("l_shipdate") < F.lit("1995-06-17").cast("timestamp_ntz")
+    parts = [D.leaf_digests(t.lineitem.where(c), keys) for c in (early, ~early | F.col("l_shipdate").isNull())]
+    added, whole = D.folded(parts[0].unionByName(parts[1]), 0), D.leaf_digests(t.lineitem, keys)
+    return D.counted(whole, added).withColumn("unequal_leaves", F.lit(len(D.unequal(whole, added))).cast("long"))
+
+
 @query("orphan_status_events", f"""
     SELECT turn_message_id, seq, status, {stamp_sql('status_timestamp')} AS status_timestamp FROM s_statuses s
     WHERE NOT EXISTS (SELECT 1 FROM s_messages m WHERE m.turn_message_id = s.turn_message_id AND direction = 'outbound')""")
