@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from tidemerge.operators import views as V
 from tidemerge.queries import stand_ins as SI
@@ -50,3 +51,37 @@ def test_approximate_contacts_are_close(tables):
     near = V.message_volume_daily(SI.messages(tables), approximate=True).collect()
     assert len(near) == len(exact)
     assert all(abs(r.unique_contacts - exact[(r[0], r[1], r[2])]) <= max(2, 0.2 * exact[(r[0], r[1], r[2])]) for r in near)
+
+
+def test_footers_answer_counts_without_reading_pages(spark, folder):
+    from tidemerge.sources.tables import footer_counts, footers
+    path = f"{folder}/lineitem.parquet"
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with footers(spark):
+        plan = spark.read.parquet(path).agg(F.count(F.lit(1)), F.count("l_returnflag"), F.max("l_orderkey"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(l_returnflag), MAX(l_orderkey)]" in plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    rows = spark.read.parquet(path)
+    want = rows.agg(F.count("*"), F.count("l_returnflag"), F.min("l_orderkey"), F.max("l_orderkey")).first()
+    got = footer_counts(spark, {"t": path}, {"t": ["l_orderkey"]})["t"]
+    assert (got["*"], got["l_returnflag"], got["min l_orderkey"], got["max l_orderkey"]) == tuple(want)
+
+
+def test_footers_of_an_empty_table_and_of_nulls(spark, fresh):
+    from tidemerge.sources.tables import footer_counts, inventory
+    none, some = fresh("none"), fresh("some")
+    schema = "id long, ok boolean, name string, tags array<long>"
+    spark.createDataFrame([], schema).write.parquet(none)
+    spark.createDataFrame([(1, None, "ü", [1, 2]), (None, True, None, None)], schema).write.parquet(some)
+    assert footer_counts(spark, {"t": none}, {"t": ["id"]})["t"] == {"*": 0, "id": 0, "ok": 0, "name": 0, "tags": 0, "min id": None, "max id": None}
+    tables = {"none": spark.read.parquet(none), "some": spark.read.parquet(some)}
+    got = sorted(tuple(r) for r in inventory(tables, {"none": none, "some": some}).collect())
+    assert got == sorted(tuple(r) for r in inventory(tables).collect()) == [("none", 0, 4, 0), ("some", 2, 4, 8 + 1 + 4 + 16)]
+
+
+def test_a_table_with_a_file_without_rows_is_counted_by_a_scan(spark, fresh):
+    from tidemerge.sources.tables import footer_counts
+    path = fresh("mixed")
+    spark.createDataFrame([(1, "a"), (2, None)], "id long, name string").write.parquet(path)
+    spark.createDataFrame([], "id long, name string").write.mode("append").parquet(path)
+    assert footer_counts(spark, {"t": path})["t"] == {"*": 2, "id": 2, "name": 1}

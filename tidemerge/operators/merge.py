@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemerge.functions.scalars import as_instant
 from tidemerge.settings import LOADED_AT
+from tidemerge.sources.tables import footer_counts
 from tidemerge.types import target_type
 
 _UNORDERED = (T.VariantType, T.MapType)
@@ -204,15 +205,23 @@ def create_target(spark: SparkSession, source: T.StructType, keys: list[str] = (
     return spark.createDataFrame([], target_schema(source, keys))
 
 
-def schema_table(tables: dict[str, DataFrame]) -> DataFrame:
-    """Column list of the targets of several tables, with the null count that decides whether a
-    column could be declared non-null. One pass per table; the counts are unpivoted afterwards."""
+def schema_table(tables: dict[str, DataFrame], paths: dict[str, str] | None = None) -> DataFrame:
+    """Column list of the targets of several tables, with the null count that decides whether a column could be declared
+    non-null. With ``paths`` (the Parquet folder of each table) nulls are counted from the footers, else in one pass."""
+    held = footer_counts(next(iter(tables.values())).sparkSession, paths, schemas={n: d.schema for n, d in tables.items()}) if paths is not None else {}
+
     def one(name: str, df: DataFrame) -> DataFrame:
         fields = target_schema(df.schema).fields
-        nulls = df.selectExpr(*[f"COUNT_IF(`{f.name}` IS NULL) AS `{f.name}`" for f in fields if f.name != LOADED_AT])
+        if paths is not None:
+            counts = held[name]
+            nulls = df.sparkSession.range(1)
+            value = {f.name: f"{counts['*'] - counts[f.name]}L" for f in fields if f.name != LOADED_AT}
+        else:
+            nulls = df.selectExpr(*[f"COUNT_IF(`{f.name}` IS NULL) AS `{f.name}`" for f in fields if f.name != LOADED_AT])
+            value = {f.name: f"`{f.name}`" for f in fields if f.name != LOADED_AT}
         rows = ", ".join(
             f"named_struct('position', {i}L, 'column_name', '{f.name}', 'target_type', '{f.dataType.simpleString()}', "
-            f"'null_count', {'0L' if f.name == LOADED_AT else f'`{f.name}`'})" for i, f in enumerate(fields))
+            f"'null_count', {value.get(f.name, '0L')})" for i, f in enumerate(fields))
         return nulls.selectExpr(f"'{name}' AS table_name", f"inline(array({rows}))")
 
     parts = reduce(DataFrame.unionAll, [one(n, d) for n, d in tables.items()])

@@ -53,6 +53,10 @@ class Tables:
     def all(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in INPUT_TABLES}
 
+    @cached_property
+    def paths(self) -> dict[str, str]:
+        return {name: f"{self.folder}/{name}.parquet" for name in INPUT_TABLES}
+
     @cached_property
     def discovered(self) -> dict[str, DataFrame]:
         """All tables with the schema their files declare."""

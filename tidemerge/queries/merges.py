@@ -101,7 +101,7 @@ def _schema_sql() -> str:
 
 @query("create_target_schema", _schema_sql())
 def _(t):
-    return M.schema_table(t.discovered)
+    return M.schema_table(t.discovered, t.paths)
 
 
 @query("evolve_add_columns", """

@@ -1,4 +1,4 @@
-"""Scans, counts, watermarks, inventory, cost, manifest, pages."""
+"""Scans, counts, watermarks, footers, inventory, cost, manifest, pages."""
 
 from pyspark.sql import functions as F
 
@@ -8,6 +8,7 @@ from tidemerge.queries.base import INPUT_TABLES, columns_of, query, stamp_sql
 from tidemerge.sources import (
     cost, envelopes, inventory, max_watermark, normalize_manifest, row_count, scan, scan_full, scan_range, scan_since,
 )
+from tidemerge.sources.tables import footer_counts
 
 
 @query("scan_projected", f"SELECT o_orderkey, o_custkey, {stamp_sql('o_orderdate')} AS o_orderdate FROM orders")
@@ -59,6 +60,19 @@ def _(t):
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
+_NUMBERED = {"orders": "o_orderkey", "lineitem": "l_partkey", "events": "event_id", "customer": "c_custkey", "documents": "doc_id"}
+
+
+@query("table_statistics", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count, MIN({c}) AS least_key, MAX({c}) AS greatest_key, COUNT(*) - COUNT({c}) AS null_keys FROM {n}"
+    for n, c in _NUMBERED.items()))
+def _(t):
+    """Rows and key range of tables, from the footers of their files."""
+    found = footer_counts(t.spark, {n: t.paths[n] for n in _NUMBERED}, {n: [c] for n, c in _NUMBERED.items()})
+    rows = [(n, found[n]["*"], found[n][f"min {c}"], found[n][f"max {c}"], found[n]["*"] - found[n][c]) for n, c in _NUMBERED.items()]
+    return t.spark.createDataFrame(rows, "table_name string, row_count long, least_key long, greatest_key long, null_keys long")
+
+
 def _width_sql(column: str, kind: str) -> str:
     if kind == "string":
         width = f"strlen({column}) + 2"
@@ -77,7 +91,7 @@ _INVENTORY_SQL = " UNION ALL ".join(
 
 @query("table_inventory", _INVENTORY_SQL)
 def _(t):
-    return inventory(t.all)
+    return inventory(t.all, t.paths)
 
 
 @query("scan_cost_estimate", f"""
@@ -87,7 +101,7 @@ def _(t):
            round(q + e, 4) AS total_cost_usd FROM p
     UNION ALL SELECT 'TOTAL', CAST(SUM(b) AS BIGINT), round(SUM(q), 4), round(SUM(e), 4), round(SUM(q) + SUM(e), 4) FROM p""")
 def _(t):
-    return cost(inventory(t.all).withColumn("size_bytes", F.col("size_bytes") * 1_000_000))
+    return cost(inventory(t.all, t.paths).withColumn("size_bytes", F.col("size_bytes") * 1_000_000))
 
 
 @query("normalize_manifest", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,27 +61,100 @@ def max_watermark(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(column).alias("max_watermark"))
 
 
+#: Formats that keep Spark's first reader while ``footers`` is open.
+_OTHERS = "avro,csv,json,kafka,orc,text"
+
+
+@contextmanager
+def footers(spark: SparkSession) -> Iterator[None]:
+    """Parquet tables opened inside answer counts, and least and greatest numbers, from their footers: no column page is
+    read. Aggregates must also be collected inside. The session's settings are put back."""
+    wanted = {"spark.sql.sources.useV1SourceList": _OTHERS, "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def footer_counts(spark: SparkSession, paths: dict[str, str], limits: dict[str, list[str]] | None = None,
+                  schemas: dict[str, T.StructType] | None = None) -> dict[str, dict[str, int]]:
+    """For each table its rows (``*``) and those of each column without nulls; ``min c`` and ``max c`` of the whole-number
+    columns that ``limits`` names for it. One job for all tables; a table without rows has no limits. Known ``schemas``
+    save a look into a file of each table."""
+    def opened(name: str) -> DataFrame:
+        return (spark.read.schema(schemas[name]) if schemas else spark.read).parquet(paths[name])
+
+    def figures(df: DataFrame, name: str) -> dict[str, Column]:
+        wanted = {"*": F.count(F.lit(1)), **{c: F.count(f"`{c}`") for c in df.columns}}
+        for c in (limits or {}).get(name, []):
+            wanted |= {f"min {c}": F.min(f"`{c}`"), f"max {c}": F.max(f"`{c}`")}
+        return wanted
+
+    def row(df: DataFrame, i: int, wanted: list[Column]) -> DataFrame:
+        return df.agg(*[c.alias(f"f{k}") for k, c in enumerate(wanted)]).select(
+            F.lit(i).alias("i"), F.array(*[F.col(f"f{k}").cast("long") for k in range(len(wanted))]).alias("n"))
+
+    names, plain = list(paths), {name: opened(name) for name in paths}
+    keys = {name: figures(df, name) for name, df in plain.items()}
+    with footers(spark):
+        parts = [row(opened(name), i, list(keys[name].values())) for i, name in enumerate(names)]
+        # Spark's pushed counts are wrong for files without row groups; the plain count of rows, from footers too, is not
+        parts += [row(plain[name], i + len(names), [F.count(F.lit(1))]) for i, name in enumerate(names)]
+        found = dict(reduce(DataFrame.unionAll, parts).collect())
+    out = {}
+    for i, name in enumerate(names):
+        values = found[i]
+        if values[0] != found[i + len(names)][0]:
+            values = row(plain[name], 0, list(keys[name].values())).first()["n"]
+        out[name] = dict(zip(keys[name], values))
+    return out
+
+
+def _fixed_width(kind: T.DataType) -> int | None:
+    """Bytes of a value: 8 for numbers and times, 1 for booleans, 16 for decimals; None where they vary."""
+    if isinstance(kind, (T.ArrayType, T.StringType, T.BinaryType, T.StructType, T.MapType, T.VariantType)):
+        return None
+    return 1 if isinstance(kind, T.BooleanType) else 16 if isinstance(kind, T.DecimalType) else 8
+
+
 def logical_bytes(field: T.StructField) -> str:
-    """SQL for the bytes of one value: 8 for numbers and times, 1 for booleans, 2 + UTF-8 length for text."""
+    """SQL for the bytes of one value: its fixed width, or 2 + UTF-8 length for text and 8 for each entry of an array."""
     c, kind = f"`{field.name}`", field.dataType
     if isinstance(kind, T.ArrayType):
         width = f"CAST(size({c}) AS BIGINT) * 8"
     elif isinstance(kind, (T.StringType, T.BinaryType)):
         width = f"CAST(octet_length({c}) AS BIGINT) + 2"
-    elif isinstance(kind, T.StructType):
+    elif _fixed_width(kind) is None:
         width = f"CAST(octet_length(to_json({c})) AS BIGINT) + 2"
     else:
-        width = "1L" if isinstance(kind, T.BooleanType) else "16L" if isinstance(kind, T.DecimalType) else "8L"
+        width = f"{_fixed_width(kind)}L"
     return f"IF({c} IS NULL, 0L, {width})"
 
 
-def inventory(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table: rows, columns and logical size, each from one aggregate over the table."""
+def inventory(tables: dict[str, DataFrame], paths: dict[str, str] | None = None) -> DataFrame:
+    """One row per table: rows, columns and logical size.
+
+    With ``paths`` (the Parquet folder of each table) rows and columns of fixed width are counted from the footers, and
+    only columns whose width varies are read.
+    """
+    held = footer_counts(next(iter(tables.values())).sparkSession, paths, schemas={n: d.schema for n, d in tables.items()}) if paths is not None else {}
+
     def one(name: str, df: DataFrame) -> DataFrame:
-        fields = df.schema.fields
-        return df.selectExpr(
-            f"'{name}' AS table_name", "COUNT(*) AS row_count", f"CAST({len(fields)} AS BIGINT) AS column_count",
-            f"COALESCE(SUM({' + '.join(map(logical_bytes, fields))}), 0L) AS size_bytes")
+        fields, base, known = df.schema.fields, "0L", "COUNT(*)"
+        varying = [f for f in fields if paths is None or _fixed_width(f.dataType) is None]
+        if paths is not None:
+            counts = held[name]
+            known = f"{counts['*']}L"
+            base = f"{sum(counts[f.name] * _fixed_width(f.dataType) for f in fields if f not in varying)}L"
+        row = [f"'{name}' AS table_name", f"{known} AS row_count", f"CAST({len(fields)} AS BIGINT) AS column_count"]
+        if not varying:
+            return df.sparkSession.range(1).selectExpr(*row, f"{base} AS size_bytes")
+        return df.selectExpr(*row[:1], f"{base} + COALESCE(SUM({' + '.join(map(logical_bytes, varying))}), 0L) AS size_bytes", *row[1:]).select(
+            "table_name", "row_count", "column_count", "size_bytes")
 
     return reduce(DataFrame.unionAll, [one(n, d) for n, d in tables.items()])
 
