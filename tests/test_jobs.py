@@ -182,3 +182,36 @@ def test_incremental_runs_of_an_entity(spark, fresh):
     run = jobs.sync_incremental(pages, "statuses", "landed_at", path, cursors, "r3", "2024-01-01 07:00:00").collect()[0]
     assert (run.rows_written, str(run.window_start)) == (1, "2024-01-01 01:53:00")
     assert store.read_target(spark, cursors).collect()[0].last_run_id == "r3"
+
+
+def chunked(*spans):
+    return [{"run_type": "historical", "label": f"c{i}", "watermark_start": str(a), "watermark_end": str(b)} for i, (a, b) in enumerate(spans)]
+
+
+def test_a_failed_load_goes_on_where_it_stopped(spark, fresh):
+    """Five chunks; the third fails. What the first two loaded stays, and a retry reads only the other three."""
+    path = fresh("resumed")
+    entry = {"table_key": "ds.t", "conflict_columns": ["id"], "incremental_column": "updated_at", "update_columns": None}
+    src = source(spark, [(i, f"v{i}", day(i), None) for i in range(50)] + [(None, "no key", day(3), None)])
+    chunks = chunked(*[(day(i), day(i + 10)) for i in range(0, 50, 10)])
+    broken = src.withColumn("body", F.when(F.col("id") == 25, F.raise_error(F.lit("bad row"))).otherwise(F.col("body")))
+    r = jobs.sync_table(broken, path, entry, chunks, "r1", "2024-03-01", buckets=4).collect()[0]
+    assert r.status == "failed" and "bad row" in r.error_message
+    assert (r.rows_seen, r.rows_skipped, r.rows_transferred, r.watermark_end) == (21, 1, 20, day(19))
+    assert store.read_target(spark, path).count() == 20 and jobs.finished_chunks(spark, path, "r1") == {"c0", "c1"}
+    r = jobs.sync_table(src, path, entry, chunks, "r1", "2024-03-01", buckets=4).collect()[0]
+    assert (r.status, r.rows_seen, r.rows_transferred, r.watermark_end) == ("success", 30, 30, day(49))
+    assert store.read_target(spark, path).count() == 50
+    r = jobs.sync_table(src, path, entry, chunks, "r1", "2024-03-01", buckets=4).collect()[0]
+    assert (r.status, r.rows_seen) == ("success", 0)
+
+
+def test_keyless_chunks_are_not_doubled_by_a_retry(spark, fresh):
+    path = fresh("keyless")
+    entry = {"table_key": "ds.k", "conflict_columns": [], "incremental_column": "updated_at", "update_columns": None}
+    src = source(spark, [(i % 3, "a", day(i), None) for i in range(20)])
+    broken = src.withColumn("body", F.when(F.col("updated_at") > day(15), F.raise_error(F.lit("bad"))).otherwise(F.col("body")))
+    chunks = chunked((day(0), day(10)), (day(10), day(20)))
+    assert jobs.sync_table(broken, path, entry, chunks, "r1", "2024-03-01").collect()[0].rows_seen == 10
+    assert jobs.sync_table(src, path, entry, chunks, "r1", "2024-03-01").collect()[0].rows_seen == 10
+    assert jobs._loaded(spark, path).count() == 20

@@ -6,10 +6,11 @@ figures per run, and the outcome of each view.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemerge.functions.scalars import as_instant, coerce_row, watermark_json
@@ -42,43 +43,68 @@ VIEW_NAMES = ("mv_pipeline_freshness", "mv_data_sanity_snapshot", "mv_data_sanit
               "mv_status_funnel_daily", "mv_message_volume_daily", "mv_contact_snapshots_daily")
 
 
-def planned_rows(source: DataFrame, chunks: list[Row], column: str | None) -> DataFrame:
-    """One scan for all chunks of a table. Chunks join end to end, so their range is one predicate."""
-    labels = {c["label"] for c in chunks}
-    if column is None or "full" in labels:
+def planned_rows(source: DataFrame, chunk: Row | dict, column: str | None) -> DataFrame:
+    """The scan of one chunk."""
+    if column is None or chunk["label"] == "full":
         return scan_full(source)
-    if "incremental" in labels:
-        return scan_since(source, column, chunks[0]["watermark_start"])
-    return scan_range(source, column, min(c["watermark_start"] for c in chunks), max(c["watermark_end"] for c in chunks))
+    if chunk["label"] == "incremental":
+        return scan_since(source, column, chunk["watermark_start"])
+    return scan_range(source, column, chunk["watermark_start"], chunk["watermark_end"])
+
+
+def _done_file(path: str, run_id: str, chunk: Row | dict) -> str:
+    return f"{path}/_chunks/{run_id}/{chunk['label']}.json"
+
+
+def finished_chunks(spark: SparkSession, path: str, run_id: str) -> set[str]:
+    """Labels of the chunks that a run has loaded."""
+    return {n.removesuffix(".json") for n in files.children(spark, f"{path}/_chunks/{run_id}") if n.endswith(".json")}
+
+
+def _load_chunk(rows: DataFrame, path: str, keys: list[str], column: str | None, update: list[str], run_id: str, label: str,
+                as_of: str, buckets: int | None) -> store.Written:
+    """One chunk into the dataset, in one pass that also gives its figures."""
+    batch = M.stamp(coerce_row(rows), as_of)
+    order = M.total_order(batch, [column] if column else [], keys)
+    top = column if column in batch.columns else None
+    if keys and update:
+        return store.update_into(batch, path, keys, update, order, buckets, top)
+    if keys:
+        return store.insert_into(batch, path, keys, order, buckets, top)
+    seen = Observation()
+    figures = [F.count(F.lit(1)).alias("n"), F.max(f"`{top}`" if top else F.lit(None).cast("string")).alias("top")]
+    batch.observe(seen, *figures).write.mode("overwrite").parquet(f"{path}/run_id={run_id}/chunk={label}")
+    return store.Written(seen.get["n"], seen.get["n"], 0, seen.get["top"])
 
 
 def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row], run_id: str, as_of: str,
                buckets: int | None = None) -> DataFrame:
-    """Load the planned rows of one table into its dataset; returns the row for the run log.
+    """Load the planned chunks of one table into its dataset, one after another; returns the row for the run log.
 
-    With a key the load is a merge and may be repeated at will. Without one it appends, unless the
-    run id was loaded before. A failure is recorded, not raised.
+    Each chunk is one commit, and the run notes it as finished: a run that died or failed goes on, under the same run id,
+    with the first chunk it had not finished. With a key the load is a merge and may be repeated at will. Without one
+    it appends, a folder a run and chunk. A failure is recorded, not raised; its row has the figures of the chunks before.
     """
     spark = source.sparkSession
     keys, column, update = list(entry["conflict_columns"] or []), entry["incremental_column"], list(entry["update_columns"] or [])
     kind = chunks[0]["run_type"] if chunks else "historical"
     start = min((c["watermark_start"] for c in chunks), default=None)
-    figures, status, error = (0, 0, None, None), "success", None
+    seen, skipped, top, status, error = 0, 0, None, "success", None
     try:
-        if chunks:
-            rows = planned_rows(source, chunks, column)
-            figures = _figures(rows, keys, column)
-            batch = M.stamp(coerce_row(rows), as_of)
-            order = M.total_order(batch, [column] if column else [], keys)
-            if not keys:
-                batch.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
-            elif update:
-                store.update_into(batch, path, keys, update, order, buckets)
-            else:
-                store.insert_into(batch, path, keys, order, buckets)
+        done = finished_chunks(spark, path, run_id)
+        for chunk in chunks:
+            if chunk["label"] in done:
+                continue
+            n = _load_chunk(planned_rows(source, chunk, column), path, keys, column, update, run_id, chunk["label"], as_of, buckets)
+            seen, skipped = seen + n.rows_seen + n.rows_skipped, skipped + n.rows_skipped
+            top = n.top if top is None or n.top is not None and n.top > top else top
+            if chunk["label"] not in ("incremental", "full"):  # these stand for whatever has come since
+                files.write_new(spark, _done_file(path, run_id, chunk), json.dumps({"rows": n.rows_seen, "written": n.rows_written}))
     except Exception as problem:  # noqa: BLE001 - the run log must show every failure
-        figures, status, error = (0, 0, None, None), "failed", str(problem)
-    row = spark.createDataFrame([(run_id, entry["table_key"], kind, status, figures[0], figures[1], start, figures[2], error, figures[3])],
+        status, error = "failed", str(problem)
+    kind_of_top = source.schema[column].dataType.simpleString() if column in source.columns else "string"
+    timed, text = _watermark(spark, top, kind_of_top, column)
+    row = spark.createDataFrame([(run_id, entry["table_key"], kind, status, seen, skipped, start, timed, error, text)],
                                 "run_id string, table_key string, run_type string, status string, rows_seen bigint, "
                                 "rows_skipped bigint, watermark_start string, watermark_end timestamp_ntz, error_message string, "
                                 "watermark_value string")
@@ -87,19 +113,13 @@ def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row
     return full.select(*[f.name for f in spark.createDataFrame([], TRANSFER_RUNS).schema])
 
 
-def _figures(rows: DataFrame, keys: list[str], column: str | None) -> tuple:
-    """Rows seen, rows without a key, and the highest watermark among the others, as a time if it is one and as
-    stored text: one pruned scan."""
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    top = F.max(F.when(~missing, F.col(column))) if column else F.lit(None)
-    found = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("skipped"), top.alias("top"))
-    kind = found.schema["top"].dataType.simpleString()
+def _watermark(spark: SparkSession, top, kind: str, column: str | None) -> tuple:
+    """The highest watermark as a time, if it is one, and as stored text."""
+    if top is None or column is None:
+        return None, None
+    one = spark.range(1).select(F.lit(top).cast(kind).alias("top"))
     timed = F.col("top").cast("timestamp_ntz") if kind.startswith(("timestamp", "date", "string")) else F.lit(None).cast("timestamp_ntz")
-    text = watermark_json(F.col("top"), kind) if column else F.lit(None).cast("string")
-    r = found.select("n", "skipped", timed.alias("top"), text.alias("text")).collect()[0]
-    return r["n"], r["skipped"], r["top"], r["text"]
+    return tuple(one.select(timed, watermark_json(F.col("top"), kind)).first())
 
 
 def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window: tuple[str, str], as_of: str,

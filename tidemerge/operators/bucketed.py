@@ -50,9 +50,12 @@ class Version:
 
 @dataclass(frozen=True)
 class Written:
-    """Rows with a key that a write met, rows it added, and those it found there or repeated in its batch."""
+    """Rows with a key that a write met, rows it added, and those it found there or repeated in its batch; rows without a
+    key, and the highest value of a column among the others."""
     rows_seen: int = 0
     rows_written: int = 0
+    rows_skipped: int = 0
+    top: object = None
 
     @property
     def rows_deduped(self) -> int:
@@ -163,14 +166,25 @@ def _settled(spark: SparkSession, path: str, at: Version) -> None:
         compact(spark, path)
 
 
-def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int | None = None) -> Written:
+def _keyed(keys: list[str]) -> str:
+    return " and ".join(f"`{k}` is not null" for k in keys)
+
+
+def _figures(keys: list[str], top: str | None) -> dict:
+    """Rows with and without a key, and the highest ``top`` of those with one."""
+    keyed = F.expr(_keyed(keys))
+    return {"seen": F.sum(F.when(keyed, F.col("_copies"))), "skipped": F.sum(F.when(~keyed, F.col("_copies"))),
+            "top": F.max(F.when(keyed, F.col(M.TOP))) if top else F.max(F.lit(None).cast("string"))}
+
+
+def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int | None = None, top: str | None = None) -> Written:
     """Insert-if-absent: one job that folds the batch, looks its keys up in their buckets and appends the absent ones.
 
     Only the key columns of the target are read. Running it again adds only what is still absent.
     """
     spark = batch.sparkSession
-    at, kept = _opened(M.drop_null_keys(batch, keys), path, keys, buckets)
-    folded = M.fold_first(kept, keys, order)
+    at, kept = _opened(batch, path, keys, buckets)
+    folded = M.fold_first(kept, keys, order, top=top)
     if at.rows:
         old = spark.table(_table(spark, path, at)).where(F.col(GENERATION).isin(list(at.rows))).select(*_quoted(keys))
         if at.overriding:
@@ -178,29 +192,30 @@ def insert_into(batch: DataFrame, path: str, keys: list[str], order: list[str],
         found = folded.join(old.withColumn("_old", F.lit(True)), list(keys), "left")
     else:
         found = folded.repartition(at.buckets, *_quoted(keys)).withColumn("_old", F.lit(None).cast("boolean"))
-    generation, n = _append(found, path, at, {"seen": F.sum("_copies"), "added": F.count_if(F.col("_old").isNull())}, "_old is null")
-    done = Written(n["seen"] or 0, n["added"] or 0)
+    new = f"_old is null and {_keyed(keys)}"
+    generation, n = _append(found, path, at, {**_figures(keys, top), "added": F.count_if(F.expr(new))}, new)
+    done = Written(n["seen"] or 0, n["added"] or 0, n["skipped"] or 0, n["top"])
     if done.rows_written or not at.number:
         _settled(spark, path, replace(at, rows={**at.rows, generation: done.rows_written}))
     return done
 
 
 def update_into(batch: DataFrame, path: str, keys: list[str], update: list[str], order: list[str],
-                buckets: int | None = None) -> Written:
+                buckets: int | None = None, top: str | None = None) -> Written:
     """Merge with update: the whole new rows of the batch's keys become a generation that overrides older ones.
 
     A batch without rows changes nothing. ``rows_written`` counts the rows of the batch, added or updated.
     """
     spark = batch.sparkSession
-    at, kept = _opened(M.drop_null_keys(batch, keys), path, keys, buckets)
+    at, kept = _opened(batch, path, keys, buckets)
     old = _rows(spark, path, at) if at.rows else spark.createDataFrame([], at.schema)
-    merged = M.merge_update(old, kept, keys, update, order, how="right", copies="_copies")
+    merged = M.merge_update(old, kept, keys, update, order, how="right", copies="_copies", top=top)
     if not at.rows:
         merged = merged.repartition(at.buckets, *_quoted(keys))
-    generation, n = _append(merged, path, at, {"seen": F.sum("_copies"), "keys": F.count(F.lit(1))})
+    generation, n = _append(merged, path, at, {**_figures(keys, top), "keys": F.count_if(F.expr(_keyed(keys)))}, _keyed(keys))
     if n["keys"] or not at.number:
         _settled(spark, path, replace(at, rows={**at.rows, generation: n["keys"] or 0}, overriding=bool(at.rows)))
-    return Written(n["seen"] or 0, n["seen"] or 0)
+    return Written(n["seen"] or 0, n["seen"] or 0, n["skipped"] or 0, n["top"])
 
 
 def replace_into(batch: DataFrame, path: str, keys: list[str], order: list[str], buckets: int | None = None) -> Written:

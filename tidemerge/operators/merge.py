@@ -117,41 +117,52 @@ def merge_insert_only(target: DataFrame, batch: DataFrame, keys: list[str], orde
     return evolve(target, new_rows(target, batch, keys, order, batch_rows))
 
 
-def fold_batch(batch: DataFrame, keys: list[str], update: list[str], order: list[str], copies: str | None = None) -> DataFrame:
-    """One row per key: ``_first`` as an insert would leave it, ``_last`` as the updates would."""
+def fold_batch(batch: DataFrame, keys: list[str], update: list[str], order: list[str], copies: str | None = None,
+               top: str | None = None) -> DataFrame:
+    """One row per key: ``_first`` as an insert would leave it, ``_last`` as the updates would.
+
+    With ``copies`` (a column for the number of rows) rows without a key are folded too, for the caller to count; ``top``
+    adds the highest value of a column."""
     others = [c for c in batch.columns if c not in keys and c not in update]
     rank = F.struct(*order)
     aggs = [F.count(F.lit(1)).alias(copies)] if copies else []
+    if top:
+        aggs.append(F.max(f"`{top}`").alias(TOP))
     if update:
         aggs.append(F.max_by(F.struct(*update), rank).alias("_last"))
     if others:
         aggs.append(F.min_by(F.struct(*others), rank).alias("_first"))
-    return drop_null_keys(batch, keys).groupBy(*keys).agg(*aggs)
+    return (batch if copies else drop_null_keys(batch, keys)).groupBy(*keys).agg(*aggs)
+
+
+#: Column for the highest value of a folded key.
+TOP = "_top"
 
 
-def fold_first(batch: DataFrame, keys: list[str], order: list[str], copies: str = "_copies") -> DataFrame:
-    """First row per key in ``order`` with the number of rows of the key; one partial aggregate in the map tasks."""
+def fold_first(batch: DataFrame, keys: list[str], order: list[str], copies: str = "_copies", top: str | None = None) -> DataFrame:
+    """First row per key in ``order`` with the number of rows of the key, and the highest value of the column ``top``; one
+    partial aggregate in the map tasks."""
     others = [c for c in batch.columns if c not in keys]
-    aggs = [F.count(F.lit(1)).alias(copies)]
+    aggs = [F.count(F.lit(1)).alias(copies), F.max(f"`{top}`" if top else F.lit(None).cast("string")).alias(TOP)]
     if others:
         aggs.append(F.min_by(F.struct(*[f"`{c}`" for c in others]), F.struct(*[f"`{c}`" for c in order or others])).alias("_row"))
     folded = batch.groupBy(*[f"`{k}`" for k in keys]).agg(*aggs)
-    return folded.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`") for c in batch.columns], copies)
+    return folded.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`") for c in batch.columns], copies, TOP)
 
 
 def merge_update(target: DataFrame, batch: DataFrame, keys: list[str], update: list[str],
-                 order: list[str], how: str = "full_outer", copies: str | None = None) -> DataFrame:
+                 order: list[str], how: str = "full_outer", copies: str | None = None, top: str | None = None) -> DataFrame:
     """Insert absent keys; on a match overwrite only ``update`` (nulls too) and the load time.
 
     Repeated keys in the batch act in ``order``: the first supplies the inserted columns, the last
     the updated ones. ``how="right"`` gives the rows of the batch's keys only, ``copies`` a column with their number of
-    rows in the batch.
+    rows in the batch (rows without a key included), ``top`` the highest value of a column among these.
     """
     if not update and how == "full_outer":
         return merge_insert_only(target, batch, keys, order)
     if LOADED_AT in batch.columns and LOADED_AT not in update:
         update = [*update, LOADED_AT]
-    folded = fold_batch(batch, keys, update, order, copies).withColumn("_hit", F.lit(True))
+    folded = fold_batch(batch, keys, update, order, copies, top).withColumn("_hit", F.lit(True))
     names = [*target.columns, *[c for c in batch.columns if c not in target.columns]]
     t = target.withColumn("_old", F.lit(True)).alias("t")
     joined = t.join(folded.alias("b"), keys, how)
@@ -168,7 +179,7 @@ def merge_update(target: DataFrame, batch: DataFrame, keys: list[str], update: l
             merged = old
         return merged.cast(target.schema[name].dataType) if name in target.columns else merged
 
-    return joined.select(*[pick(n).alias(n) for n in names], *[f"b.{copies}"] * bool(copies))
+    return joined.select(*[pick(n).alias(n) for n in names], *[f"b.{copies}"] * bool(copies), *[f"b.{TOP}"] * bool(top))
 
 
 def merge_replace(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

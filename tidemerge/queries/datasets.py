@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemerge import jobs
 from tidemerge.operators import bucketed as store
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
@@ -59,3 +60,32 @@ def _(t):
     store.insert_into(first, path, ["id"], ["n"], 8)
     store.insert_into(more, path, ["id"], ["n", "extra"])
     return store.read_target(t.spark, path)
+
+
+def _resumed(t):
+    """The orders in chunks of years; the first try fails in the third chunk, the second goes on from there."""
+    path = work_path(t.spark, "resumed")
+    entry = {"table_key": "shop.orders", "conflict_columns": ["o_orderkey"], "incremental_column": "o_orderdate", "update_columns": None}
+    years = [("1990-01-01", "1996-01-01"), ("1996-01-01", "1997-01-01"), ("1997-01-01", "1998-01-01"), ("1998-01-01", "1999-01-01"), ("1999-01-01", "2010-01-01")]
+    chunks = [{"run_type": "historical", "label": a[:4], "watermark_start": a, "watermark_end": b} for a, b in years]
+    source = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    third = F.year("o_orderdate") == 1997
+    broken = source.withColumn("o_orderstatus", F.when(third, F.raise_error(F.lit("broken row"))).otherwise(F.col("o_orderstatus")))
+    runs = [jobs.sync_table(rows, path, entry, chunks, "run-1", "2024-01-01", 8) for rows in (broken, source)]
+    return path, runs
+
+
+@query("load_resumed", f"SELECT o_orderkey, o_orderstatus, o_totalprice, {stamp_sql('o_orderdate')} AS o_orderdate FROM orders")
+def _(t):
+    path, _ = _resumed(t)
+    return store.read_target(t.spark, path).drop("_loaded_at")
+
+
+@query("load_resumed_log", f"""
+    SELECT 1 AS attempt, 'failed' AS status, COUNT(*) AS rows_transferred, {stamp_sql('MAX(o_orderdate)')} AS watermark_end
+    FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
+    UNION ALL SELECT 2, 'success', COUNT(*), {stamp_sql('MAX(o_orderdate)')} FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""")
+def _(t):
+    _, runs = _resumed(t)
+    first, second = (r.select(F.lit(i).alias("attempt"), "status", "rows_transferred", "watermark_end") for i, r in enumerate(runs, 1))
+    return first.unionAll(second)
