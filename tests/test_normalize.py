@@ -107,3 +107,16 @@ def test_contacts(spark, pages):
     assert loaded.count() == 3  # member order does not make a new snapshot
     r = N.rejects(flat, "contacts").collect()[0]
     assert (r.rows_read, r.rows_valid, r.missing_id, r.bad_timestamp) == (6, 4, 1, 1)
+
+
+def test_a_bad_record_leaves_the_others_of_its_page_alone(spark):
+    lines = ['{"data":[{"statuses":[{"id":"a","id":"b","n":12345678901234567890.5},7,"{\\"id\\":\\"text\\"}",null,{"id":"c"}]},"odd",{"messages":[]}]}',
+             '{"data":[{"statuses":{"id":"no list"}}]}', '{"data":{"statuses":[]}}', '{"data":[', "", None, '{"data":[{"statuses":[{"id":"d"}],"statuses":[{"id":"e"}]}]}']
+    pages = spark.createDataFrame([(x,) for x in lines], "value string")
+    rows = N.flatten_statuses(envelopes(pages)).selectExpr("to_json(status) AS s").collect()
+    assert sorted(r.s for r in rows) == ['{"id":"b","n":12345678901234567890.5}', '{"id":"c"}', '{"id":"e"}']
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+    from tidemerge.sources.pages import page_rejects
+    assert tuple(page_rejects(pages, "statuses").first()) == (7, 4, 6, 3)
+    people = spark.createDataFrame([('{"data":[{"id":"1"},5,{"id":"2"}]}',)], "value string")
+    assert N.flatten_contacts(envelopes(people, shape=CONTACT_PAGE)).count() == 2

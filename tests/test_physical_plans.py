@@ -71,5 +71,5 @@ def test_records_are_opened_once(tables):
     from tidemerge.queries.normalized import _statuses
     from tidemerge.operators.normalize import normalize_statuses
     plan = plan_of(normalize_statuses(_statuses(tables), "r"))
-    assert plan.count("from_json(") == 1
+    assert plan.count("parseJson") == 1
     assert plan.count("StructsToJsonEvaluator(Map(),VariantType") == 1

@@ -6,7 +6,7 @@ from tidemerge.functions.scalars import variant_at
 from tidemerge.operators import normalize as N
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import query, stamp_sql
-from tidemerge.sources.pages import CONTACT_PAGE, envelopes, over_all_cores, page_faults
+from tidemerge.sources.pages import CONTACT_PAGE, envelopes, over_all_cores, page_faults, page_rejects
 
 _MSG_TIME = "TIMESTAMP '2024-01-01 00:00:00' + to_seconds(conv_id * 3600 + turn * 60)"
 
@@ -122,6 +122,18 @@ def _(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _spoilt(t):
+    """Status and contact pages: cut short (errors, overdrawn customers), with a repeated member (signups), with a text as record (views)."""
+    kind, value = F.col("event_type"), F.col("value")
+    pages = SI.status_pages(t, "event_type").select(
+        F.when(kind == "error", F.expr("left(value, length(value) div 2)"))
+        .when(kind == "signup", F.regexp_replace(value, '"id":', '"id":"twice","id":'))
+        .when(kind == "view", '{"data":[{"statuses":["no object"]}],"paging":{}}').otherwise(value).alias("value"))
+    people = SI.contact_pages(t, "c_acctbal").select(
+        F.when(F.col("c_acctbal") < 0, F.expr("left(value, length(value) - 2)")).otherwise(value).alias("value"))
+    return pages, people
+
+
 @query("page_fault_report", """
     SELECT 'statuses' AS entity_type, COUNT(*) AS pages_read,
            COUNT(*) FILTER (WHERE event_type IN ('error', 'signup')) AS bad_pages,
@@ -130,13 +142,33 @@ def _(t):
     UNION ALL SELECT 'contacts', COUNT(*), COUNT(*) FILTER (WHERE c_acctbal < 0), COUNT(*) FILTER (WHERE c_acctbal >= 0), 0
               FROM customer""")
 def _(t):
-    """Pages cut short (errors, overdrawn customers), with a repeated member (signups), with a text as record (views)."""
-    kind, value = F.col("event_type"), F.col("value")
-    pages = SI.status_pages(t, "event_type").select(
-        F.when(kind == "error", F.expr("left(value, length(value) div 2)"))
-        .when(kind == "signup", F.regexp_replace(value, '"id":', '"id":"twice","id":'))
-        .when(kind == "view", '{"data":[{"statuses":["no object"]}],"paging":{}}').otherwise(value).alias("value"))
-    people = SI.contact_pages(t, "c_acctbal").select(
-        F.when(F.col("c_acctbal") < 0, F.expr("left(value, length(value) - 2)")).otherwise(value).alias("value"))
+    """Broken are pages cut short and those with a repeated member."""
+    pages, people = _spoilt(t)
     return (page_faults(pages, "statuses").select(F.lit("statuses").alias("entity_type"), "*")
             .unionByName(page_faults(people, None, shape=CONTACT_PAGE).select(F.lit("contacts").alias("entity_type"), "*")))
+
+
+@query("page_reject_report", """
+    SELECT 'statuses' AS entity_type, COUNT(*) AS pages_read, COUNT(*) FILTER (WHERE event_type = 'error') AS pages_without_rows,
+           COUNT(*) FILTER (WHERE event_type <> 'error') AS records_read, COUNT(*) FILTER (WHERE event_type = 'view') AS records_rejected
+    FROM events
+    UNION ALL SELECT 'contacts', COUNT(*), COUNT(*) FILTER (WHERE c_acctbal < 0), COUNT(*) FILTER (WHERE c_acctbal >= 0), 0
+              FROM customer""")
+def _(t):
+    """Records that are no objects are left out alone; of repeated members the last counts."""
+    pages, people = _spoilt(t)
+    return (page_rejects(pages, "statuses").select(F.lit("statuses").alias("entity_type"), "*")
+            .unionByName(page_rejects(people, None, shape=CONTACT_PAGE).select(F.lit("contacts").alias("entity_type"), "*")))
+
+
+@query("read_spoilt_pages", """
+    SELECT 'm' || event_id AS id, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS rejected_beside FROM events WHERE event_type <> 'error'""")
+def _(t):
+    """Pages with a bad record beside a good one, or with a repeated member, keep their good records."""
+    kind, value = F.col("event_type"), F.col("value")
+    pages = SI.status_pages(t, "event_type").select("event_type", (
+        F.when(kind == "error", F.expr("left(value, length(value) div 2)"))
+        .when(kind == "signup", F.regexp_replace(value, '"id":"m', '"id":"twice","id":"m'))
+        .when(kind == "view", F.replace(value, F.lit('"statuses":['), F.lit('"statuses":["no object",'))).otherwise(value)).alias("value"))
+    rows = N.flatten_statuses(envelopes(pages))
+    return rows.select(variant_at("status", "$.id").alias("id"), (kind == "view").cast("int").alias("rejected_beside"))

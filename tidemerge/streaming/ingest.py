@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidemerge.operators import normalize as N
 from tidemerge.operators.load import KEYS, arrival_order
 from tidemerge.operators.bucketed import insert_into, replace_into
-from tidemerge.sources.pages import CONTACT_PAGE, ENVELOPE_PAGE, envelopes
+from tidemerge.sources.pages import CONTACT_PAGE, ENVELOPE_PAGE, envelopes, last_member_wins
 
 _FLATTEN = {
     "messages": (ENVELOPE_PAGE, N.flatten_messages, N.normalize_messages),
@@ -50,7 +50,8 @@ def ingest_stream(pages: DataFrame, entity: str, path: str, checkpoint: str, run
     def sink(batch: DataFrame, _: int) -> None:
         insert_into(batch, path, KEYS[entity], arrival_order(batch, entity), buckets)
 
-    return run_available(normalized_stream(pages, entity, run_id, page), checkpoint, sink)
+    with last_member_wins(pages.sparkSession):
+        return run_available(normalized_stream(pages, entity, run_id, page), checkpoint, sink)
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
