@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemerge.operators import increments as I
 from tidemerge.operators import views as V
 from tidemerge.operators.state import upsert_cursor
 from tidemerge.operators.published import read_months, refresh_months
@@ -170,3 +171,53 @@ def _(t):
 @query("card_contact_snapshots", _ranked(_CONTACTS_SQL, "metric_date"))
 def _(t):
     return V.card(contact_days(t), ["metric_date"], rank="position")
+
+
+_RETYPED_SQL = """
+    SELECT strftime(message_timestamp, '%Y-%m-%d') AS metric_date, direction,
+           CASE WHEN direction = 'inbound' THEN 'changed' ELSE message_type END AS message_type,
+           COUNT(*) AS message_count, COUNT(DISTINCT contact_wa_id) AS unique_contacts FROM s_messages GROUP BY ALL"""
+
+
+@query("view_volume_by_changes", _RETYPED_SQL)
+def _(t):
+    """Outbound messages, then the inbound ones, then a batch that retypes these; the view reads its counts alone."""
+    path, messages = work_path(t.spark, "counts"), SI.messages(t)
+    inbound = messages.where("direction = 'inbound'")
+    I.add_counts(I.signed(I.volume_rows(messages.where("not (direction <=> 'inbound')"))), path, I.VOLUME, 1, 8)
+    I.add_counts(I.signed(I.volume_rows(inbound)), path, I.VOLUME, 2)
+    retyped = inbound.withColumn("message_type", F.lit("changed"))
+    I.add_counts(I.signed(I.volume_rows(retyped), I.volume_rows(inbound)), path, I.VOLUME, 3)
+    return I.volume_daily(I.counts(t.spark, path))
+
+
+@query("view_funnel_by_changes", """
+    SELECT strftime(status_timestamp, '%Y-%m-%d') AS metric_date,
+           COUNT(DISTINCT CASE WHEN status = 'sent' THEN turn_message_id END) AS sent_messages,
+           COUNT(DISTINCT CASE WHEN status = 'delivered' THEN turn_message_id END) AS delivered_messages,
+           COUNT(DISTINCT CASE WHEN status = 'read' THEN turn_message_id END) AS read_messages,
+           COUNT(DISTINCT CASE WHEN status = 'failed' THEN turn_message_id END) AS failed_messages
+    FROM s_statuses WHERE turn_message_id IS NOT NULL GROUP BY ALL""")
+def _(t):
+    """Statuses in two batches; the second withdraws and repeats the failed ones of the first."""
+    path, statuses = work_path(t.spark, "funnel"), SI.statuses(t)
+    early, late = statuses.where("status in ('sent', 'failed')"), statuses.where("status not in ('sent', 'failed')")
+    failed = early.where("status = 'failed'")
+    I.add_counts(I.signed(I.funnel_rows(early)), path, I.FUNNEL, 1, 8)
+    I.add_counts(I.signed(I.funnel_rows(late.unionByName(failed)), I.funnel_rows(failed)), path, I.FUNNEL, 2)
+    return I.status_daily(I.counts(t.spark, path))
+
+
+@query("view_volume_sketched", f"""
+    SELECT metric_date, direction, message_type, message_count, unique_contacts, TRUE AS estimate_within_error FROM ({_VOLUME_SQL})""")
+def _(t):
+    """Sketches of two batches whose days overlap, merged; exact counts of contacts beside them to show the error (5 sigma)."""
+    path, messages = work_path(t.spark, "sketches"), I.volume_rows(SI.messages(t))
+    by = I.VOLUME[:3]
+    for batch, part in enumerate((messages.where("direction = 'outbound'"), messages.where("not (direction <=> 'outbound')"))):
+        I.add_sketches(part, path, by, "contact_wa_id", batch, 8)
+    exact = V.message_volume_daily(SI.messages(t)).withColumnsRenamed({c: f"e_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"e_{c}")) for c in by]
+    joined = I.sketch_estimates(t.spark, path).join(exact, same)
+    near = F.abs(F.col("unique_values") - F.col("unique_contacts")) <= F.col("unique_contacts") * (5 * 1.04 / 2 ** (I.SKETCH_BITS / 2))
+    return joined.where("n = message_count").select(*by, "message_count", "unique_contacts", near.alias("estimate_within_error"))
