@@ -7,7 +7,9 @@ from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import INPUT_TABLES, query, stamp_sql
 from tidemerge.queries.normalized import _STATUS_TIME
 from tidemerge.session import work_path
-from tidemerge.streaming import dedupe_stream, ingest_stream, late_rows, run_available, volume_stream
+from tidemerge.streaming import (
+    collect_orphans, dedupe_stream, dropped_rows, ingest_stream, late_rows, run_available, volume_stream,
+)
 
 
 class _EventStream:
@@ -68,3 +70,51 @@ def _(t):
     batches = t.spark.read.parquet(path)
     return batches.agg(F.sum("rows_seen").alias("rows_seen"), F.sum("rows_late").alias("rows_late"),
                        F.min("oldest_late").alias("oldest_late"))
+
+
+_LANDED = "CAST(floor(date_diff('day', TIMESTAMP '2024-01-01', s) / 7.0) AS BIGINT)"
+
+
+def _landed_by_week(t):
+    """Events as they land: errors twelve days late; one file a week of landing, in order."""
+    at = F.when(F.col("event_type") == "error", F.col("ts") + F.expr("INTERVAL 12 DAYS")).otherwise(F.col("ts"))
+    rows = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
+                           F.floor(F.datediff(at, F.lit("2024-01-01")) / 7).alias("week"))
+    path = work_path(t.spark, "landed")
+    weeks = sorted(r[0] for r in rows.select("week").distinct().collect())
+    for week in weeks:
+        rows.where(F.col("week") == week).drop("week").coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema("event_id bigint, user_id bigint, event_type string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("stream_dropped_rows", f"""
+    WITH e AS (SELECT ts, CASE WHEN event_type = 'error' THEN ts + INTERVAL 12 DAY ELSE ts END AS s FROM events),
+    w AS (SELECT ts, {_LANDED} AS week FROM e),
+    m AS (SELECT week, MAX(date_trunc('millisecond', ts)) AS top FROM w GROUP BY week),
+    b AS (SELECT week, MAX(top) OVER (ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 1 DAY AS mark FROM m)
+    SELECT COUNT(*) AS rows_seen, COUNT(*) FILTER (WHERE ts <= mark) AS rows_dropped, COUNT(*) FILTER (WHERE mark IS NULL OR ts > mark) AS rows_kept
+    FROM w JOIN b USING (week)""")
+def _(t):
+    path = work_path(t.spark, "dropped")
+    _, report = dropped_rows(_landed_by_week(t), "ts", ["event_id"], "1 day", path, work_path(t.spark, "checkpoint"))
+    figures = report.agg(F.sum("rows_seen").alias("rows_seen"), F.sum("rows_dropped").alias("rows_dropped"))
+    return figures.crossJoin(t.spark.read.parquet(f"{path}/rows").agg(F.count(F.lit(1)).alias("rows_kept")))
+
+
+@query("stream_orphans", """
+    SELECT event_id, user_id FROM events s WHERE event_type = 'purchase' AND NOT EXISTS (
+        SELECT 1 FROM events m WHERE m.event_type = 'view' AND m.user_id = s.user_id AND m.ts <= s.ts AND m.ts >= s.ts - INTERVAL 2 DAY)""")
+def _(t):
+    """Purchases that no view of the same user came before within two days; the last ones, which the watermarks leave
+    open at the end of the stream, are decided by a join of the days that can matter."""
+    events = _EventStream(t).events.withColumn("ts", F.col("ts").cast("timestamp"))
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", F.col("ts").alias("bought_at"))
+    seen = events.where("event_type = 'view'").select("user_id", F.col("ts").alias("seen_at"))
+    path = work_path(t.spark, "orphans")
+    run = collect_orphans(bought, seen, "user_id", "bought_at", "seen_at", "2 DAYS", "1 hour", path, work_path(t.spark, "checkpoint"))
+    mark = F.to_timestamp(F.lit(run.lastProgress["eventTime"].get("watermark"))) - F.expr("INTERVAL 1 MINUTE")
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp")).where(F.col("ts") >= mark - F.expr("INTERVAL 2 DAYS"))
+    late = rows.where((F.col("event_type") == "purchase") & (F.col("ts") >= mark)).alias("s")
+    views = rows.where("event_type = 'view'").alias("m")
+    left = late.join(views, F.expr("m.user_id = s.user_id and m.ts <= s.ts and m.ts >= s.ts - INTERVAL 2 DAYS"), "left_anti")
+    return t.spark.read.parquet(path).select("event_id", "user_id").union(left.select("event_id", "user_id")).distinct()

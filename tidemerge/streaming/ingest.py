@@ -91,3 +91,42 @@ def late_rows(stream: DataFrame, ts: str, cursor: str, delay: str, path: str, ch
              .write.mode("overwrite").parquet(f"{path}/batch_id={number}")
 
     return run_available(stream, checkpoint, sink)
+
+
+def orphan_stream(statuses: DataFrame, messages: DataFrame, key: str, status_ts: str, message_ts: str, within: str, delay: str) -> DataFrame:
+    """Statuses whose message did not come: none with the key in the span ``within`` before the status.
+
+    Both streams have a watermark of ``delay``. A status leaves the state when its span lies behind both: as a found one
+    at once, as an orphan then. Rows that come later than the delay are not seen. Columns are those of the statuses.
+    """
+    s, m = statuses.withWatermark(status_ts, delay).alias("s"), messages.select(key, message_ts).withWatermark(message_ts, delay).alias("m")
+    near = (F.col(f"s.{key}") == F.col(f"m.{key}")) & (F.col(f"m.{message_ts}") <= F.col(f"s.{status_ts}")) \
+        & (F.col(f"m.{message_ts}") >= F.col(f"s.{status_ts}") - F.expr(f"INTERVAL {within}"))
+    joined = s.join(m, near, "left_outer").where(F.col(f"m.{key}").isNull())
+    return joined.select(*[F.col(f"s.{c}").alias(c) for c in statuses.columns])
+
+
+def collect_orphans(statuses: DataFrame, messages: DataFrame, key: str, status_ts: str, message_ts: str, within: str, delay: str,
+                    path: str, checkpoint: str) -> StreamingQuery:
+    """The orphans of all landed rows that the watermarks let decide, a folder a micro-batch: a replay overwrites its own."""
+    found = orphan_stream(statuses, messages, key, status_ts, message_ts, within, delay)
+    return run_available(found, checkpoint, lambda b, n: b.write.mode("overwrite").parquet(f"{path}/batch_id={n}"))
+
+
+def dropped_rows(stream: DataFrame, ts: str, keys: list[str], delay: str, path: str, checkpoint: str) -> tuple[StreamingQuery, DataFrame]:
+    """Passes a stream on without repeats, and reports per micro-batch what its own watermark dropped: rows older than the
+    watermark of the batch before (Spark lets a batch pass what its own would already refuse).
+
+    Kept rows go to ``path``/rows, the report to ``path``/late: rows read and dropped, and the watermark that held, from
+    the progress of the query. Batches of a run that restarts follow those before.
+    """
+    spark = stream.sparkSession
+    unique = stream.withWatermark(ts, delay).dropDuplicates([*keys, ts])
+    query = run_available(unique, checkpoint, lambda b, n: b.write.mode("overwrite").parquet(f"{path}/rows/batch_id={n}"))
+    rows = [(p["batchId"], p["numInputRows"], sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]),
+             p["eventTime"].get("watermark")) for p in query.recentProgress if p["stateOperators"]]
+    schema = "batch_id long, rows_seen long, rows_dropped long, watermark string"
+    for n in {r[0] for r in rows}:
+        spark.createDataFrame([r for r in rows if r[0] == n][-1:], schema).drop("batch_id").coalesce(1).write.mode("overwrite").parquet(f"{path}/late/batch_id={n}")
+    report = spark.read.schema(schema).parquet(f"{path}/late") if rows or query.lastProgress else spark.createDataFrame([], schema)
+    return query, report
