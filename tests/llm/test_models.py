@@ -281,7 +281,8 @@ def test_small_batches_keep_a_setting_of_the_session(spark):
 
 def test_pipeline(spark, folder):
     import corpus_pipeline as C
-    from test_texts import plain_fingerprint, plain_removal
+    from test_near import linked, smallest_of
+    from test_texts import plain_removal
     original = spark.read.parquet(f"{folder}/documents.parquet")
     steps, d = [], original
     for name, stage in C.STAGES:
@@ -291,18 +292,9 @@ def test_pipeline(spark, folder):
     good, one, cut, mixed, tokens = steps
     scores = quality.scored(original, quality.train(original, spark.read.parquet(f"{folder}/labels.parquet")), into="s")
     assert {r.doc_id for r in scores.where("s >= 0.3").collect()} == {r.doc_id for r in good.collect()}
-    prints = {r.doc_id: plain_fingerprint(r.text) for r in good.collect()}
-    left, seen = [], {}
-    for i in sorted(prints):  # few rows: chains are followed by repeating until nothing changes
-        seen[i] = i
-    changed = True
-    while changed:
-        changed = False
-        for a in seen:
-            for b in seen:
-                if seen[b] < seen[a] and bin(prints[a] ^ prints[b]).count("1") <= 3:
-                    seen[a], changed = seen[b], True
-    left = sorted(i for i in seen if seen[i] == i)
+    rows = sorted((r.doc_id, r.text) for r in good.collect())  # few rows: every pair by its shingles
+    low = smallest_of(len(rows), linked([text for _, text in rows]))
+    left = [rows[i][0] for i, least in enumerate(low) if least == i]
     assert sorted(r.doc_id for r in one.collect()) == left
     before = sorted(one.collect(), key=lambda r: r.doc_id)
     after = {r.doc_id: r.text for r in cut.collect()}
