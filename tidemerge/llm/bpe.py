@@ -195,7 +195,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value
-        pieces = sorted(words.ranks, key=words.ranks.get)
+        pieces = pa.array(sorted(words.ranks, key=words.ranks.get), pa.large_binary()) if decoded else None
         for whole in batches:
             sizes = pc.fill_null(pc.binary_length(whole.column(text)), 0).to_pylist()
             for start, end in in_chunks(sizes, CHUNK_BYTES):
@@ -206,7 +206,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
                 out = [*(batch.column(c) for c in kept), lists]
                 if decoded:
-                    out.append(pa.array([joined(np.frombuffer(x, np.int32).tolist(), pieces) for x in ids], pa.binary()))
+                    out.append(joined(values, ends, pieces))
                 yield pa.RecordBatch.from_arrays(out, names)
 
     made = [StructField(into, ArrayType(IntegerType())), *([StructField(decoded, BinaryType())] if decoded else [])]
@@ -226,8 +226,11 @@ def _with_short_plans(df: DataFrame) -> pa.Table:
         conf.set(key, before)
 
 
-def joined(ids: list[int], pieces: list[bytes]) -> bytes:
-    return b"".join(map(pieces.__getitem__, ids))
+def joined(ids: pa.Array, ends: np.ndarray, pieces: pa.Array) -> pa.Array:
+    """The bytes of lists of ids: the pieces of all ids, one after the other, parted at the ends of the lists."""
+    taken = pieces.take(ids)
+    at = np.frombuffer(taken.buffers()[1], np.int64)[ends] if len(ids) else np.zeros(len(ends), np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(at.tobytes()), taken.buffers()[2]]).cast(pa.binary())
 
 
 def decode(ids: Column, path: str) -> Column:

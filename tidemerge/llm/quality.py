@@ -122,9 +122,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     part = min(1.0, sample_rows / max(1, rows))
     chosen = docs.where(~held_out(F.col("doc_id")) & (F.shiftrightunsigned(F.xxhash64("doc_id"), 33) < int(part * (1 << 31))))
     seen = (chosen.join(known, "doc_id", "left")
-            .select(statistics_column("text").alias("x"), (F.col("quality") == 1).alias("positive"))).collect()
-    x = np.array([r["x"] for r in seen]).reshape(len(seen), len(statistics("")))
-    positive = np.array([bool(r["positive"]) for r in seen], bool)
+            .select(statistics_column("text").alias("x"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive"))).toArrow()
+    x = seen["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(seen), len(statistics("")))
+    positive = seen["positive"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
     return fit(x[positive], x, (good or 0) / n if n else 1.0)
 
 
