@@ -5,6 +5,11 @@ a query 0, and the nearest points in that space are those of largest inner produ
 vantage point at the median distance. A branch is skipped if the triangle inequality puts it beyond ``factor`` times
 the distance of the k-th best so far; factor one skips nothing that could count, so the search is exact.
 
+What a search by distances in floating point finds sets a bound: the exact inner product of the last of the k + 1 best
+vectors. A second visit collects every point whose distance, less a margin for rounding, does not rule out that product,
+and exact products decide among these, ties by the smallest id. Vectors are scaled by powers of two and lifted by the
+largest norm of their own shard, so a few long ones do not blur the others' distances elsewhere.
+
 Shards are rows of at most about ``SHARD_ROWS`` vectors, queries are rows of ``QUERY_ROWS``, and each pair of them is a
 task's unit of work. Equal vectors are one point with as many of their smallest ids as an answer can hold: larger ids
 of the same vector could never be among the k best.
@@ -26,8 +31,8 @@ K = 20
 SHARD_ROWS = 4096
 QUERY_ROWS = 1024
 LEAF = 96
-SPARE = 8
 EPSILON = 1e-9
+_EPS = float(np.finfo(np.float64).eps)
 
 
 class Tree:
@@ -87,6 +92,42 @@ class Tree:
         return found, best
 
 
+    def within(self, queries: np.ndarray, limits: np.ndarray, slack: np.ndarray, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of query and row no further apart than the query's limit and slack."""
+        norms, pairs = (queries * queries).sum(axis=1), []
+        reach = limits + slack
+
+        def offer(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+            d = np.sqrt(np.maximum(norms[q, None] + self.squares[None, rows] - 2 * queries[q] @ self.points[rows].T, 0))
+            at, hit = np.nonzero(d <= reach[q, None])
+            pairs.append((q[at], rows[hit]))
+            return d
+
+        def visit(node, q: np.ndarray) -> None:
+            if not len(q):
+                return
+            if isinstance(node, np.ndarray):
+                for at in range(0, len(node), 4 * LEAF):
+                    offer(q, node[at:at + 4 * LEAF])
+                return
+            vantage, radius, inner, outer = node
+            d = offer(q, np.array([vantage]))[:, 0]
+            visit(inner, q[d - radius <= factor * limits[q] + slack[q]])
+            visit(outer, q[radius - d <= factor * limits[q] + slack[q]])
+
+        if self.root is not None and len(queries):
+            visit(self.root, np.arange(len(queries)))
+        if not pairs:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+
+
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """All rows times one power of two, so that the largest entry is near one; order by inner product stays."""
+    most = np.abs(rows).max()
+    return np.ldexp(rows, -int(np.frexp(most)[1])) if most > 0 else rows
+
+
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, the components added one after the other in double precision."""
     total = np.zeros(len(a))
@@ -108,7 +149,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
 
     Ties go to the smaller id. Rows with a null id, and vectors that are not ``usable``, take no part; vectors of
     different lengths are compared only with their like. Ids are taken as unique: rows that repeat an id and its vector
-    count once. No vectors or no queries give an empty result.
+    count once. Inner products must stay within doubles. No vectors or no queries give an empty result.
     """
     def picked(df: DataFrame) -> DataFrame:
         return (df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
@@ -117,11 +158,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     # at most k + 1 ids of a vector: the query itself may be one of them
     order = Window.partitionBy("v").orderBy("id")
     firsts = picked(vectors).distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
-    points = stored(firsts.groupBy("width", "v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-                    .withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))), "points")
+    points = stored(firsts.groupBy("width", "v").agg(F.array_sort(F.collect_list("id")).alias("ids")), "points")
     asked = stored(picked(queries).distinct(), "queries")
-    shape = points.agg(F.count("*"), F.max("norm")).first()
-    shards, radius = max(1, math.ceil(shape[0] / SHARD_ROWS)), shape[1] or 0.0
+    shards = max(1, math.ceil(points.count() / SHARD_ROWS))
     blocks = max(1, math.ceil(asked.count() / QUERY_ROWS))
 
     shard_rows = (points.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)))
@@ -135,7 +174,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for held, some in zip(batch["points"], batch["asked"], strict=True):
-                yield _answers(held, some, k, factor, radius)
+                yield _answers(held, some, k, factor)
 
     found = work.mapInPandas(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -143,16 +182,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _answers(held, some, k: int, factor: float, radius: float) -> pd.DataFrame:
+def _answers(held, some, k: int, factor: float) -> pd.DataFrame:
     """The k best of one shard for one block of queries, scored on the original vectors."""
     points, ids = np.array([list(p["v"]) for p in held]), [list(p["ids"]) for p in held]
     asked, names = np.array([list(q["v"]) for q in some]), np.array([q["id"] for q in some])
-    lift = np.sqrt(np.maximum(radius * radius - (points * points).sum(axis=1), 0))
-    rows, _ = Tree(np.hstack([points, lift[:, None]])).search(
-        np.hstack([asked, np.zeros((len(asked), 1))]), min(k + 1 + SPARE, len(points)), factor)
-    q, c = np.nonzero(rows >= 0)
-    hit = rows[q, c]
-    scores = inner_products(points[hit], asked[q])
+    near, far = _scaled(points), np.array([_scaled(q) for q in asked])
+    squares, norms = (near * near).sum(axis=1), (far * far).sum(axis=1)
+    radius = squares.max()
+    tree = Tree(np.hstack([near, np.sqrt(np.maximum(radius - squares, 0))[:, None]]))
+    lifted = np.hstack([far, np.zeros((len(far), 1))])
+    rows, _ = tree.search(lifted, min(k + 1, len(points)), factor)
+    # the least of the k + 1 products found bounds the distance that a better or equal one can have
+    found = np.maximum(rows, 0)
+    least = np.where(rows >= 0, np.einsum("qkd,qd->qk", near[found], far), -np.inf).min(axis=1) if len(points) > k else np.full(len(far), -np.inf)
+    margin = 64 * _EPS * near.shape[1] * (radius + norms)
+    with np.errstate(over="ignore"):
+        limits = np.sqrt(np.maximum(norms + radius - 2 * least, 0) + margin)
+        q, hit = tree.within(lifted, limits, np.sqrt(margin), factor)
+        scores = inner_products(points[hit], asked[q])
+        odd = np.unique(q[~np.isfinite(scores)])  # products beyond doubles tie: every point of the shard is compared
+        if len(odd):
+            keep = ~np.isin(q, odd)
+            q = np.concatenate([q[keep], np.repeat(odd, len(points))])
+            hit = np.concatenate([hit[keep], np.tile(np.arange(len(points)), len(odd))])
+            scores = inner_products(points[hit], asked[q])
     counts = np.fromiter((len(ids[r]) for r in hit), np.int64, len(hit))
     out = pd.DataFrame({"query_id": np.repeat(names[q], counts), "vec_id": [i for r in hit for i in ids[r]],
                         "score": np.repeat(scores, counts)})
