@@ -205,16 +205,29 @@ def test_mix_rows(spark):
 
 def test_block_sizes():
     def of(*targets):
-        return mixing.block_size([mixing.Share(i, str(i), 1, 1, t) for i, t in enumerate(targets)])
+        return mixing.block_sizes([mixing.Share(i, str(i), 1, 1, t) for i, t in enumerate(targets)])
 
-    assert of(1e6, 2e6) == 128 and of(1e6, 640) == 10 and of(5, 0) == 1 and of() == 1
-    assert of(1e13, 10) == math.ceil((1e13 + 10) / mixing.MOST_SLOTS)
+    assert of(1e6, 2e6) == [128, 128] and of(1e6, 640) == [128, 10] and of(5, 0) == [1, 1] and of() == []
+    assert of(1e13, 640, 10) == [math.ceil((1e13 + 650) / mixing.MOST_SLOTS), 10, 1]
+
+
+def test_tiny_sources_beside_a_large_one_come_near_their_targets(spark, monkeypatch):
+    """As if the mix were so large that a common block would be longer than the small sources."""
+    monkeypatch.setattr(mixing, "MOST_SLOTS", 200)
+    text = lambda n: " ".join(["w"] * n)
+    rows = [(i, text(500), "en", "a", 0) for i in range(200)] + [(1000 + i, text(5), "en", "b", 0) for i in range(2)] \
+        + [(2000 + i, text(30), "en", "c", 0) for i in range(10)]
+    got = mixing.mix_counts(docs(spark, rows)).collect()
+    for source, first in (("b", 1000), ("c", 2000)):
+        mine = [r for r in got if first <= r.doc_id < first + 1000]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(2, 0.05 * mine[0].target), source
+        assert all(r.taken <= 2 * r["size"] for r in mine)
 
 
 def test_ranks_of_slots_run_over_chunks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLOT_CHUNK", 64)
     mixture = [mixing.Share(0, "a", 1, 5000, 3000.0), mixing.Share(1, "b", 1, 5000, 1000.0)]
-    rows = sorted(mixing.slots(spark, mixture, 10).collect(), key=lambda r: r.slot)
+    rows = sorted(mixing.slots(spark, mixture, [10, 10]).collect(), key=lambda r: r.slot)
     assert [r.slot for r in rows] == list(range(400))
     for place, share in ((0, 0.75), (1, 0.25)):
         mine = [r for r in rows if r._place == place]

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-The words of a source, its documents in a hashed order, are cut into blocks of equal length. The mix is a row of
-slots. Slot n maps the golden-ratio point frac(n / phi) through the cumulative target weights to a source, so every
-stretch of slots holds the sources in about their weights. The r-th slot of a source takes its block r modulo the
+The words of a source, its documents in a hashed order, are cut into blocks of equal length (shorter ones where a source
+is small). The mix is a row of slots. Slot n maps the golden-ratio point frac(n / phi) through the cumulative target
+weights, counted in blocks, to a source, so every stretch of slots holds the sources in about their weights. The r-th slot of a source takes its block r modulo the
 number of blocks; a source that runs out starts again. Ranks come from counts per chunk of slots, offsets from sums
 per bucket of documents, so neither a large source nor the row of slots is ever ordered in one task.
 
@@ -62,12 +62,11 @@ def targets(sizes: list[int], weights=WEIGHTS, share=SHARE, most=MOST_REPEATS) -
     return [float(x) for x in out]
 
 
-def block_size(mixture: list[Share]) -> int:
-    """Words of a block: ``BLOCK_WORDS``, or fewer so that the smallest target has about ``BLOCKS_OF_LEAST`` slots, as
-    long as the whole mix stays below ``MOST_SLOTS``; beyond that, more."""
-    wanted = [m.target for m in mixture if m.target > 0]
-    least = min(wanted, default=0) / BLOCKS_OF_LEAST
-    return max(1, math.ceil(sum(wanted) / MOST_SLOTS), min(BLOCK_WORDS, int(least)))
+def block_sizes(mixture: list[Share]) -> list[int]:
+    """Words of a block of each source: ``BLOCK_WORDS``, or more where the whole mix would have above ``MOST_SLOTS`` slots;
+    for a source too small for that, fewer, so that it has about ``BLOCKS_OF_LEAST`` slots (or one a word) all the same."""
+    most = max(BLOCK_WORDS, math.ceil(sum(m.target for m in mixture) / MOST_SLOTS))
+    return [max(1, min(most, int(m.target / BLOCKS_OF_LEAST))) for m in mixture]
 
 
 def n_words(text: Column) -> Column:
@@ -102,11 +101,13 @@ def laid_out(sized: DataFrame, mixture: list[Share], source: str, *identity: Col
             .drop("_first", "_bucket", "_hash"))
 
 
-def slots(spark, mixture: list[Share], block_words: int) -> DataFrame:
-    """``slot, _place, rank``: the source of every slot, and how many earlier slots have the same source."""
-    wanted = np.array([m.target for m in mixture], float)
-    number = round(wanted.sum() / block_words)
-    ends = np.cumsum(wanted) / max(wanted.sum(), 1)
+def slots(spark, mixture: list[Share], widths: list[int]) -> DataFrame:
+    """``slot, _place, rank``: the source of every slot, and how many earlier slots have the same source.
+
+    A source's weight is its target counted in blocks of its own length."""
+    wanted = np.array([m.target / w for m, w in zip(mixture, widths, strict=True)], float)
+    number = round(wanted.sum())
+    ends = np.cumsum(wanted) / (wanted.sum() or 1)
     last = int(np.flatnonzero(wanted)[-1]) if wanted.any() else 0
     # frac(a + b) of parts keeps the points exact to 1e-9 up to 10^12 slots
     step = math.fmod(SLOT_CHUNK * GOLDEN, 1)
@@ -140,13 +141,15 @@ def schedule(laid: DataFrame, mixture: list[Share], block_words: int | None = No
     how often its source has been used up before. A slot that would use a source more than ``MOST_REPEATS`` times
     (the schedule may give a full source a slot too many) stays empty.
     """
-    spark, block_words = laid.sparkSession, block_words or block_size(mixture)
-    blocks = spark.createDataFrame([(m.place, math.ceil(m.size / block_words)) for m in mixture], "_place int, blocks long")
-    placed = (slots(spark, mixture, block_words).join(F.broadcast(blocks), "_place")
+    spark = laid.sparkSession
+    widths = [block_words] * len(mixture) if block_words else block_sizes(mixture)
+    blocks = spark.createDataFrame([(m.place, math.ceil(m.size / w), w) for m, w in zip(mixture, widths, strict=True)],
+                                   "_place int, blocks long, width long")
+    placed = (slots(spark, mixture, widths).join(F.broadcast(blocks), "_place")
               .where((F.col("blocks") > 0) & (F.col("rank") < MOST_REPEATS * F.col("blocks")))
               .select("slot", "_place", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("round")))
-    width = F.lit(block_words).cast("long")
-    pieces = (laid.where("_size > 0").select("_place", "_start", "_size")
+    width = F.col("width")
+    pieces = (laid.where("_size > 0").select("_place", "_start", "_size").join(F.broadcast(blocks.select("_place", "width")), "_place")
               .withColumn("block", F.explode(F.sequence(F.floor(F.col("_start") / width),
                                                         F.floor((F.col("_start") + F.col("_size") - 1) / width))))
               .withColumns({"first": F.greatest(F.col("block") * width - F.col("_start"), F.lit(0)),
