@@ -320,3 +320,17 @@ def test_pipeline(spark, folder):
         assert after[r.doc_id].startswith(r.text)
     assert all(taken[i] <= 2 * sizes[i] for i in taken) and abs(sum(taken.values()) - 1.5 * sum(sizes.values())) < 0.05 * sum(sizes.values())
     assert tokens.count() == mixed.count() and {"doc_id", "token_ids", "n_tokens"} <= set(tokens.columns)
+
+
+def test_thin_labels_still_give_positives_and_null_ids_are_bounded(spark):
+    """40 labelled documents among many without a label or an id: positives come from all labelled ones."""
+    from pyspark.sql import functions as F
+    good = [(i, "A plain sentence of words, well formed and calm. " * 8 + str(i)) for i in range(40)]
+    bad = [(1000 + i, "$$$ ### " * 60 + str(i)) for i in range(400)] + [(None, "| x | y " * 50)] * 800
+    d = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(1000 + i, 0) for i in range(360)], "doc_id long, quality int")
+    assert quality._chosen(d, 1.0).count() == 441
+    model = quality.train(d, labels, sample_rows=200)
+    rows = quality.scored(d.where("doc_id is not null"), model).select("doc_id", "score").collect()
+    assert min(r.score for r in rows if r.doc_id < 1000) > max(r.score for r in rows if r.doc_id >= 1000)
+    assert 0 <= quality.scored(d.limit(3), quality.train(d, labels.where(F.lit(False)))).first().score <= 1

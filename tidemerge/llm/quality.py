@@ -9,8 +9,8 @@ part, whatever their labels say. When the second part falls below zero, the step
 class prior is estimated as the share of label 1 among all labelled training rows. Labels of rows held out
 (crc32 of the id modulo 5 is 0) take no part, and labels, language, source and id are no inputs.
 
-The fit uses a sample of about ``SAMPLE_ROWS`` documents, chosen by a hash of the id; their statistics (a few dozen
-numbers a document) reach the driver. Every document is scored.
+The fit uses samples of about ``SAMPLE_ROWS`` documents and ``POSITIVE_ROWS`` labelled positives, each chosen by a hash of
+id and text; their statistics (a few dozen numbers a document) reach the driver. Every document is scored.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from tidemerge.llm.base import query, remainder, table
 
 FOLDS = 5
 SAMPLE_ROWS = 20_000
+POSITIVE_ROWS = 20_000
 THRESHOLD = 0.3
 STEPS = 600
 RATE = 0.05
@@ -113,19 +114,34 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(remainder(doc_id, FOLDS) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits on ``docs`` (doc_id, text) and ``labels`` (doc_id, quality); a document with unequal labels is no positive."""
+def _chosen(rows: DataFrame, share: float) -> DataFrame:
+    """About ``share`` of the different documents, by a hash of id and text; copies of one are a single row."""
+    h = F.xxhash64(F.lit(3), "doc_id", "text")
+    some = rows.select("doc_id", "text", h.alias("h")).where(F.shiftrightunsigned("h", 33) < int(min(1.0, share) * (1 << 31)))
+    return some.groupBy("doc_id", "h").agg(F.first("text").alias("text"))
+
+
+def _inputs(rows: DataFrame) -> np.ndarray:
+    """The statistics of a bounded sample."""
+    got = rows.select(statistics_column("text").alias("x")).toArrow()
+    return got["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(got), len(statistics("")))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, positive_rows: int = POSITIVE_ROWS) -> Model:
+    """Fits on ``docs`` (doc_id, text) and ``labels`` (doc_id, quality).
+
+    Positives are drawn from all documents labelled 1 (about ``positive_rows``), unlabelled ones from all documents
+    outside the held-out part (about ``sample_rows``). Documents with unequal labels are no positives. Rows with a null id
+    are unlabelled documents; repeated rows count once in a sample. Without positives each text scores the prior.
+    """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
     n, good = known.agg(F.count("*"), F.sum((F.col("quality") == 1).cast("long"))).first()
-    rows = docs.count()
-    part = min(1.0, sample_rows / max(1, rows))
-    chosen = docs.where(~held_out(F.col("doc_id")) & (F.shiftrightunsigned(F.xxhash64("doc_id"), 33) < int(part * (1 << 31))))
-    seen = (chosen.join(known, "doc_id", "left")
-            .select(statistics_column("text").alias("x"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive"))).toArrow()
-    x = seen["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(seen), len(statistics("")))
-    positive = seen["positive"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-    return fit(x[positive], x, (good or 0) / n if n else 1.0)
+    rows = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
+    x = _inputs(_chosen(rows, sample_rows / max(1, docs.count())))
+    liked = known.where("quality = 1").select("doc_id")
+    p = _inputs(_chosen(rows, positive_rows / max(1, good or 0)).join(liked, "doc_id", "left_semi"))
+    return fit(p, x, (good or 0) / n if n else 1.0)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
