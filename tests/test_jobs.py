@@ -215,3 +215,29 @@ def test_keyless_chunks_are_not_doubled_by_a_retry(spark, fresh):
     assert jobs.sync_table(broken, path, entry, chunks, "r1", "2024-03-01").collect()[0].rows_seen == 10
     assert jobs.sync_table(src, path, entry, chunks, "r1", "2024-03-01").collect()[0].rows_seen == 10
     assert jobs._loaded(spark, path).count() == 20
+
+
+def test_runs_write_their_errors_and_keep_the_time_of_the_last_record(spark, fresh):
+    import json
+    path, cursors, errors = fresh("entity"), fresh("cursors"), fresh("errors")
+
+    def landed(*stamps):
+        return spark.createDataFrame([(json.dumps({"data": [{"statuses": [{"id": f"s{n}", "status": "sent", "timestamp": str(n)}]}]}), day(0))
+                                      for n in stamps], "value string, landed_at timestamp_ntz")
+
+    go = dict(errors=errors)
+    run = jobs.sync_incremental(landed(1704060000, 1704067205), "statuses", "landed_at", path, cursors, "r1", "2024-01-01 02:00:00", **go).collect()[0]
+    assert json.loads(run.details) == {"advance_cursor": True, "last_record_ts": json.loads(run.state_json)["last_record_ts"]}
+    assert json.loads(run.state_json)["last_record_ts"].startswith("2024-01-01T00:00:05")
+    kept = store.read_target(spark, cursors).collect()[0]
+    assert kept.state_json == run.state_json and kept.last_run_id == "r1"
+    # a backfill loads and leaves the cursor
+    jobs.sync_incremental(landed(1704067300), "statuses", "landed_at", path, cursors, "r2", "2024-01-01 03:00:00", advance=False, **go)
+    assert store.read_target(spark, cursors).collect()[0].last_run_id == "r1"
+    jobs.sync_incremental(landed(1).withColumnRenamed("value", "x"), "statuses", "landed_at", path, cursors, "r3", "2024-01-01 04:00:00", **go)
+    entry = {"table_key": "ds.t", "conflict_columns": ["id"], "incremental_column": "updated_at", "update_columns": None}
+    src = source(spark, [(1, "a", day(1), None)]).withColumn("body", F.raise_error(F.lit("bad row")))
+    jobs.sync_table(src, fresh("t"), entry, chunked((day(0), day(10))), "r4", "2024-03-01", errors=errors)
+    rows = {r.run_id: r for r in spark.read.parquet(errors).collect()}
+    assert set(rows) == {"r3", "r4"} and rows["r3"].error_stage == "sync_entity_window"
+    assert "bad row" in rows["r4"].error_message and json.loads(rows["r4"].error_context)["label"] == "c0"

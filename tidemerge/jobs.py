@@ -13,13 +13,13 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemerge.functions.scalars import as_instant, coerce_row, watermark_json
+from tidemerge.functions.scalars import as_instant, coerce_row, format_iso_utc, watermark_json
 from tidemerge.operators import merge as M
 from tidemerge.operators import state as ST
 from tidemerge.operators import bucketed as store
 from tidemerge.operators import published
 from tidemerge.operators import views as V
-from tidemerge.operators.load import KEYS, arrival_order
+from tidemerge.operators.load import KEYS, TIME, arrival_order
 from tidemerge.plans.windows import cursor_window
 from tidemerge.settings import ENTITIES
 from tidemerge.sources import files
@@ -36,7 +36,7 @@ TRANSFER_RUNS = (
 # --- fixed values: columns of the cursor table
 CURSORS = ("pipeline_name string, entity_type string, last_cursor_at timestamp_ntz, last_window_start timestamp_ntz, "
            "last_window_end timestamp_ntz, last_run_id string, last_success_at timestamp_ntz, rows_seen_last_run bigint, "
-           "rows_written_last_run bigint")
+           "rows_written_last_run bigint, state_json string")
 
 # --- fixed values: names of the published views
 VIEW_NAMES = ("mv_pipeline_freshness", "mv_data_sanity_snapshot", "mv_data_sanity_trend_30d",
@@ -77,19 +77,30 @@ def _load_chunk(rows: DataFrame, path: str, keys: list[str], column: str | None,
     return store.Written(seen.get["n"], seen.get["n"], 0, seen.get["top"])
 
 
+def _log_error(spark: SparkSession, errors: str | None, run_id: str, what: str, stage: str, message: str, **context) -> None:
+    """A row for the error log, written by the run that failed: what it worked on, at which stage, in which span."""
+    if errors is None:
+        return
+    row = spark.createDataFrame([(run_id, what, "failed", message, *context.values())],
+                                "run_id string, entity_type string, status string, error_message string, "
+                                + ", ".join(f"{c} string" for c in context))
+    ST.error_log(row, stage, list(context)).coalesce(1).write.mode("append").parquet(errors)
+
+
 def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row], run_id: str, as_of: str,
-               buckets: int | None = None) -> DataFrame:
+               buckets: int | None = None, errors: str | None = None) -> DataFrame:
     """Load the planned chunks of one table into its dataset, one after another; returns the row for the run log.
 
     Each chunk is one commit, and the run notes it as finished: a run that died or failed goes on, under the same run id,
     with the first chunk it had not finished. With a key the load is a merge and may be repeated at will. Without one
-    it appends, a folder a run and chunk. A failure is recorded, not raised; its row has the figures of the chunks before.
+    it appends, a folder a run and chunk. A failure is recorded, not raised; its row has the figures of the chunks before,
+    and ``errors`` (a folder) gets a row with the chunk it happened in.
     """
     spark = source.sparkSession
     keys, column, update = list(entry["conflict_columns"] or []), entry["incremental_column"], list(entry["update_columns"] or [])
     kind = chunks[0]["run_type"] if chunks else "historical"
     start = min((c["watermark_start"] for c in chunks), default=None)
-    seen, skipped, top, status, error = 0, 0, None, "success", None
+    seen, skipped, top, status, error, chunk = 0, 0, None, "success", None, None
     try:
         done = finished_chunks(spark, path, run_id)
         for chunk in chunks:
@@ -102,6 +113,8 @@ def sync_table(source: DataFrame, path: str, entry: Row | dict, chunks: list[Row
                 files.write_new(spark, _done_file(path, run_id, chunk), json.dumps({"rows": n.rows_seen, "written": n.rows_written}))
     except Exception as problem:  # noqa: BLE001 - the run log must show every failure
         status, error = "failed", str(problem)
+        span = {c: chunk[c] if chunk else None for c in ("label", "watermark_start", "watermark_end")}
+        _log_error(spark, errors, run_id, entry["table_key"], "load_chunk", error, **span)
     kind_of_top = source.schema[column].dataType.simpleString() if column in source.columns else "string"
     timed, text = _watermark(spark, top, kind_of_top, column)
     row = spark.createDataFrame([(run_id, entry["table_key"], kind, status, seen, skipped, start, timed, error, text)],
@@ -123,26 +136,31 @@ def _watermark(spark: SparkSession, top, kind: str, column: str | None) -> tuple
 
 
 def ingest_pages(pages: DataFrame, entity: str, path: str, run_id: str, window: tuple[str, str], as_of: str,
-                 page: str = "value", buckets: int | None = None) -> DataFrame:
+                 page: str = "value", buckets: int | None = None, advance: bool = True, errors: str | None = None) -> DataFrame:
     """Landed pages of one window into their dataset; returns the row for the ingestion log.
 
-    Seen rows are those that survive normalisation; written ones were absent before. A failure is
-    recorded, not raised; its text and window also fit ``state.error_log``.
+    Seen rows are those that survive normalisation; written ones were absent before. ``state_json`` has the time of the
+    latest record (the window's start without any), ``details`` that and whether the run moves the cursor. A failure is
+    recorded, not raised; ``errors`` (a folder) gets a row with its text and window.
     """
     spark = pages.sparkSession
-    seen, written, deduped, status, error = 0, 0, 0, "success", None
+    done, status, error = store.Written(), "success", None
     try:
         rows = normalized_stream(pages, entity, run_id, page)
-        done = store.insert_into(rows, path, KEYS[entity], arrival_order(rows, entity), buckets)
-        seen, written, deduped = done.rows_seen, done.rows_written, done.rows_deduped
+        done = store.insert_into(rows, path, KEYS[entity], arrival_order(rows, entity), buckets, top=TIME[entity])
     except Exception as problem:  # noqa: BLE001 - the run log must show every failure
-        seen, written, deduped, status, error = 0, 0, 0, "failed", str(problem)
-    row = [(run_id, entity, ENTITIES[entity]["source"], status, seen, written, deduped, error)]
+        status, error = "failed", str(problem)
+        _log_error(spark, errors, run_id, entity, "sync_entity_window", error, window_start=window[0], window_end=window[1])
+    row = [(run_id, entity, ENTITIES[entity]["source"], status, done.rows_seen, done.rows_written, done.rows_deduped, error)]
     log = spark.createDataFrame(row, "run_id string, entity_type string, source string, status string, rows_seen bigint, "
                                      "rows_written bigint, rows_deduped bigint, error_message string")
     start, end, now = (as_instant(x).cast("timestamp_ntz") for x in (*window, as_of))
+    latest = format_iso_utc(F.lit(done.top).cast("timestamp") if done.top is not None else as_instant(window[0]))
+    facts = F.struct(F.lit(advance).alias("advance_cursor"), latest.alias("last_record_ts")) if status == "success" \
+        else F.struct(F.lit(advance).alias("advance_cursor"))
     return log.withColumns({"window_start": start, "window_end": end, "started_at": now, "finished_at": now,
-                            "pipeline_name": F.concat("entity_type", F.lit("_incremental"))})
+                            "pipeline_name": F.concat("entity_type", F.lit("_incremental")), "details": F.to_json(facts),
+                            "state_json": F.to_json(F.struct(latest.alias("last_record_ts")))})
 
 
 def _loaded(spark: SparkSession, path: str) -> DataFrame | None:
@@ -196,9 +214,10 @@ def run_log(spark: SparkSession, log: str) -> DataFrame:
 
 
 def sync_incremental(pages: DataFrame, entity: str, landed: str, path: str, cursors: str, run_id: str, as_of: str,
-                     page: str = "value") -> DataFrame:
+                     page: str = "value", advance: bool = True, errors: str | None = None) -> DataFrame:
     """One incremental run of an entity: its window by the stored cursor, the pages that landed in it, the load, and
-    the cursor moved on if that succeeded. Returns the row for the ingestion log.
+    the cursor moved on if that succeeded and the run is one that ``advance``s it (a backfill is not). Returns the row for
+    the ingestion log.
 
     ``landed`` is the pages' time column, ``cursors`` the dataset of cursor rows.
     """
@@ -210,8 +229,8 @@ def sync_incremental(pages: DataFrame, entity: str, landed: str, path: str, curs
         at.select("pipeline_name", "last_cursor_at"), "pipeline_name", "left")
     window = cursor_window(mine, as_of).select(F.col("window_from").cast("string"), F.col("window_until").cast("string")).first()
     inside = scan_range(pages, landed, *window).drop(landed)
-    done = ingest_pages(inside, entity, path, run_id, tuple(window), as_of, page)
-    if done.collect()[0]["status"] == "success":
+    done = ingest_pages(inside, entity, path, run_id, tuple(window), as_of, page, advance=advance, errors=errors)
+    if advance and done.collect()[0]["status"] == "success":
         moved = ST.upsert_cursor(spark.createDataFrame([], CURSORS), done)
         store.replace_into(moved, cursors, ["pipeline_name"], ["last_success_at"], 1)
     return done

@@ -143,7 +143,8 @@ def upsert_cursor(state: DataFrame, runs: DataFrame, advance: bool = True) -> Da
         "pipeline_name", "r.entity_type", F.col("r.window_end").alias("last_cursor_at"),
         F.col("r.window_start").alias("last_window_start"), F.col("r.window_end").alias("last_window_end"),
         F.col("r.run_id").alias("last_run_id"), F.col("r.finished_at").alias("last_success_at"),
-        F.col("r.rows_seen").alias("rows_seen_last_run"), F.col("r.rows_written").alias("rows_written_last_run"))
+        F.col("r.rows_seen").alias("rows_seen_last_run"), F.col("r.rows_written").alias("rows_written_last_run"),
+        *[F.col("r.state_json").alias("state_json")] * ("state_json" in state.columns and "state_json" in runs.columns))
     return merge_replace(state, rows, ["pipeline_name"], ["last_success_at"])
 
 
