@@ -16,9 +16,9 @@ def blank(c: Column | str) -> Column:
 
 def reconcile_counts(source: DataFrame, target: DataFrame, by: list[str]) -> DataFrame:
     """Row counts of source and target per group. Counts are summed before the shuffle."""
-    tagged = source.select(*by, F.lit(1).alias("s"), F.lit(0).alias("t")).unionAll(
-        target.select(*by, F.lit(0).alias("s"), F.lit(1).alias("t")))
-    counts = tagged.groupBy(*by).agg(F.sum("s").alias("source_count"), F.sum("t").alias("target_count"))
+    tagged = source.select(*by, F.lit(1).alias("_in_source"), F.lit(0).alias("_in_target")).unionAll(
+        target.select(*by, F.lit(0).alias("_in_source"), F.lit(1).alias("_in_target")))
+    counts = tagged.groupBy(*by).agg(F.sum("_in_source").alias("source_count"), F.sum("_in_target").alias("target_count"))
     return counts.withColumns({
         "difference": F.col("source_count") - F.col("target_count"),
         "count_match": F.col("source_count") == F.col("target_count")})
@@ -29,10 +29,10 @@ def reconcile_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
 
     A tagged union and one aggregate: repeated keys collapse in the map tasks, and there is no join.
     """
-    tagged = source.select(*keys, F.lit(1).alias("s"), F.lit(0).alias("t")).unionAll(
-        target.select(*keys, F.lit(0).alias("s"), F.lit(1).alias("t")))
-    sides = tagged.groupBy(*keys).agg(F.max("s").alias("s"), F.max("t").alias("t")).where("s <> t")
-    return sides.select(*keys, F.when(F.col("s") == 1, "missing").otherwise("extra").alias("finding"))
+    tagged = source.select(*keys, F.lit(1).alias("_in_source"), F.lit(0).alias("_in_target")).unionAll(
+        target.select(*keys, F.lit(0).alias("_in_source"), F.lit(1).alias("_in_target")))
+    sides = tagged.groupBy(*keys).agg(F.max("_in_source").alias("_in_source"), F.max("_in_target").alias("_in_target")).where("_in_source <> _in_target")
+    return sides.select(*keys, F.when(F.col("_in_source") == 1, "missing").otherwise("extra").alias("finding"))
 
 
 def orphans(statuses: DataFrame, messages: DataFrame, key: str = "turn_message_id") -> DataFrame:
