@@ -157,3 +157,26 @@ def test_months_are_replaced_and_removed(spark, fresh):
     published.refresh_months(days(("2024-02-02", 5)), path, days(("2024-02-07", 0), ("2024-03-09", 0)))
     assert sorted(r.n for r in published.read_months(spark, path).collect()) == [1, 2, 5]
     assert [r.n for r in published.read_months(spark, path, 1).collect()] == [5]
+
+
+@pytest.mark.parametrize("write", [store.insert_into, store.replace_into])
+def test_a_table_that_outgrows_its_buckets_gets_more(spark, fresh, monkeypatch, write):
+    """The rows of a bucket, which one task holds, do not grow with the table."""
+    monkeypatch.setattr(store, "ROWS_A_BUCKET", 10)
+    path = fresh("grown")
+    for most in (100, 300, 700):
+        write(batch(spark, range(most), most), path, KEYS, ORDER, 2)
+        at = store.version(spark, path)
+        assert sum(at.rows.values()) <= 2 * 10 * at.buckets and at.buckets < most
+        assert [i for i, _ in content(spark, path)] == list(range(most))
+    assert store.read_target(spark, path).where("n = 700").count() == (400 if write is store.insert_into else 700)
+
+
+def test_buckets_of_the_counts_of_a_view_follow_its_rows(spark, tables, monkeypatch):
+    from tidemerge.queries import QUERIES
+    made, add = [], store.replace_into
+    monkeypatch.setattr(store, "replace_into", lambda *a: made.append(a[4]) or add(*a))
+    monkeypatch.setattr(store, "ROWS_A_BUCKET", 500)
+    for name in ("view_funnel_by_changes", "view_volume_by_changes"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert made == [16, None, 8, None, None] and store.buckets_for(500 * 1000) == 1024

@@ -4,7 +4,8 @@ The rows of a dataset lie in one table bucketed by the key, so a merge shuffles
 appends its rows under a generation number of its own and then publishes a pointer that lists the generations readers
 use: they see it whole or not at all, and rows that a dead write left are never listed. An insert adds keys that were
 absent. An update adds the new rows of the keys it touches, and readers take the newest generation of each key; both
-need no shuffle either. When generations outgrow the rows below them, they are rewritten as one in a new folder.
+need no shuffle either. When generations outgrow the rows below them, they are rewritten as one in a new folder; a table
+that outgrows its buckets is rewritten with more of them, so the rows that one task holds stay bounded.
 
 Figures are observed in the pass that writes: batches are folded to one row per key with a count, so the observation
 stands in the last stage, whose tasks count once also when executors are lost. One writer at a time changes a dataset.
@@ -27,6 +28,9 @@ from tidemerge.sources import files
 
 GENERATION = "_generation"
 DEFAULT_BUCKETS = 64
+#: Rows that a bucket is made for; a table with more than twice as many is rewritten with more buckets.
+ROWS_A_BUCKET = 1 << 18
+LEAST_BUCKETS = 8
 #: Generations, whatever their size, that are rewritten as one.
 MOST_GENERATIONS = 64
 
@@ -46,6 +50,7 @@ class Version:
     schema: T.StructType
     rows: dict[int, int]  # of each listed generation
     overriding: bool  # some key stands in more than one of them
+    first_buckets: int = 0  # those it was made with, before it outgrew them
 
 
 @dataclass(frozen=True)
@@ -62,19 +67,24 @@ class Written:
         return max(self.rows_seen - self.rows_written, 0)
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets for a dataset of about so many rows: a power of two."""
+    return max(LEAST_BUCKETS, 1 << max(0, -(-rows // ROWS_A_BUCKET) - 1).bit_length())
+
+
 def version(spark: SparkSession, path: str) -> Version | None:
     """The newest version of a dataset, or None before the first write."""
     number, at = pointer.newest(spark, path)
     if at is None:
         return None
     return Version(number, at["folder"], at["buckets"], at["keys"], T.StructType.fromJson(at["schema"]),
-                   {int(g): n for g, n in at["rows"].items()}, at["overriding"])
+                   {int(g): n for g, n in at["rows"].items()}, at["overriding"], at.get("first_buckets", at["buckets"]))
 
 
 def _publish(spark: SparkSession, path: str, at: Version) -> Version:
     pointer.publish(spark, path, at.number + 1, {
         "folder": at.folder, "buckets": at.buckets, "keys": at.keys, "schema": json.loads(at.schema.json()),
-        "rows": at.rows, "overriding": at.overriding})
+        "rows": at.rows, "overriding": at.overriding, "first_buckets": at.first_buckets})
     return replace(at, number=at.number + 1)
 
 
@@ -140,8 +150,9 @@ def _opened(batch: DataFrame, path: str, keys: list[str], buckets: int | None) -
     at = version(batch.sparkSession, path)
     if at is None:
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in batch.schema])
-        return Version(0, "rows-1", buckets or DEFAULT_BUCKETS, list(keys), schema, {}, False), batch
-    if buckets not in (None, at.buckets) or list(keys) != at.keys:
+        first = buckets or DEFAULT_BUCKETS
+        return Version(0, "rows-1", first, list(keys), schema, {}, False, first), batch
+    if buckets not in (None, at.buckets, at.first_buckets) or list(keys) != at.keys:
         raise ValueError(f"{path} has {at.buckets} buckets by {at.keys}, not {buckets} by {keys}")
     schema, columns = grown(at.schema, batch.schema, keys)
     return replace(at, schema=schema), batch.select(*columns)
@@ -162,10 +173,14 @@ def _append(df: DataFrame, path: str, at: Version, figures: dict, keep: str | No
 def _settled(spark: SparkSession, path: str, at: Version) -> None:
     _publish(spark, path, at)
     first, *later = at.rows.values()
-    if len(at.rows) > MOST_GENERATIONS or sum(later) > max(first, 1) and len(later) > 3:
+    if _outgrown(at) or len(at.rows) > MOST_GENERATIONS or sum(later) > max(first, 1) and len(later) > 3:
         compact(spark, path)
 
 
+def _outgrown(at: Version) -> bool:
+    return sum(at.rows.values()) > 2 * at.buckets * ROWS_A_BUCKET
+
+
 def _keyed(keys: list[str]) -> str:
     return " and ".join(f"`{k}` is not null" for k in keys)
 
@@ -223,15 +238,19 @@ def replace_into(batch: DataFrame, path: str, keys: list[str], order: list[str],
 
 
 def compact(spark: SparkSession, path: str) -> bool:
-    """Rewrites the listed generations as one in a new folder, without a shuffle, and publishes that.
+    """Rewrites the listed generations as one in a new folder and publishes that; without a shuffle, unless the rows have
+    outgrown their buckets and are dealt out to more.
 
     The folder before stays for readers until the next compaction.
     """
     at = version(spark, path)
-    if at is None or len(at.rows) < 2:
+    if at is None or len(at.rows) < 2 and not _outgrown(at):
         return False
-    new = replace(at, folder=f"rows-{at.number + 1}", rows={}, overriding=False)
-    generation, n = _append(_rows(spark, path, at), path, new, {"n": F.count(F.lit(1))})
+    rows, new = _rows(spark, path, at), replace(at, folder=f"rows-{at.number + 1}", rows={}, overriding=False)
+    if _outgrown(at):
+        new = replace(new, buckets=buckets_for(sum(at.rows.values())))
+        rows = rows.repartition(new.buckets, *_quoted(at.keys))
+    generation, n = _append(rows, path, new, {"n": F.count(F.lit(1))})
     _publish(spark, path, replace(new, rows={generation: n["n"] or 0}))
     for name in files.children(spark, path):
         if name.startswith("rows-") and name not in (at.folder, new.folder):

@@ -45,9 +45,12 @@ def _keyed(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def add_counts(changes: DataFrame, path: str, columns: list[str], batch: int, buckets: int | None = None) -> bucketed.Written:
-    """Adds the signed rows of a numbered batch to the counts at ``path``. Batches come in rising order."""
-    net = _keyed(summed(changes, columns), columns)
-    old = bucketed.read_target(changes.sparkSession, path)
+    """Adds the signed rows of a numbered batch to the counts at ``path``. Batches come in rising order.
+
+    What is net of a batch is dealt out to the buckets once; the steps behind it stay in them."""
+    at, old = bucketed.version(changes.sparkSession, path), bucketed.read_target(changes.sparkSession, path)
+    dealt = at.buckets if at is not None else buckets or bucketed.DEFAULT_BUCKETS
+    net = _keyed(summed(changes, columns), columns).repartition(dealt, _KEY)
     if old is not None:
         held = old.select(_KEY, F.col("n").alias("_n"), F.col("batch").alias("_batch"))
         net = held.join(net, _KEY, "right").where(F.coalesce("_batch", F.lit(-1)) < batch).withColumn("n", F.col("n") + F.coalesce("_n", F.lit(0)))

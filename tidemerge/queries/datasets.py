@@ -17,7 +17,7 @@ _KEYS, _ORDER = SI.MERGE_KEYS, SI.MERGE_ORDER
     WHERE rf = 1 AND NOT EXISTS (SELECT 1 FROM s_target t WHERE t.message_id = b.message_id AND t.seq = b.seq)""")
 def _(t):
     path = work_path(t.spark, "twice")
-    store.insert_into(SI.merge_target(t), path, _KEYS, _ORDER, 8)
+    store.insert_into(SI.merge_target(t), path, _KEYS, _ORDER, store.buckets_for(t.lineitem.count()))
     for _ in range(2):
         store.insert_into(SI.merge_batch(t), path, _KEYS, _ORDER)
     return store.read_target(t.spark, path)
@@ -30,7 +30,7 @@ def _(t):
           FROM s_batch_ranked b)""")
 def _(t):
     path = work_path(t.spark, "figures")
-    store.insert_into(SI.merge_target(t), path, _KEYS, _ORDER, 8)
+    store.insert_into(SI.merge_target(t), path, _KEYS, _ORDER, store.buckets_for(t.lineitem.count()))
     done = store.insert_into(SI.merge_batch(t), path, _KEYS, _ORDER)
     return t.spark.createDataFrame([(done.rows_seen, done.rows_written, done.rows_deduped)],
                                    "rows_seen bigint, rows_written bigint, rows_deduped bigint")
@@ -44,7 +44,7 @@ def _(t):
     LEFT JOIN (SELECT * FROM s_batch_ranked WHERE rf = 1) b1 ON b1.message_id = b.message_id AND b1.seq = b.seq""")
 def _(t):
     path = work_path(t.spark, "update")
-    store.insert_into(SI.merge_target(t), path, _KEYS, _ORDER, 8)
+    store.insert_into(SI.merge_target(t), path, _KEYS, _ORDER, store.buckets_for(t.lineitem.count()))
     store.update_into(SI.merge_batch(t).where("amount < 0"), path, _KEYS, ["status"], _ORDER)
     store.update_into(SI.merge_batch(t), path, _KEYS, ["status"], _ORDER)
     return store.read_target(t.spark, path)
@@ -57,7 +57,7 @@ def _(t):
     path = work_path(t.spark, "growth")
     first = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("n"))
     more = t.part.select((-1 - F.col("p_partkey")).alias("id"), (F.col("p_partkey") * 4000000).alias("n"), F.col("p_brand").alias("extra"))
-    store.insert_into(first, path, ["id"], ["n"], 8)
+    store.insert_into(first, path, ["id"], ["n"], store.buckets_for(first.count() + more.count()))
     store.insert_into(more, path, ["id"], ["n", "extra"])
     return store.read_target(t.spark, path)
 
@@ -71,7 +71,8 @@ def _resumed(t):
     source = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     third = F.year("o_orderdate") == 1997
     broken = source.withColumn("o_orderstatus", F.when(third, F.raise_error(F.lit("broken row"))).otherwise(F.col("o_orderstatus")))
-    runs = [jobs.sync_table(rows, path, entry, chunks, "run-1", "2024-01-01", 8) for rows in (broken, source)]
+    buckets = store.buckets_for(source.count())
+    runs = [jobs.sync_table(rows, path, entry, chunks, "run-1", "2024-01-01", buckets) for rows in (broken, source)]
     return path, runs
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemerge.operators.bucketed import read_target
+from tidemerge.operators.bucketed import buckets_for, read_target
 from tidemerge.queries import stand_ins as SI
 from tidemerge.queries.base import INPUT_TABLES, query, stamp_sql
 from tidemerge.queries.normalized import _STATUS_TIME
@@ -32,7 +32,7 @@ def _(t):
     pages = SI.status_pages(_EventStream(t))
     twice = pages.unionAll(SI.status_pages(_EventStream(t)))  # overlapping reads deliver everything again
     path = work_path(t.spark, "statuses")
-    ingest_stream(twice, "statuses", path, work_path(t.spark, "checkpoint"), "run-1", buckets=8,
+    ingest_stream(twice, "statuses", path, work_path(t.spark, "checkpoint"), "run-1", buckets=buckets_for(t.events.count()),
                   tasks=t.spark.sparkContext.defaultParallelism)
     return read_target(t.spark, path).select("turn_message_id", "status_timestamp", "status")
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemerge.operators import increments as I
 from tidemerge.operators import views as V
+from tidemerge.operators.bucketed import buckets_for
 from tidemerge.operators.state import upsert_cursor
 from tidemerge.operators.published import read_months, refresh_months
 from tidemerge.queries import stand_ins as SI
@@ -184,7 +185,7 @@ def _(t):
     """Outbound messages, then the inbound ones, then a batch that retypes these; the view reads its counts alone."""
     path, messages = work_path(t.spark, "counts"), SI.messages(t)
     inbound = messages.where("direction = 'inbound'")
-    I.add_counts(I.signed(I.volume_rows(messages.where("not (direction <=> 'inbound')"))), path, I.VOLUME, 1, 8)
+    I.add_counts(I.signed(I.volume_rows(messages.where("not (direction <=> 'inbound')"))), path, I.VOLUME, 1, buckets_for(messages.count()))
     I.add_counts(I.signed(I.volume_rows(inbound)), path, I.VOLUME, 2)
     retyped = inbound.withColumn("message_type", F.lit("changed"))
     I.add_counts(I.signed(I.volume_rows(retyped), I.volume_rows(inbound)), path, I.VOLUME, 3)
@@ -203,7 +204,7 @@ def _(t):
     path, statuses = work_path(t.spark, "funnel"), SI.statuses(t)
     early, late = statuses.where("status in ('sent', 'failed')"), statuses.where("status not in ('sent', 'failed')")
     failed = early.where("status = 'failed'")
-    I.add_counts(I.signed(I.funnel_rows(early)), path, I.FUNNEL, 1, 8)
+    I.add_counts(I.signed(I.funnel_rows(early)), path, I.FUNNEL, 1, buckets_for(statuses.count()))
     I.add_counts(I.signed(I.funnel_rows(late.unionByName(failed)), I.funnel_rows(failed)), path, I.FUNNEL, 2)
     return I.status_daily(I.counts(t.spark, path))
 
