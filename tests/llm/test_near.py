@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from cases import docs, empty
 
 from tidemerge.llm import near
@@ -70,3 +71,50 @@ def test_awkward_rows(spark):
     assert near.first_of_each(empty(spark)).count() == 0
     rows = [(1, "A b c", "en", "a", 5), (1, "a  b c", "en", "a", 5), (None, "a b c", "en", "a", 5), (None, "x", "en", "a", 1), (None, "X", "en", "a", 1)]
     assert sorted(r.text for r in near.first_of_each(docs(spark, rows)).collect()) == ["A b c", "X"]
+
+
+def pairs_of_votes(r, both, one, other, n=40):
+    """Votes of pairs of random sets with ``both`` shingles in common."""
+    def draw(k):
+        return r.integers(0, 1 << 63, k).astype(np.uint64)
+
+    shared = [draw(both) for _ in range(n)]
+    return [np.array([near.votes(np.concatenate([s, draw(k)])) for s in shared]) for k in (one, other)]
+
+
+def test_votes_are_those_of_a_simhash():
+    hashes = near.shingles(" ".join(f"w{i}" for i in range(700)))
+    words = near.mixed((hashes[:, None] ^ near.SEEDS) * np.uint64(0x9E3779B97F4A7C15))
+    plain = [sum(1 if b else -1 for b in column) for column in np.unpackbits(words.view(np.uint8), axis=1).T]
+    assert near.votes(hashes).tolist() == plain and len(hashes) > near.AT_A_TIME
+    print_ = near.prints(near.votes(hashes)[None])[0].tobytes()
+    assert "".join(f"{b:08b}" for b in print_) == "".join("01"[v > 0] for v in plain[:64 * near.PRINT_WORDS])
+
+
+def test_a_home_is_the_nearest_word_of_the_code():
+    code = np.concatenate([near.WORDS.T, -near.WORDS.T])
+    assert {int(d) for d in ((code[0] != code[1:]).sum(axis=1))} == {64, 128}  # first-order Reed-Muller
+    voted = np.array([near.votes(near.shingles(" ".join(f"{k}-{i}" for i in range(60)))) for k in range(5)])
+    found = near.homes(voted, np.full(5, 56))
+    for row, t in ((0, 0), (3, 7), (4, near.TABLES - 1)):
+        number = int(found[row, t])
+        for piece in range(near.PIECES)[::-1]:
+            at = near.TAKEN[t].reshape(near.PIECES, -1)[piece]
+            signs = near.SIGNS[t].reshape(near.PIECES, -1)[piece]
+            fits = near.WORDS.T @ (voted[row, at] * signs)
+            word = number % 256
+            assert abs(fits[word // 2]) >= abs(fits).max() * 0.9999 and (fits[word // 2] > 0) == word % 2
+            number //= 256
+
+
+def test_sets_of_similarity_0_8_meet_and_unrelated_ones_do_not():
+    r = np.random.default_rng(2)
+    for both, one, other in ((4, 1, 0), (8, 2, 0), (20, 3, 2), (80, 10, 10), (400, 0, 100)):
+        a, b = pairs_of_votes(r, both, one, other)
+        same = near.homes(a, np.full(len(a), both + one)) == near.homes(b, np.full(len(b), both + other))
+        assert same.any(axis=1).all() and same.mean() > 0.045
+        differ = np.bitwise_count((near.prints(a) ^ near.prints(b)).view(np.uint64)).sum(axis=1)
+        assert differ.max() <= near.MOST_DIFFERENT
+    a, b = pairs_of_votes(r, 2, 100, 100)
+    assert (near.homes(a, np.full(len(a), 102)) == near.homes(b, np.full(len(b), 102))).sum() <= 1
+    assert np.bitwise_count((near.prints(a) ^ near.prints(b)).view(np.uint64)).sum(axis=1).min() > near.MOST_DIFFERENT

@@ -1,9 +1,17 @@
-"""Near copies by exact Jaccard similarity of word shingles, found by banded minhashes.
+"""Near copies by SimHash: anchors of a covering code propose pairs, the exact Jaccard similarity confirms them.
 
 A text is the set of its five-word shingles; two texts are linked if the sets' Jaccard similarity is 0.8 or more. The
-least values of ``BANDS * ROWS`` hash functions over a set are put together by ``ROWS`` to the keys of ``BANDS``
-buckets. Sets of similarity s share a bucket with probability 1 - (1 - s ** ROWS) ** BANDS: all but about one in 80,000
-pairs of 0.8, fewer of closer ones. Pairs that share a bucket are confirmed by the exact similarity of their sets.
+SimHash of a set has ``BITS`` bits: the shingles' hashes vote, and a bit is set if over half of them have it set. Op10
+links by three of 64 bits; at a similarity of 0.8 about 15 % of the bits differ, so no bound on 64 bits covers these
+pairs and leaves unrelated ones out. Here ``TABLES`` tables take ``PIECES`` pieces of the fingerprint each. As in op10 a
+piece goes to its home, the nearest word of a code: the first-order Reed-Muller code, 256 words of 128 bits, found by a
+Hadamard transform. Bits count by their margin of votes, as those near half are the ones that differ between near copies.
+
+Sets that share the homes of all pieces of a table meet: two sets of similarity 0.8 in about one table of 15, so all but
+one to seven in 100,000 such pairs meet in some table, and fewer of closer ones are missed. A table also parts sets by
+size (steps of ``SIZE_STEP``, shifted from table to table). Of the pairs that meet, those stay whose sizes allow the
+similarity and whose fingerprints differ in at most ``MOST_DIFFERENT`` of the first 256 bits; these are confirmed by the
+exact similarity of their sets.
 
 Equal sets are one row before they go into buckets. In each bucket all sets are first compared with its smallest, so a
 group of near copies costs about one pair for each of its sets and bucket; then, with what was linked so taken as one,
@@ -12,28 +20,47 @@ the sets of a bucket that are still apart are compared with one another.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tidemerge.llm.base import stored
 from tidemerge.llm.components import components
 from tidemerge.llm.lm import mixed
+from tidemerge.operators.merge import key_filter
 
 SHINGLE_WORDS = 5
 SIMILARITY = Fraction(4, 5)
-BANDS, ROWS = 48, 7
-AT_A_TIME = 512
+BITS, TABLES, PIECES, PIECE_BITS = 1024, 160, 3, 128
+SIZE_STEP = 4
+PRINT_WORDS, MOST_DIFFERENT = 4, 88
+PRINT = [f"_print{i}" for i in range(PRINT_WORDS)]
+#: Rows of votes that a byte can count.
+AT_A_TIME = 255
+SETS_AT_A_TIME = 64
 HELD_SETS = 64
 _random = np.random.default_rng(10)
-FACTORS = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint32) | np.uint32(1)
-ADDED = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
+SEEDS = _random.integers(0, 1 << 64, BITS // 64, np.uint64) | np.uint64(1)
+TAKEN = np.array([_random.permutation(BITS)[:PIECES * PIECE_BITS] for _ in range(TABLES)])
+#: Signs turn the code from table to table; the unequal weights keep ties of small sets from falling to the same words.
+SIGNS = (_random.choice([-1.0, 1.0], TAKEN.shape) * _random.uniform(0.8, 1.2, TAKEN.shape)).astype(np.float32)
+SHIFTS = _random.random(TABLES)
+
+
+def _hadamard(size: int) -> np.ndarray:
+    """The words of the code of ``size`` bits as signs; their complements are words too."""
+    return reduce(lambda h, _: np.block([[h, h], [h, -h]]), range(int(math.log2(size))), np.ones((1, 1), np.float32))
+
+
+WORDS = _hadamard(PIECE_BITS)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -52,22 +79,33 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter(hashed, np.uint64, len(last)))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """The least value of each hash function over a set that is not empty."""
-    upper, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(upper), AT_A_TIME):
-        np.minimum(least, (upper[at:at + AT_A_TIME, None] * FACTORS + ADDED).min(axis=0), out=least)
-    return least
+def votes(hashes: np.ndarray) -> np.ndarray:
+    """Of each bit of the fingerprint, the shingles that have it set less those that have not."""
+    set_ = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), AT_A_TIME):
+        words = mixed((hashes[at:at + AT_A_TIME, None] ^ SEEDS) * np.uint64(0x9E3779B97F4A7C15))
+        set_ += np.unpackbits(words.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return 2 * set_ - len(hashes)
+
 
+def prints(voted: np.ndarray) -> np.ndarray:
+    """The first bits of the fingerprints of rows of votes, in words of 64."""
+    return np.packbits(voted[:, :64 * PRINT_WORDS] > 0, axis=1).view(np.int64)
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """The buckets of a set; none for an empty set."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    rows, keys = signature(hashes).reshape(BANDS, ROWS).astype(np.uint64), np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
-        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, i] + np.uint64(1))
-    return keys.view(np.int64)
+
+def homes(voted: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For rows of votes of sets that are not empty: in each table the homes of all pieces and the step of size, as one number."""
+    out, weights = np.empty((len(voted), TABLES), np.int32), voted.astype(np.float32)
+    steps = np.log(np.maximum(sizes, 1)) / math.log(SIZE_STEP)
+    for t in range(TABLES):
+        near = (weights[:, TAKEN[t]] * SIGNS[t]).reshape(-1, PIECE_BITS) @ WORDS
+        best = np.abs(near).argmax(axis=1)
+        word = (best * 2 + (near[np.arange(len(near)), best] > 0)).reshape(-1, PIECES)
+        number = (steps + SHIFTS[t]).astype(np.int32)
+        for piece in range(PIECES):
+            number = number * (2 * PIECE_BITS) + word[:, piece]
+        out[:, t] = number
+    return out
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -90,60 +128,77 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
-def _candidates(pairs: DataFrame) -> DataFrame:
-    """``a, b`` of pairs (a, b, n_a, n_b) whose sizes allow the similarity."""
+def _candidates(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b`` of pairs (a, b) of ``sets`` whose sizes and fingerprints allow the similarity."""
+    def of(side: str) -> DataFrame:
+        return sets.select(F.col("_node").alias(side), F.col("_n").alias(f"n_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in PRINT])
+
     fits = (F.least("n_a", "n_b") * SIMILARITY.denominator >= F.greatest("n_a", "n_b") * SIMILARITY.numerator)
-    return pairs.where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    different = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in PRINT)
+    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return once.join(of("a"), "a").join(of("b"), "b").where(fits & (different <= MOST_DIFFERENT)).select("a", "b")
+
+
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` joined to ``wanted`` by ``_row``; most others fall out before they are shuffled."""
+    held = key_filter(wanted, ["_row"], wanted.count())
+    return (rows if held is None else rows.where(held(["_row"]))).join(wanted, "_row")
 
 
 def marked_rows(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with ``_row``, and of its text's set the number ``_node`` (zero for the empty one), the size ``_n`` and
-    the buckets ``_keys``; written once."""
+    """``docs`` with ``_row``, and of its text's set the number ``_node`` (zero for the empty one), the size ``_n``, the
+    first bits of the fingerprint and the homes ``_homes`` by table (none for the empty one); written once."""
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     at = rows.columns.index(text)
+    names = [*rows.columns, "_node", "_n", *PRINT, "_homes"]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(at)]
-            nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) if len(s) else 0 for s in sets], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(nodes.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))], [*batch.schema.names, "_node", "_n", "_keys"])
-
-    schema = StructType([*rows.schema.fields, StructField("_node", LongType()), StructField("_n", LongType()),
-                         StructField("_keys", ArrayType(LongType()))])
+        for whole in batches:
+            for start in range(0, len(whole), SETS_AT_A_TIME):
+                batch = whole.slice(start, SETS_AT_A_TIME)
+                sets = [shingles(t.as_py()) for t in batch.column(at)]
+                sizes = np.array([len(s) for s in sets], np.int64)
+                nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) if len(s) else 0 for s in sets], np.uint64)
+                voted = np.array([votes(s) for s in sets])
+                some, at_home = sizes > 0, homes(voted, sizes)
+                ends = np.concatenate(([0], np.cumsum(some) * TABLES)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(at_home[some].reshape(-1)))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(nodes.view(np.int64)), pa.array(sizes), *map(pa.array, prints(voted).T.copy()), lists], names)
+
+    schema = StructType([*rows.schema.fields, *[StructField(c, LongType()) for c in ("_node", "_n", *PRINT)],
+                         StructField("_homes", ArrayType(IntegerType()))])
     return stored(rows.mapInArrow(mark, schema), "near-rows")
 
 
 def links(marked: DataFrame, text: str) -> DataFrame:
     """``a, b``: linked pairs of the sets of ``marked``."""
-    classes = stored(marked.where("_n > 0").groupBy("_node").agg(F.min("_row").alias("_row")), "sets")
+    sets = stored(marked.where("_n > 0").groupBy("_node").agg(F.min("_row").alias("_row"), *[F.min(c).alias(c) for c in ("_n", *PRINT)]), "sets")
     # one shuffle, read by the aggregate and by the join
-    spread = (marked.select("_row", "_n", "_keys").join(classes, "_row")
-              .select(F.explode("_keys").alias("key"), F.col("_node").alias("node"), F.col("_n").alias("n")).repartition("key"))
-    heads = (spread.groupBy("key").agg(F.min(F.struct(F.col("node").alias("a"), F.col("n").alias("n_a"))).alias("head"),
-                                       F.count("*").alias("sets")).where("sets > 1").select("key", "head.a", "head.n_a"))
+    spread = (marked.select("_row", "_homes").join(sets.select("_row", "_node"), "_row")
+              .select(F.posexplode("_homes").alias("table", "home"), F.col("_node").alias("node"))
+              .select((F.shiftleft(F.col("table").cast("long"), 32) + F.col("home")).alias("key"), "node").repartition("key"))
+    heads = spread.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("sets")).where("sets > 1").select("key", "a")
     shared = stored(spread.join(heads, "key"), "buckets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
-        texts = stored(marked.select("_row", F.col(text).alias("text")).join(classes.join(nodes, "_node"), "_row")
-                       .select("_node", "text"), "texts")
+        rows = stored(sets.select("_row", "_node").join(nodes, "_node"), "nodes")
+        texts = stored(_only(marked.select("_row", F.col(text).alias("text")), rows).select("_node", "text"), "texts")
         both = (pairs.join(texts.select(F.col("_node").alias("a"), F.col("text").alias("text_a")), "a")
                 .join(texts.select(F.col("_node").alias("b"), F.col("text").alias("text_b")), "b"))
         return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "a long, b long"), "near")
 
-    with_head = shared.where("a <> node").select("a", "n_a", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    first = stored(_candidates(with_head), "pairs")
+    first = stored(_candidates(shared.where("a <> node").select("a", F.col("node").alias("b")), sets), "pairs")
     found = confirmed(first)
     roots = components(found).select(F.col("node").alias("of"), "root")
     placed = (shared.join(roots, F.col("node") == F.col("of"), "left")
-              .select("key", "node", "n", F.coalesce("root", "node").alias("root")))
+              .select("key", "node", F.coalesce("root", "node").alias("root")))
     several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     apart = stored(placed.join(several, "key"), "apart")
-    x = apart.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    y = apart.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    more = _candidates(x.join(y, "key").where("root_a < root_b")).join(first, ["a", "b"], "left_anti")
+    x = apart.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
+    y = apart.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    more = _candidates(x.join(y, "key").where("root_a < root_b"), sets).join(first, ["a", "b"], "left_anti")
     return found.union(confirmed(stored(more, "pairs")))
 
 
@@ -160,8 +215,8 @@ def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     lowest = placed.groupBy("root").agg(F.min("id").alias("low"))  # null only where all ids are
     firsts = placed.join(lowest, "root").where("id <=> low").select("root", "_row")
     counted = stored(firsts.groupBy("root").agg(F.count("*").alias("rows"), F.min("_row").alias("_row")), "firsts")
-    tied = firsts.join(counted.where("rows > 1").select("root"), "root")
-    by_text = (marked.select("_row", F.col(text).alias("text")).join(tied, "_row").groupBy("root")
+    tied = stored(firsts.join(counted.where("rows > 1").select("root"), "root"), "tied")
+    by_text = (_only(marked.select("_row", F.col(text).alias("text")), tied).groupBy("root")
                .agg(F.min(F.struct(F.col("text").isNotNull().alias("some"), "text", "_row"))["_row"].alias("_row")))
     kept = stored(counted.where("rows = 1").select("_row").union(by_text.select("_row")), "kept")
     # the same plan at every size: a broadcast of many rows would be built on the driver
