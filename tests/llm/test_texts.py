@@ -112,6 +112,25 @@ def test_fold_in_spark_equals_the_merge(spark, reference):
     assert {r.word: r.ids for r in got} == {w: bpe.merge(w.encode(), ranks) for w in words}
 
 
+def test_plans_of_an_encoding_stay_short(spark, reference, monkeypatch):
+    ranks, _ = reference
+    rows = docs(spark)
+    plans, plain, key = [], type(rows).toArrow, "spark.sql.maxPlanStringLength"
+
+    def noted(df):
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(1 << 30))
+        plans.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
+        spark.conf.set(key, before)
+        return plain(df)
+
+    monkeypatch.setattr(type(rows), "toArrow", noted)
+    out = bpe.encode(rows, bpe.vocabulary_path()).collect()
+    assert plans and max(plans) < 20_000
+    for r in out:
+        assert r.ids == [i for w in bpe.split(r.text or "") for i in bpe.merge(w.encode(), ranks)]
+
+
 def test_words_beyond_the_broadcast_table(spark, reference, monkeypatch):
     monkeypatch.setattr(bpe, "VOCABULARY", 3)
     _, enc = reference

@@ -2,8 +2,8 @@
 
 The words of the whole corpus (matches of the split pattern) are counted, and the most frequent ones, at most
 ``VOCABULARY``, are encoded once each in Spark: a higher-order function folds over the word's bytes and joins, step by
-step, the adjacent pair of lowest rank, found in a literal map of ranks. Their ids are broadcast. A task encodes a
-document by looking its words up. Words beyond the broadcast table, and those longer than ``FOLD_BYTES``, are merged in
+step, the adjacent pair of lowest rank, found in a map of ranks that is one broadcast row. Their ids are broadcast. A task
+encodes a document by looking its words up. Words beyond the broadcast table, and those longer than ``FOLD_BYTES``, are merged in
 the task by the same rule, so every word has its exact ids whatever its frequency.
 
 A word that is itself in the rank table is one token. Ties of rank go to the leftmost pair.
@@ -30,9 +30,11 @@ from tidemerge.llm.base import in_chunks, query, stored, table
 
 VOCABULARY = 1 << 16
 FOLD_BYTES = 24
+FOLD_GROUPS, FOLD_TASKS = 256, 32
 CACHED_WORDS = 60_000
 CHUNK_BYTES = 4 << 20
 INDEX = 1 << 15
+SLOTS = "array<map<string,int>>"
 #: Spark's xxhash64 of a string.
 HASH_SEED = 42
 
@@ -131,13 +133,18 @@ class Words(dict):
         return found
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """Ranks by upper-case hex, as a literal of slots of maps."""
+def _slots(ranks: dict[bytes, int]) -> str:
+    """Ranks by upper-case hex, as JSON of slots of maps."""
     index: list[dict[str, int]] = [{} for _ in range(INDEX)]
     for piece, rank in ranks.items():
         key = piece.hex().upper()
         index[xxhash.xxh64_intdigest(key, HASH_SEED) % INDEX][key] = rank
-    return F.from_json(F.lit(json.dumps(index, separators=(",", ":"))), "array<map<string,int>>")
+    return json.dumps(index, separators=(",", ":"))
+
+
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """Ranks by upper-case hex, as a literal of slots of maps; it stands in the plan wherever it is used."""
+    return F.from_json(F.lit(_slots(ranks)), SLOTS)
 
 
 def folded(word: Column, ranks: Column) -> Column:
@@ -162,6 +169,19 @@ def folded(word: Column, ranks: Column) -> Column:
     return F.when(rank(text).isNotNull(), F.array(rank(text))).otherwise(F.transform(merged, rank))
 
 
+def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``word, ids`` of the column ``word``.
+
+    The ranks are a row that is joined to groups of words. As a literal they would stand in the plan once for each lookup:
+    on the driver as objects, in each task, and as text in what Spark keeps of every query.
+    """
+    slots = words.sparkSession.createDataFrame([(_slots(ranks),)], "slots string")
+    groups = (words.select("word", F.pmod(F.xxhash64("word"), F.lit(FOLD_GROUPS)).alias("g")).repartition(FOLD_TASKS, "g")
+              .groupBy("g").agg(F.collect_list("word").alias("words")))
+    ids = F.transform("words", lambda w: F.struct(w.alias("word"), folded(w, F.col("ranks")).alias("ids")))
+    return groups.crossJoin(F.broadcast(slots.select(F.from_json("slots", SLOTS).alias("ranks")))).select(F.inline(ids))
+
+
 def frequent_words(docs: DataFrame, text: str) -> DataFrame:
     """The most frequent words of all rows: at most ``VOCABULARY``, all above one count."""
     # only which words are in the table depends on this split, never their ids
@@ -185,8 +205,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
     pass. Columns of these names are replaced. ``path`` is the rank file, read by the driver.
     """
     ranks = read_ranks(path)
-    found = frequent_words(docs, text).select("word", folded(F.col("word"), rank_map(ranks)).alias("ids"))
-    found = _with_short_plans(found)
+    found = fold_words(frequent_words(docs, text), ranks).toArrow()
     lists = found["ids"].combine_chunks()
     ids, ends = lists.values.to_numpy().astype(np.int32), lists.offsets.to_numpy()
     known = {w: ids[a:b].tobytes() for w, a, b in zip(found["word"].to_pylist(), ends[:-1], ends[1:], strict=True)}
@@ -215,17 +234,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", ke
     return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(encoded, schema)
 
 
-def _with_short_plans(df: DataFrame) -> pa.Table:
-    """The rows of ``df``; its plan, which holds the rank map, is not written out in full to the event log."""
-    conf, key = df.sparkSession.conf, "spark.sql.maxPlanStringLength"
-    before = conf.get(key)
-    conf.set(key, "20000")
-    try:
-        return df.toArrow()
-    finally:
-        conf.set(key, before)
-
-
 def joined(ids: pa.Array, ends: np.ndarray, pieces: pa.Array) -> pa.Array:
     """The bytes of lists of ids: the pieces of all ids, one after the other, parted at the ends of the lists."""
     taken = pieces.take(ids)
