@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import xxhash
 from cases import docs, empty
 
 from tidemerge.llm import near
@@ -118,3 +119,40 @@ def test_sets_of_similarity_0_8_meet_and_unrelated_ones_do_not():
     a, b = pairs_of_votes(r, 2, 100, 100)
     assert (near.homes(a, np.full(len(a), 102)) == near.homes(b, np.full(len(b), 102))).sum() <= 1
     assert np.bitwise_count((near.prints(a) ^ near.prints(b)).view(np.uint64)).sum(axis=1).min() > near.MOST_DIFFERENT
+
+
+def test_odd_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    r = np.random.default_rng(8)
+    for size in (1, 4, 30, 150, 900, 5000):
+        a = np.unique(r.integers(0, 1 << 64, size, np.uint64))
+        for part in (0, 0.1, 0.5, 1):
+            b = np.unique(np.concatenate((a[int(part * size):], r.integers(0, 1 << 64, int(part * size), np.uint64))))
+            bits = int(np.bitwise_count((near.odd(a) ^ near.odd(b)).view(np.uint64)).sum())
+            assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+    assert not near.odd(np.zeros(0, np.uint64)).any()
+
+
+def test_a_family_of_texts_that_are_not_near_copies_costs_few_comparisons(spark, monkeypatch):
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    family = [" ".join(w if r.random() > 0.03 else f"{w}x{k}" for w in base) for k in range(60)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(family)], "doc_id long, text string")
+    written, plain = [], near.stored
+
+    def counted(df, label):
+        out = plain(df, label)
+        if label == "pairs":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "stored", counted)
+    found = {tuple(sorted(p)) for p in near.links(near.marked_rows(rows, "text"), "text").collect()}
+    sets = [near.shingles(t) for t in family]
+    true = sum(near.similar(sets[i], sets[j]) for i in range(60) for j in range(i))
+    assert sum(written) <= 3 * true + 60 < 60 * 59 / 8
+    node = {int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)): i for i, s in enumerate(sets)}
+    assert all(near.similar(sets[node[a]], sets[node[b]]) for a, b in found)
+    label = list(range(60))
+    for i, j in [(node[a], node[b]) for a, b in found]:
+        label = [label[i] if x == label[j] else x for x in label]
+    assert all(label[i] == label[j] for i in range(60) for j in range(i) if near.similar(sets[i], sets[j]))

@@ -10,12 +10,14 @@ Hadamard transform. Bits count by their margin of votes, as those near half are
 Sets that share the homes of all pieces of a table meet: two sets of similarity 0.8 in about one table of 15, so all but
 one to seven in 100,000 such pairs meet in some table, and fewer of closer ones are missed. A table also parts sets by
 size (steps of ``SIZE_STEP``, shifted from table to table). Of the pairs that meet, those stay whose sizes allow the
-similarity and whose fingerprints differ in at most ``MOST_DIFFERENT`` of the first 256 bits; these are confirmed by the
-exact similarity of their sets.
+similarity, whose fingerprints differ in at most ``MOST_DIFFERENT`` of the first 256 bits, and whose odd sketches allow it;
+these are confirmed by the exact similarity of their sets. An odd sketch has a bit for each residue of the hashes, set if
+an odd number of shingles has it: two sketches differ in no more bits than their sets in shingles, so this loses no pair.
 
 Equal sets are one row before they go into buckets. In each bucket all sets are first compared with its smallest, so a
 group of near copies costs about one pair for each of its sets and bucket; then, with what was linked so taken as one,
-the sets of a bucket that are still apart are compared with one another.
+the sets of a bucket that are still apart are compared with one another. Sizes, fingerprints and sketches stand beside
+the sets of a bucket then, so that the join itself leaves out pairs that are not similar.
 """
 
 from __future__ import annotations
@@ -24,11 +26,12 @@ import math
 from collections.abc import Iterator
 from fractions import Fraction
 from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -43,6 +46,9 @@ BITS, TABLES, PIECES, PIECE_BITS = 1024, 160, 3, 128
 SIZE_STEP = 4
 PRINT_WORDS, MOST_DIFFERENT = 4, 88
 PRINT = [f"_print{i}" for i in range(PRINT_WORDS)]
+ODD_WORDS = 16
+ODD = [f"_odd{i}" for i in range(ODD_WORDS)]
+OF_SET = ["_n", *PRINT, *ODD]
 #: Rows of votes that a byte can count.
 AT_A_TIME = 255
 SETS_AT_A_TIME = 64
@@ -93,6 +99,12 @@ def prints(voted: np.ndarray) -> np.ndarray:
     return np.packbits(voted[:, :64 * PRINT_WORDS] > 0, axis=1).view(np.int64)
 
 
+def odd(hashes: np.ndarray) -> np.ndarray:
+    """The odd sketch of a set, in words of 64."""
+    bits = 64 * ODD_WORDS
+    return np.packbits(np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).view(np.int64)
+
+
 def homes(voted: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """For rows of votes of sets that are not empty: in each table the homes of all pieces and the step of size, as one number."""
     out, weights = np.empty((len(voted), TABLES), np.int32), voted.astype(np.float32)
@@ -128,15 +140,25 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
-def _candidates(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` of pairs (a, b) of ``sets`` whose sizes and fingerprints allow the similarity."""
-    def of(side: str) -> DataFrame:
-        return sets.select(F.col("_node").alias(side), F.col("_n").alias(f"n_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in PRINT])
+def _side(rows: DataFrame, side: str, *keep: str | Column) -> DataFrame:
+    """``rows`` with ``_node`` as ``side`` and what is known of its set under the side's names."""
+    return rows.select(F.col("_node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in OF_SET], *keep)
+
+
+def _allowed() -> Column:
+    """Whether sizes, fingerprints and odd sketches of sides ``a`` and ``b`` allow the similarity."""
+    def different(words: list[str]) -> Column:
+        return reduce(add, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in words])
+
+    x, y, total = SIMILARITY.numerator, SIMILARITY.denominator, F.col("_n_a") + F.col("_n_b")
+    # similar sets differ in at most (1 - s) / (1 + s) of the shingles of both together
+    return ((F.least("_n_a", "_n_b") * y >= F.greatest("_n_a", "_n_b") * x) & (different(PRINT) <= MOST_DIFFERENT)
+            & (different(ODD) * (y + x) <= total * (y - x)))
+
 
-    fits = (F.least("n_a", "n_b") * SIMILARITY.denominator >= F.greatest("n_a", "n_b") * SIMILARITY.numerator)
-    different = sum(F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in PRINT)
-    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return once.join(of("a"), "a").join(of("b"), "b").where(fits & (different <= MOST_DIFFERENT)).select("a", "b")
+def _in_order(pairs: DataFrame) -> DataFrame:
+    """Each pair once, as ``a`` < ``b``."""
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -147,10 +169,10 @@ def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def marked_rows(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``_row``, and of its text's set the number ``_node`` (zero for the empty one), the size ``_n``, the
-    first bits of the fingerprint and the homes ``_homes`` by table (none for the empty one); written once."""
+    first bits of the fingerprint, the odd sketch and the homes ``_homes`` by table (none for the empty one); written once."""
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     at = rows.columns.index(text)
-    names = [*rows.columns, "_node", "_n", *PRINT, "_homes"]
+    names = [*rows.columns, "_node", *OF_SET, "_homes"]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -164,16 +186,17 @@ def marked_rows(docs: DataFrame, text: str) -> DataFrame:
                 ends = np.concatenate(([0], np.cumsum(some) * TABLES)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(at_home[some].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(nodes.view(np.int64)), pa.array(sizes), *map(pa.array, prints(voted).T.copy()), lists], names)
+                    [*batch.columns, pa.array(nodes.view(np.int64)), pa.array(sizes), *map(pa.array, prints(voted).T.copy()),
+                     *map(pa.array, np.array([odd(s) for s in sets]).T.copy()), lists], names)
 
-    schema = StructType([*rows.schema.fields, *[StructField(c, LongType()) for c in ("_node", "_n", *PRINT)],
+    schema = StructType([*rows.schema.fields, *[StructField(c, LongType()) for c in ("_node", *OF_SET)],
                          StructField("_homes", ArrayType(IntegerType()))])
     return stored(rows.mapInArrow(mark, schema), "near-rows")
 
 
 def links(marked: DataFrame, text: str) -> DataFrame:
     """``a, b``: linked pairs of the sets of ``marked``."""
-    sets = stored(marked.where("_n > 0").groupBy("_node").agg(F.min("_row").alias("_row"), *[F.min(c).alias(c) for c in ("_n", *PRINT)]), "sets")
+    sets = stored(marked.where("_n > 0").groupBy("_node").agg(F.min("_row").alias("_row"), *[F.min(c).alias(c) for c in OF_SET]), "sets")
     # one shuffle, read by the aggregate and by the join
     spread = (marked.select("_row", "_homes").join(sets.select("_row", "_node"), "_row")
               .select(F.posexplode("_homes").alias("table", "home"), F.col("_node").alias("node"))
@@ -189,16 +212,18 @@ def links(marked: DataFrame, text: str) -> DataFrame:
                 .join(texts.select(F.col("_node").alias("b"), F.col("text").alias("text_b")), "b"))
         return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "a long, b long"), "near")
 
-    first = stored(_candidates(shared.where("a <> node").select("a", F.col("node").alias("b")), sets), "pairs")
+    met = _in_order(shared.where("a <> node").select("a", F.col("node").alias("b")))
+    first = stored(met.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").where(_allowed()).select("a", "b"), "pairs")
     found = confirmed(first)
     roots = components(found).select(F.col("node").alias("of"), "root")
     placed = (shared.join(roots, F.col("node") == F.col("of"), "left")
               .select("key", "node", F.coalesce("root", "node").alias("root")))
     several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    apart = stored(placed.join(several, "key"), "apart")
-    x = apart.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    y = apart.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    more = _candidates(x.join(y, "key").where("root_a < root_b"), sets).join(first, ["a", "b"], "left_anti")
+    known = sets.select("_node", *OF_SET)
+    apart = stored(placed.join(several, "key").join(known, F.col("node") == F.col("_node")).drop("node"), "apart")
+    x = _side(apart, "a", "key", F.col("root").alias("root_a"))
+    y = _side(apart, "b", "key", F.col("root").alias("root_b"))
+    more = _in_order(x.join(y, "key").where(F.expr("root_a < root_b") & _allowed())).join(first, ["a", "b"], "left_anti")
     return found.union(confirmed(stored(more, "pairs")))
 
 
