@@ -131,7 +131,8 @@ def slots(spark, mixture: list[Share], widths: list[int]) -> DataFrame:
     before = Window.partitionBy("_place").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = (filled.groupBy("_place", "chunk").agg(F.count("*").alias("n"))
               .select("_place", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")))
-    return filled.join(counts, ["_place", "chunk"]).select("slot", "_place", (F.col("rank") + F.col("earlier")).alias("rank"))
+    # Spark takes what is made from a few chunk numbers for a few rows and would broadcast it
+    return filled.hint("merge").join(counts, ["_place", "chunk"]).select("slot", "_place", (F.col("rank") + F.col("earlier")).alias("rank"))
 
 
 def schedule(laid: DataFrame, mixture: list[Share], block_words: int | None = None) -> DataFrame:
@@ -154,7 +155,8 @@ def schedule(laid: DataFrame, mixture: list[Share], block_words: int | None = No
                                                         F.floor((F.col("_start") + F.col("_size") - 1) / width))))
               .withColumns({"first": F.greatest(F.col("block") * width - F.col("_start"), F.lit(0)),
                             "last": F.least((F.col("block") + 1) * width - F.col("_start"), F.col("_size"))}))
-    return placed.join(pieces, ["_place", "block"]).select("slot", "_place", "round", "_start", "first", "last")
+    # both grow with the corpus, and no estimate of Spark's knows how many rows a chunk or a document makes
+    return placed.hint("merge").join(pieces, ["_place", "block"]).select("slot", "_place", "round", "_start", "first", "last")
 
 
 def _prepared(docs: DataFrame, text: str, source: str, *ids: str):
