@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tidemerge.llm import mixing
-from tidemerge.llm.base import table
+from tidemerge.llm import mixing, simhash
+from tidemerge.llm.components import _large_star, _small_star
+from tidemerge.llm.base import stored, table
 
 
 def grown(df):
@@ -24,3 +25,12 @@ def test_slots_and_pieces_of_a_mix_are_not_broadcast(spark, folder):
     assert not grown(few.join(F.broadcast(few), "id"))
     read = docs.groupBy("doc_id").count()
     assert grown(read.join(F.broadcast(read), "doc_id"))
+
+
+def test_fingerprints_and_links_are_not_broadcast(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    prints = stored(docs.select("doc_id", F.xxhash64("text").alias("fp")), "test-prints")
+    assert not grown(simhash.links(prints.select("fp").distinct()))
+    assert not grown(simhash.near_duplicates(docs))
+    links = stored(prints.select(F.col("fp").alias("a"), F.col("doc_id").alias("b")), "test-links")
+    assert not grown(_large_star(links)) and not grown(_small_star(links))

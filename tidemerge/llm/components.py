@@ -14,7 +14,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round hangs the larger neighbours of a node onto its smallest one (large star), then the smaller ones
     (small star). Rounds grow with the logarithm of the longest path. Every round is written to the shared folder. A
     node's smallest neighbour is an aggregate with a map-side part, and the join that follows can be split by AQE, so
-    no task gathers a hub's links. Links that hold a null are left out; no links give an empty result.
+    no task gathers a hub's links. The joins are never broadcasts: written links are far smaller than the rows they hold.
+    Links that hold a null are left out; no links give an empty result.
     """
     pairs = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b")
     links = stored(pairs.distinct(), "links")
@@ -33,12 +34,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
     smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (both.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return (both.where("b > a").join(smallest.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a <> b").distinct())
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     smallest = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    moved = down.join(smallest.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return moved.union(smallest.select("a", "m")).distinct()

@@ -97,7 +97,8 @@ def links(prints: DataFrame) -> DataFrame:
     homes = spread.where("home").select("anchor", F.col("fp").alias("a"))
     visitors = spread.select("anchor", F.col("fp").alias("b"))
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_DISTANCE)
-    return (homes.join(visitors, (homes["anchor"] == visitors["anchor"]) & near)
+    # Spark does not know that a fingerprint makes up to 32 rows and would broadcast them for the size of the fingerprints
+    return (homes.hint("merge").join(visitors.hint("merge"), (homes["anchor"] == visitors["anchor"]) & near)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -105,7 +106,8 @@ def _rooted(prints: DataFrame) -> DataFrame:
     """``fp, smallest, root``: for each distinct fingerprint of ``prints`` (doc_id, fp) its smallest id and its class."""
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
     roots = components(links(classes))
-    return classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+    # as in all joins here, the same plan at every size: a broadcast of many fingerprints would be built on the driver
+    return classes.join(roots.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root"))
 
 
@@ -119,7 +121,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     prints = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text)).alias("fp")), "simhash")
     rooted = _rooted(prints)
     heads = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    return prints.join(rooted.join(heads, "root").select("fp", "component_id"), "fp").select(
+    return prints.hint("merge").join(rooted.join(heads.hint("merge"), "root").select("fp", "component_id"), "fp").select(
         "doc_id", "fp", "component_id")
 
 
@@ -130,7 +132,6 @@ def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     rooted = stored(_rooted(stored(marked.select(F.col(doc_id).alias("doc_id"), F.col("_fp").alias("fp")), "simhash"))
                     .select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "roots")
     first = Window.partitionBy("_root").orderBy(F.col(doc_id).asc_nulls_last(), text)
-    # the same plan at every size: a broadcast of many fingerprints would be built on the driver
     return (marked.join(rooted.hint("merge"), "_fp").withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*docs.columns))
 
 
