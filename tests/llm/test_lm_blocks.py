@@ -33,3 +33,14 @@ def test_no_level_is_dropped_and_words_seen_once_are_held(spark, monkeypatch, mo
     made = lm.build_filter(spark.createDataFrame([(1, h, 1) for h in hashes[:2000]] + [(2, h, 2) for h in hashes[2000:]], "gram int, h long, c long"))
     h = lm.np.array(hashes, lm.np.uint64)
     assert made.cut == lm.CUT_LEVEL and (made.counts(h[:2000], 1) >= 1).all() and (made.counts(h[2000:]) >= 2).all()
+
+
+def test_texts_are_split_once_for_a_filter_that_is_a_table(spark, monkeypatch):
+    written, plain = {}, lm.stored
+    monkeypatch.setattr(lm, "stored", lambda df, label: written.setdefault(label, plain(df, label)))
+    monkeypatch.setattr(lm, "BITS_PER_ITEM", 9000)
+    monkeypatch.setattr(lm, "MAX_BLOCKS", 2)
+    d = docs(spark)
+    assert lm.scored(d, plain(lm.counted(d), "test-counts")).count() == len(ROWS)
+    assert {"asked", "answers", "lm"} <= set(written) and "text" not in written["asked"].columns
+    assert written["answers"].groupBy("chunk", "block").count().where("count > 1").isEmpty()

@@ -6,7 +6,8 @@ A reader probes level after level until one is missing: that gives the level bac
 share of n-grams. Pairs below the cut are not stored: those seen once are left to the smoothing. The filter has about
 ``BITS_PER_ITEM`` bits for each stored level, in blocks of 128 KB: as many as the corpus needs, with the same levels at
 every size. Up to ``MAX_BLOCKS`` are broadcast; more stay a table, to which each chunk of ``SCORE_TOKENS`` tokens sends its
-distinct n-grams by block and gets their levels back.
+distinct n-grams by block and gets their levels back. Meanwhile the chunk is kept as places in its list of words, so a text
+is split and hashed once for it, and a block answers for all chunks at a time.
 
     P(w)     = (c(w) + 1) / (N + V + 1)
     P(w | u) = (c(u w) + MU * P(w)) / (c(u) + MU)
@@ -25,16 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemerge.llm.base import query, remainder, stored, table
+from tidemerge.llm.base import give_back, in_chunks, query, remainder, stored, table
 
 FOLDS, HELD_OUT = 7, 2
 FLUSH_TOKENS = 2_000_000
 SCORE_TOKENS = 400_000
+ANSWER_GRAMS = 1_000_000
 SHARD_BYTES = 8 << 20
 EXACT_WORDS = 1 << 18
 BLOCK_BITS = 1 << 20
@@ -142,16 +145,25 @@ class Filter:
         self.blocks, self.cut = blocks, cut
         self.bits = np.zeros(blocks * BLOCK_BITS // 8, np.uint8) if bits is None else bits
 
-    def places(self, h: np.ndarray, lev: np.ndarray | int, probe: int) -> np.ndarray:
-        """Bit places within the n-gram's block."""
+    def steps(self, h: np.ndarray, lev: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """First bit place and the step to the next ones, before they are taken modulo the block."""
         g = mixed(h + np.asarray(lev, np.uint64) * np.uint64(0xD1342543DE82EF95))
-        return ((g >> np.uint64(40)) + np.uint64(probe) * ((g & np.uint64(0xFFFFF)) | np.uint64(1))) % np.uint64(BLOCK_BITS)
+        return g >> np.uint64(40), (g & np.uint64(0xFFFFF)) | np.uint64(1)
 
-    def has(self, h: np.ndarray, lev: int) -> np.ndarray:
-        base, out = _shard(mixed(h), self.blocks) * np.uint64(BLOCK_BITS), np.arange(len(h))
-        for probe in range(PROBES):
-            at = base[out] + self.places(h[out], lev, probe)
-            out = out[(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    def places(self, h: np.ndarray, lev: np.ndarray | int, probe: int) -> np.ndarray:
+        """Bit places within the n-gram's block."""
+        first, step = self.steps(h, lev)
+        return (first + np.uint64(probe) * step) % np.uint64(BLOCK_BITS)
+
+    def has(self, h: np.ndarray, lev: int, block: np.ndarray) -> np.ndarray:
+        """Which of ``h`` have all bits of a level; ``block`` says in which block each stands."""
+        out, base = np.arange(len(h)), block * np.uint64(BLOCK_BITS)
+        place, step = self.steps(h, lev)
+        for _ in range(PROBES):
+            at = base + place % np.uint64(BLOCK_BITS)
+            set_ = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            out, base, step, place = out[set_], base[set_], step[set_], place[set_]
+            place = place + step
         found = np.zeros(len(h), bool)
         found[out] = True
         return found
@@ -159,8 +171,9 @@ class Filter:
     def levels(self, h: np.ndarray, lowest: int | None = None) -> np.ndarray:
         """Levels by probing one after the other, from the cut or ``lowest`` on, until one is missing."""
         found, lev, active = np.zeros(len(h), np.int64), lowest or self.cut, np.arange(len(h))
+        block = _shard(mixed(h), self.blocks)
         while len(active) and lev < 64:
-            active = active[self.has(h[active], lev)]
+            active = active[self.has(h[active], lev, block[active])]
             found[active] = lev
             lev += 1
         return found
@@ -256,106 +269,135 @@ def scored(docs: DataFrame, counts: DataFrame) -> DataFrame:
         hit = keys[at] == h
         return hit, np.where(hit, values[at], 0)
 
-    def chunk(held: list, ids: list, kind: pa.DataType, row: int, levels_of) -> pa.RecordBatch:
-        """Scores of some documents; ``levels_of`` gives the levels of distinct words and of distinct pairs."""
+    def words_of(held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[pa.Array]]:
+        """Distinct words of some documents, each token's place among them, where documents begin, and their columns
+        that need no filter."""
         _, keys, values = sent.value
         h = np.concatenate(held)
         starts = np.cumsum([0] + [len(x) for x in held[:-1]])
         distinct, at = np.unique(h, return_inverse=True)
         hit, exact = lookup(distinct, keys, values)
-        two, back = np.unique(np.concatenate([pairs(x) for x in held]), return_inverse=True)
-        one, seen = map(from_level, levels_of(distinct, two))
-        seen = seen[back]
-        p1 = (one + 1) / (n + v + 1)
-        left = np.concatenate([np.concatenate(([END], x[:-1])) for x in held])
-        context = one[np.minimum(np.searchsorted(distinct, left), len(distinct) - 1)]
-        logs = np.log10((np.minimum(seen, context) + MU * p1[at]) / (context + MU))
-        rare = ~hit[at]
-        ends = np.append(starts[1:], len(h))
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.arange(row, row + len(held))), pa.array(ids, kind), pa.array(ends - starts),
-            pa.array(np.add.reduceat((hit & (exact > 0))[at].astype(np.int64), starts)),
-            pa.array(np.add.reduceat(np.log10(exact + 1.0)[at], starts)), pa.array(np.add.reduceat(logs, starts)),
-            pa.array([h[s:e][rare[s:e]].view(np.int64) for s, e in zip(starts, ends, strict=True)], pa.list_(pa.int64()))],
-            ["row", "doc_id", "n_tokens", "known", "log_sum", "score", "rare"])
+        ends, rare = np.append(starts[1:], len(h)), ~hit[at]
+        return distinct, at, starts, [
+            pa.array(ends - starts), pa.array(np.add.reduceat((hit & (exact > 0)).astype(np.int64)[at], starts)),
+            pa.array(np.add.reduceat(np.log10(exact + 1.0)[at], starts)),
+            pa.array([h[s:e][rare[s:e]].view(np.int64) for s, e in zip(starts, ends, strict=True)], pa.list_(pa.int64()))]
+
+    def lefts(distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places of the words before: a document ends with an end, which the first word of the next one follows."""
+        return np.concatenate(([np.searchsorted(distinct, END)], at[:-1]))
+
+    def pairs_of(distinct: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs, and each token's place among them; as ``pairs`` makes them."""
+        before, own = mixed(distinct * np.uint64(3) + np.uint64(1)), mixed(distinct)
+        return np.unique(before[lefts(distinct, at)] ^ own[at], return_inverse=True)
+
+    def score_sums(distinct: np.ndarray, at: np.ndarray, starts: np.ndarray, back: np.ndarray, one: np.ndarray, two: np.ndarray) -> pa.Array:
+        """Scores of documents; ``one`` and ``two`` are the levels of distinct words and of distinct pairs."""
+        one, seen = from_level(one), from_level(two)[back]
+        p1, context = (one + 1) / (n + v + 1), one[lefts(distinct, at)]
+        return pa.array(np.add.reduceat(np.log10((np.minimum(seen, context) + MU * p1[at]) / (context + MU)), starts))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        """Hashes, ids, texts, type of id and number of the first row, of about ``SCORE_TOKENS`` tokens at a time."""
+        """Hashes, ids and number of the first row, of about ``SCORE_TOKENS`` tokens at a time."""
         hashes, row = _Hashes(), TaskContext.get().partitionId() << 40
-        kind, held, ids, texts, waiting = None, [], [], [], 0
+        kind, held, ids, waiting = None, [], [], 0
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 held.append(tokens(text.as_py(), hashes))
                 ids.append(i)
-                texts.append(text)
                 waiting += len(held[-1])
                 if waiting >= SCORE_TOKENS:
-                    yield held, ids, texts, kind, row
+                    yield held, pa.array(ids, kind), row
                     row += len(held)
-                    held, ids, texts, waiting = [], [], [], 0
+                    held, ids, waiting = [], [], 0
         if held:
-            yield held, ids, texts, kind, row
+            yield held, pa.array(ids, kind), row
+
+    own = ["n_tokens", "known", "log_sum", "rare"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Filter(blocks, CUT_LEVEL, sent.value[0])
-        for held, ids, _, kind, row in chunks(batches):
-            yield chunk(held, ids, kind, row, lambda one, two: (model.levels(one, 1), model.levels(two)))
+        for held, ids, row in chunks(batches):
+            distinct, at, starts, columns = words_of(held)
+            two, back = pairs_of(distinct, at)
+            sums = score_sums(distinct, at, starts, back, model.levels(distinct, 1), model.levels(two))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(held))), ids, *columns, sums], ["row", "doc_id", *own, "score"])
 
     def by_block(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        block = _shard(mixed(h), blocks).astype(np.int64)
+        block = _shard(mixed(h), blocks).astype(np.uint16 if blocks <= 1 << 16 else np.int64)  # 16 bits are sorted in linear time
         order = np.argsort(block, kind="stable")
         return order, block[order]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["chunk", "block", "one", "two", "doc_id", "text"]
-        for held, ids, texts, kind, row in chunks(batches):
-            k = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, row)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
-                                              pa.array(ids, kind), pa.array([t.as_py() for t in texts], pa.string())], names)
-            parts = []
-            for h in (np.unique(np.concatenate(held)), np.unique(np.concatenate([pairs(x) for x in held]))):
+        """A row of each document, its tokens as places; a row of each chunk (block -1), its words; its n-grams by block."""
+        names = ["chunk", "block", "one", "two", "row", "doc_id", *own, "places"]
+
+        def without_document(block: np.ndarray, one: list, two: list, row: int, kinds: list) -> pa.RecordBatch:
+            k = len(block)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(k, row)), pa.array(block.astype(np.int64)), pa.array(one, pa.binary()),
+                                               pa.array(two, pa.binary()), *[pa.nulls(k, kind) for kind in kinds]], names)
+
+        for held, ids, row in chunks(batches):
+            distinct, at, starts, columns = words_of(held)
+            k, ends, narrow = len(held), np.append(starts[1:], len(at)), at.astype(np.uint16 if len(distinct) <= 1 << 16 else np.uint32)
+            documents = [pa.array(np.arange(row, row + k)), ids, *columns,
+                         pa.array([narrow[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, row)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
+                                              pa.nulls(k, pa.binary()), *documents], names)
+            kinds, parts = [x.type for x in documents], []
+            yield without_document(np.array([-1]), [distinct.tobytes()], [None], row, kinds)
+            for h in (distinct, pairs_of(distinct, at)[0]):
                 order, block = by_block(h)
                 parts.append((h[order], block))
             asked = np.union1d(parts[0][1], parts[1][1])
-            k = len(asked)
-            packed = [pa.array([h[s:e].tobytes() for s, e in zip(np.searchsorted(block, asked), np.searchsorted(block, asked, "right"), strict=True)],
-                               pa.binary()) for h, block in parts]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, row)), pa.array(asked), *packed, pa.nulls(k, kind), pa.nulls(k, pa.string())], names)
+            one, two = ([h[s:e].tobytes() for s, e in zip(np.searchsorted(block, asked), np.searchsorted(block, asked, "right"), strict=True)]
+                        for h, block in parts)
+            yield without_document(asked, one, two, row, kinds)
 
     def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
         bits = np.frombuffer(held.column("bits")[0].as_py(), np.uint8) if held.num_rows else None
-        model = Filter(1, CUT_LEVEL, bits)
-        found = [pa.array([model.levels(np.frombuffer(x.as_py(), np.uint64), low).astype(np.uint8).tobytes() for x in asked.column(name)], pa.binary())
-                 for name, low in (("one", 1), ("two", CUT_LEVEL))]
+        model, found = Filter(1, CUT_LEVEL, bits), []
+        for name, low in (("one", 1), ("two", CUT_LEVEL)):
+            sets, levels = asked.column(name).to_pylist(), []
+            for first, last in in_chunks([len(x) // 8 for x in sets], ANSWER_GRAMS):
+                whole = model.levels(np.frombuffer(b"".join(sets[first:last]), np.uint64), low).astype(np.uint8).tobytes()
+                at = 0
+                for x in sets[first:last]:
+                    levels.append(whole[at:at + len(x) // 8])
+                    at += len(x) // 8
+            found.append(pa.array(levels, pa.binary()))
         return pa.table([asked.column("chunk"), asked.column("block"), *found], ["chunk", "block", "one", "two"])
 
-    def score_answered(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        answers, hashes = answers.sort_by("block"), _Hashes()
-        held = [tokens(t.as_py(), hashes) for t in texts.column("text")]
-
-        def levels_of(*sets: np.ndarray) -> list[np.ndarray]:
-            out = []
-            for h, name in zip(sets, ("one", "two"), strict=True):
-                found = np.empty(len(h), np.int64)
-                found[by_block(h)[0]] = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.uint8)
-                out.append(found)
-            return out
-
-        ids = texts.column("doc_id")
-        return pa.Table.from_batches([chunk(held, ids.to_pylist(), ids.type, texts.column("chunk")[0].as_py(), levels_of)])
+    def score_answered(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        answers, of_chunk = answers.sort_by("block"), rows.filter(pc.is_valid(rows.column("block")))
+        rows = rows.filter(pc.is_null(rows.column("block"))).sort_by("row")
+        distinct = np.frombuffer(of_chunk.column("one")[0].as_py(), np.uint64)
+        places = rows.column("places").to_pylist()
+        at = np.frombuffer(b"".join(places), np.uint16 if len(distinct) <= 1 << 16 else np.uint32).astype(np.int64)
+        lengths = rows.column("n_tokens").to_numpy()
+        two, back = pairs_of(distinct, at)
+        levels = []
+        for h, name in ((distinct, "one"), (two, "two")):
+            found = np.empty(len(h), np.int64)
+            found[by_block(h)[0]] = np.frombuffer(b"".join(answers.column(name).to_pylist()), np.uint8)
+            levels.append(found)
+        return rows.select(["row", "doc_id", *own]).append_column("score", score_sums(distinct, at, np.cumsum(lengths) - lengths, back, *levels))
 
     id_kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {id_kind}, n_tokens long, known long, log_sum double, score double, rare array<long>"
+    kinds = f"row long, doc_id {id_kind}, n_tokens long, known long, log_sum double, rare array<long>"
+    schema = f"{kinds}, score double"
     given = docs.select("doc_id", "text")
     if whole is not None:
         first = stored(given.mapInArrow(score, schema), "lm")
     else:
-        asked = stored(given.mapInArrow(ask, f"chunk long, block long, one binary, two binary, doc_id {id_kind}, text string"), "asked")
+        asked = stored(given.mapInArrow(ask, f"chunk long, block long, one binary, two binary, {kinds}, places binary"), "asked")
         table_of_blocks = stored(filled_blocks(counts, blocks), "blocks")
-        answers = (asked.where("block is not null").select("chunk", "block", "one", "two").groupBy("block")
-                   .cogroup(table_of_blocks.groupBy("block")).applyInArrow(answer, "chunk long, block long, one binary, two binary"))
-        first = stored(asked.where("block is null").select("chunk", "doc_id", "text").groupBy("chunk")
+        answers = stored(asked.where("block >= 0").select("chunk", "block", "one", "two").groupBy("block")
+                         .cogroup(table_of_blocks.groupBy("block")).applyInArrow(answer, "chunk long, block long, one binary, two binary"), "answers")
+        give_back(spark)  # the n-grams that were sent go before the documents are
+        first = stored(asked.where("block is null or block < 0").drop("two").groupBy("chunk")
                        .cogroup(answers.groupBy("chunk")).applyInArrow(score_answered, schema), "lm")
     more = (first.select("row", F.explode("rare").alias("h")).join(words, "h")
             .groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1.0)).alias("more_sum")))
