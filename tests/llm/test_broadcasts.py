@@ -1,5 +1,6 @@
 """What grows with the corpus is not broadcast, however small Spark takes it to be."""
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from tidemerge.llm import mixing, simhash
@@ -34,3 +35,7 @@ def test_fingerprints_and_links_are_not_broadcast(spark, folder):
     assert not grown(simhash.near_duplicates(docs))
     links = stored(prints.select(F.col("fp").alias("a"), F.col("doc_id").alias("b")), "test-links")
     assert not grown(_large_star(links)) and not grown(_small_star(links))
+
+
+def test_the_mix_of_the_pipeline_broadcasts_no_slots(spark, folder):
+    assert not grown(dict(corpus_pipeline.STAGES)["mix"](spark, table(spark, folder, "documents"), folder))
